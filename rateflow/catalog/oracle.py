@@ -13,6 +13,9 @@ ORDERS = """(select 'Customer#' || o_custkey as name, o_orderpriority as rating,
   case when o_orderkey % 3 = 2 then 'watch' else '-' end as observation,
   'A' || (o_orderkey % 3) as agency from orders)"""
 
+EVENTS = """(select 'User#' || user_id as name, 'R' || (event_id % 7) as rating,
+  props as pred, cast(ts as date) as rat_date, '-' as observation, event_type as agency from events)"""
+
 PARTS = """(select p_name as name, p_brand as rating, p_type as pred,
   date '2024-01-01' + p_size as rat_date, '-' as observation,
   'A' || (p_partkey % 3) as agency from part)"""
@@ -82,7 +85,7 @@ def _calendar(first, last):
     return f"""(select cast(unnest(generate_series({first}, {last}, interval 1 day)) as date) as day)"""
 
 
-RANGE = _calendar("date '1995-01-01'", "date '2001-12-31'")
+RANGE = _calendar("date '2023-12-25'", "date '2024-02-05'")
 
 COLUMNS = "name, rating, pred, rat_date, observation, agency"
 
@@ -184,16 +187,16 @@ ORACLE = {
     "q_summary": _summary("""(select cast(l_shipdate as date) as rat_date, l_returnflag as agency,
       count(l_partkey) as n from lineitem group by 1, 2)"""),
     "q_answers": ANSWERS,
-    "q_roundtrip": f"""select name, case when rat_date = date '1997-01-01' then 'one file'
-      when year(rat_date) = 1996 then lower(rating) else rating end as rating,
-      pred, rat_date, observation, agency, rat_date as "DT" from {ORDERS}
-      where not (year(rat_date) = 1996 and month(rat_date) = 2)""",
+    "q_roundtrip": f"""select name, case when rat_date = date '2024-01-25' then 'one file'
+      when rat_date between date '2024-01-10' and date '2024-01-20' then lower(rating) else rating end as rating,
+      pred, rat_date, observation, agency, rat_date as "DT" from {EVENTS}
+      where rat_date <> date '2024-01-15'""",
     "q_stats_store": f"""
       select 'agencies_stats' as stats, agency as first_key, '' as second_key, count(name) as num_ratings
-        from {ORDERS} group by 2
-      union all select 'agencies_stats_full', agency, rating, count(name) from {ORDERS} group by 2, 3
+        from {EVENTS} group by 2
+      union all select 'agencies_stats_full', agency, rating, count(name) from {EVENTS} group by 2, 3
       union all select 'ratings_date_stats', strftime(rat_date, '%Y-%m-%d'), '', count(name)
-        from {ORDERS} group by 2""",
+        from {EVENTS} group by 2""",
     "q_day_run": _digest(
         f"(select * from {LISTED} where rat_date = date '2024-02-10')", "(select date '2024-02-10' as day)"
     ),
@@ -201,5 +204,5 @@ ORACLE = {
       from {LISTED} group by agency, rating, rat_date""",
     "q_stream": f"select distinct {COLUMNS} from {LISTED}",
     "q_change": CHANGES,
-    "q_outbox": _digest(ORDERS, RANGE),
+    "q_outbox": _digest(EVENTS, RANGE),
 }

@@ -52,8 +52,8 @@ from rateflow.streaming import arriving_pages, run_arrived
 from rateflow.streaming.incremental import read_batched
 
 RUN_DATE = "1996-09-17"
-FIRST, LAST = "1995-01-01", "2001-12-31"
-PAGE_FIRST, PAGE_LAST = "2024-01-01", "2024-12-31"
+FIRST, LAST = "2023-12-25", "2024-02-05"
+PAGE_FIRST, PAGE_LAST = "2024-01-01", "2024-04-15"
 
 
 def _by_own_day(ratings):
@@ -219,24 +219,25 @@ def item_messages(spark, d):
     )
 
 
-def _digest(spark, d, days):
-    ratings = _by_own_day(views.order_ratings(spark, d))
+def _digest(ratings, days):
+    ratings = _by_own_day(ratings)
     counts = ratings.groupBy(DAY, "agency").agg(F.count("name").alias("num_ratings"))
     return digest(ratings, counts, days).select(DAY, "kind", "text")
 
 
 def day_digests(spark, d):
-    days = views.order_ratings(spark, d).select(F.col("rat_date").alias(DAY)).distinct()
-    return _digest(spark, d, days)
+    ratings = views.order_ratings(spark, d)
+    return _digest(ratings, ratings.select(F.col("rat_date").alias(DAY)).distinct())
 
 
 def empty_digests(spark, d):
-    ends = views.order_ratings(spark, d).agg(F.min("rat_date").alias("a"), F.max("rat_date").alias("z"))
+    ratings = views.order_ratings(spark, d)
+    ends = ratings.agg(F.min("rat_date").alias("a"), F.max("rat_date").alias("z"))
     week = F.expr("interval 7 days")
     days = ends.select(
         F.explode(F.sequence((F.col("a") - week).cast("date"), (F.col("z") + week).cast("date"))).alias(DAY)
     )
-    return _digest(spark, d, days).where(F.col("kind") == "none")
+    return _digest(ratings, days).where(F.col("kind") == "none")
 
 
 def day_summaries(spark, d):
@@ -262,20 +263,20 @@ def batch_answers(spark, d):
 
 def store_roundtrip(spark, d):
     path = fresh_dir(spark, "ratings")
-    ratings = _by_own_day(views.order_ratings(spark, d))
+    ratings = _by_own_day(views.event_ratings(spark, d))
     write_days(ratings, path)
-    again = ratings.where(F.col(DAY).between("1996-01-01", "1996-12-31")).withColumn(
-        "rating", F.lower("rating")
+    again = ratings.withColumn("rating", F.lower("rating")).where(
+        F.col(DAY).between("2024-01-10", "2024-01-20") & (F.dayofmonth(DAY) != 15)
     )
-    replace_days(again.where(F.month(DAY) != 2), path, "1996-01-01", "1996-12-31", RATINGS)
-    day = select_day(views.order_ratings(spark, d), "1997-01-01")
-    write_day(day.withColumn("rating", F.lit("one file")), path, "1997-01-01", one_file=True)
+    replace_days(again, path, "2024-01-10", "2024-01-20", RATINGS)
+    day = select_day(views.event_ratings(spark, d), "2024-01-25")
+    write_day(day.withColumn("rating", F.lit("one file")), path, "2024-01-25", one_file=True)
     return read_table(spark, path, RATINGS)
 
 
 def stored_stats(spark, d):
     store = Store(fresh_dir(spark, "stats"))
-    store_days(spark, views.order_ratings(spark, d), store, FIRST, LAST)
+    store_days(spark, views.event_ratings(spark, d), store, FIRST, LAST)
 
     def total(name, schema, *keys):
         stored = totals(read_table(spark, store.stats(name), schema), *keys)
@@ -324,7 +325,7 @@ def rating_changes(spark, d):
 
 def outbox(spark, d):
     store = Store(fresh_dir(spark, "outbox"))
-    store_days(spark, views.order_ratings(spark, d), store, FIRST, LAST)
+    store_days(spark, views.event_ratings(spark, d), store, FIRST, LAST)
     message_days(spark, store, FIRST, LAST)
     return read_table(spark, store.outbox, OUTBOX).select(DAY, "kind", "text")
 

@@ -49,6 +49,19 @@ def line_ratings(spark, sf_dir):
     )
 
 
+def event_ratings(spark, sf_dir):
+    """Events as announcements: few days, each with many announcements."""
+    return _ratings(
+        table(spark, sf_dir, "events"),
+        name=F.concat(F.lit("User#"), F.col("user_id").cast("string")),
+        rating=F.concat(F.lit("R"), (F.col("event_id") % 7).cast("string")),
+        pred=F.col("props"),
+        rat_date=F.col("ts").cast("date"),
+        observation=F.lit("-"),
+        agency=F.col("event_type"),
+    )
+
+
 def part_ratings(spark, sf_dir):
     """Parts as announcements: few names, each with many announcements."""
     return _ratings(

@@ -47,9 +47,7 @@ def backfill(spark, pages, store, first, last, strict=False, shapes=None):
 
     Returns the rejected rows; they belong to pages and not to a day.
     """
-    rows = normalize(extract(pages, shapes), strict)
-    if not strict:
-        rows = stage(rows, "rows")
+    rows = stage(normalize(extract(pages, shapes), strict), "rows")
     store_days(spark, accepted(rows), store, first, last)
     message_days(spark, store, first, last)
     return rejected(rows)

@@ -11,7 +11,7 @@ from rateflow.operators.counts import base_counts, roll_up, stamp
 from rateflow.operators.digest import digest
 from rateflow.operators.extract import extract
 from rateflow.operators.normalize import accepted, normalize, rejected
-from rateflow.operators.select import day_condition, select_day
+from rateflow.operators.select import day_condition
 from rateflow.schema import (
     AGENCY_JDBC_TYPES,
     AGENCY_RATING_JDBC_TYPES,
@@ -70,10 +70,6 @@ class Database:
 def ingest_day(spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False):
     """Pages to the day's stored ratings and rejects."""
     rows = normalize(extract(pages, shapes), strict)
-    if strict:
-        write_day(select_day(accepted(rows), day, mode), store.ratings, day, one_file)
-        write_day(spark.createDataFrame([], REJECTS), store.rejects, day)
-        return
     # Both tables come from one pass over the pages; only rows of interest are staged.
     kept = stage(rows.where(F.col("reason").isNotNull() | day_condition(day, mode)), "rows")
     write_day(accepted(kept), store.ratings, day, one_file)

@@ -1,35 +1,54 @@
 """Writing stored tables by day."""
 
+import math
+
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from rateflow.schema import DAY, by_day
 from rateflow.sources.store import read_days
 
-ONE_FILE_ROWS = 5_000_000
+DAY_ROWS = 5_000_000
 
 
 def write_day(df, path, day, one_file=False):
     """Replace one day of a stored table; a day without rows becomes empty, not stale.
 
-    ``one_file`` asks for a single file. It is honoured up to ``ONE_FILE_ROWS`` rows; a larger
+    ``one_file`` asks for a single file. It is honoured up to ``DAY_ROWS`` rows; a larger
     day stays spread, because one file is written by one task.
     """
-    if one_file and df.count() <= ONE_FILE_ROWS:
+    if one_file and df.count() <= DAY_ROWS:
         df = df.repartition(1)
     df.write.mode("overwrite").parquet(f"{path}/{DAY}={day}")
 
 
-def write_days(df, path):
-    """Replace the days present in ``df``, which carries the day column; keep all others.
+def arranged(df, *by):
+    """``df`` shuffled for a write partitioned by ``by``, of which the first is the day.
+
+    While no day exceeds ``DAY_ROWS`` rows, all rows of a day go to one task and make one
+    file, over as many tasks as the total needs. Otherwise adaptive rebalancing splits the
+    large days over several tasks and files. Measuring reads only the day column, so ``df``
+    should start from stored rows.
+    """
+    per_day = df.groupBy(by[0]).agg(F.count(F.lit(1)).alias("n"))
+    days, largest, total = per_day.agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
+    if not days or largest > DAY_ROWS:
+        return df.hint("rebalance", *by)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total / DAY_ROWS))
+    return df.repartition(min(days, tasks), by[0])
+
+
+def write_days(df, path, *by):
+    """Replace the day partitions present in ``df``, which carries the day; keep all others.
 
-    Rows are rebalanced by day: a small day is one file, and a day above the advisory
-    partition size is split over several tasks and files.
+    ``by`` names the partition columns, the day alone if not given.
     """
+    by = by or (DAY,)
     (
-        df.hint("rebalance", DAY)
+        arranged(df, *by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(DAY)
+        .partitionBy(*by)
         .parquet(path)
     )
 

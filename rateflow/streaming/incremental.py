@@ -8,6 +8,7 @@ from rateflow.operators.extract import extract
 from rateflow.operators.normalize import accepted, normalize, rejected
 from rateflow.schema import DAY, PAGES, RATING_COLUMNS, RATINGS, REJECTS, STATS, by_day
 from rateflow.session import stage
+from rateflow.sinks.store import write_days
 
 BATCH = "batch"
 
@@ -22,17 +23,6 @@ def read_batched(spark, path, schema=RATINGS):
     return spark.read.schema(_batched(schema)).parquet(path)
 
 
-def _write_batch(df, path, *by):
-    """Replace exactly this batch's partitions, so that a replayed batch changes nothing."""
-    (
-        df.hint("rebalance", *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
-
-
 def arriving_pages(spark, path, files_per_batch=None):
     """Page files in Parquet as a stream."""
     reader = spark.readStream.schema(PAGES)
@@ -58,7 +48,8 @@ def new_records(spark, ratings, path, batch_id):
 def take_batch(pages, batch_id, store, shapes=None):
     """One micro-batch: extract, keep what is new, store it and its counts.
 
-    Counts are stored per batch too. They add up over batches, so a day that arrives in many
+    Every table is written by day and batch: a replayed batch replaces its own partitions and
+    nothing else. Counts are stored per batch too. They add up over batches, so a day that arrives in many
     pieces is never read again to be recounted.
     """
     spark = pages.sparkSession
@@ -69,11 +60,11 @@ def take_batch(pages, batch_id, store, shapes=None):
         store.ratings
     )
     fresh = stage(new_records(spark, accepted(rows), store.ratings, batch_id), "fresh")
-    _write_batch(fresh.select(*RATING_COLUMNS, DAY, batch), store.ratings, DAY, BATCH)
+    write_days(fresh.select(*RATING_COLUMNS, DAY, batch), store.ratings, DAY, BATCH)
     base = stage(base_counts(fresh, DAY), "base")
     for table in STATS:
-        _write_batch(roll_up(base, table, DAY).select("*", batch), store.stats(table), DAY, BATCH)
-    _write_batch(rejected(rows).select(*REJECTS.fieldNames(), batch), store.rejects, BATCH)
+        write_days(roll_up(base, table, DAY).select("*", batch), store.stats(table), DAY, BATCH)
+    write_days(rejected(rows).select(*REJECTS.fieldNames(), batch), store.rejects, BATCH)
 
 
 def run_arrived(spark, pages, store, checkpoint, shapes=None):
