@@ -169,7 +169,7 @@ def links(spark, d):
 
 
 def page_headings(spark, d):
-    heads = F.transform(html.elements(html.visible(F.col("html")), "h1"), html.tag_text)
+    heads = html.texts_of(html.elements(html.visible(F.col("html")), "h1"))
     return views.table(spark, d, "pages").select("page_id", F.posexplode(heads).alias("pos", "heading"))
 
 

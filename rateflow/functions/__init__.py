@@ -1,5 +1,14 @@
 from rateflow.functions.dates import dots_to_dashes, format_day, parse_day, parse_run_date
-from rateflow.functions.html import attribute, balanced, element, elements, tag_text, tag_texts, visible
+from rateflow.functions.html import (
+    attribute,
+    balanced,
+    element,
+    elements,
+    tag_text,
+    tag_texts,
+    texts_of,
+    visible,
+)
 from rateflow.functions.messages import digest_item, lookup_item, summary_line
 from rateflow.functions.text import decode_entities, escape_html, or_absent, split_parts, strip
 
@@ -22,5 +31,6 @@ __all__ = [
     "summary_line",
     "tag_text",
     "tag_texts",
+    "texts_of",
     "visible",
 ]

@@ -90,17 +90,25 @@ def first(html, tag):
 
 def attribute(html, tag, name):
     """Value, as written, of an attribute of the opening ``tag`` that ``html`` begins with."""
-    head = F.regexp_substr(html, F.lit(rf"(?is)^{opening(tag)}"))
-    values = [
-        F.nullif(F.regexp_extract(head, rf"(?is)\s{name}\s*=\s*{form}", 1), F.lit(""))
-        for form in (r'"([^"]*)"', r"'([^']*)'", r"""([^\s>"']+)""")
-    ]
-    return F.coalesce(*values)
+    before = rf"""(?:[^>"'\s]++|\s++(?!{name}\s*=)|"[^"]*+"|'[^']*+')*+"""
+    value = r"""("[^"]*"|'[^']*'|[^\s>"']+)"""
+    found = F.regexp_extract(html, rf"(?is)^<{tag}(?=[\s>/]){before}\s+{name}\s*=\s*{value}", 1)
+    return F.nullif(F.btrim(found, F.lit("\"'")), F.lit(""))
+
+
+def without_tags(html):
+    """The text between tags, character references still coded."""
+    return F.regexp_replace(html, _ANY_TAG, "")
 
 
 def tag_text(html):
     """Text content: tags dropped, character references decoded, white space kept."""
-    return decode_entities(F.regexp_replace(html, _ANY_TAG, ""))
+    return decode_entities(without_tags(html))
+
+
+def texts_of(htmls):
+    """The text content of each element of an array."""
+    return F.transform(F.transform(htmls, without_tags), decode_entities)
 
 
 def tag_texts(columns):
@@ -108,5 +116,5 @@ def tag_texts(columns):
 
     One lambda over an array of them keeps the plan small: the expression stands in it once.
     """
-    texts = F.transform(F.array(*columns.values()), tag_text)
+    texts = texts_of(F.array(*columns.values()))
     return F.struct(*[F.get(texts, F.lit(i)).alias(name) for i, name in enumerate(columns)])

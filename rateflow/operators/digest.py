@@ -10,7 +10,9 @@ from rateflow.functions.messages import (
     digest_item,
     summary_line,
 )
+from rateflow.operators.joins import broadcast_if_small
 from rateflow.schema import DAY
+from rateflow.session import stage
 
 LAST = 2**63 - 1
 
@@ -41,7 +43,8 @@ def digest(ratings, agency_stats, days):
     rows one day holds. The numbers are therefore increasing but not consecutive.
     """
     todays = ratings.where(F.col("rat_date") == F.col(DAY))
-    counted = day_totals(todays, days)
+    counted = stage(day_totals(todays, days), "days")
+    asked = broadcast_if_small(counted.select(DAY))
     empty = F.col("n") == 0
     opener = counted.select(
         DAY,
@@ -51,7 +54,7 @@ def digest(ratings, agency_stats, days):
         .otherwise(day_line(DIGEST_HEADER, DAY))
         .alias("text"),
     )
-    items = todays.join(days, DAY, "left_semi").select(
+    items = todays.join(asked, DAY, "left_semi").select(
         DAY,
         (F.monotonically_increasing_id() + 1).alias("seq"),
         F.lit("item").alias("kind"),
@@ -59,7 +62,7 @@ def digest(ratings, agency_stats, days):
     )
     closer = (
         summary(agency_stats)
-        .join(counted.where(~empty).select(DAY), DAY, "left_semi")
+        .join(counted.where(~empty), DAY, "left_semi")
         .select(DAY, F.lit(LAST).alias("seq"), F.lit("summary").alias("kind"), "text")
     )
     return opener.unionByName(items).unionByName(closer)

@@ -20,8 +20,8 @@ from rateflow.functions.html import (
     having,
     having_word,
     opening,
-    tag_text,
     tag_texts,
+    texts_of,
     visible,
 )
 from rateflow.functions.text import strip
@@ -40,13 +40,20 @@ CARDS_CLASS = (
 CARD_DATE_CLASS = "jet-listing-dynamic-field__content"
 
 
+def _cut(pages, tail, tag):
+    """Add ``body``, the part of the page inside the element that ``tail`` begins with."""
+    return pages.withColumn("tail", tail).withColumn("body", balanced(F.col("tail"), tag))
+
+
 def _rows(pages, size, entry):
     """One row per entry of a sound page, one row with the fault of any other page."""
-    indexes = F.sequence(F.lit(0), size - 1)
-    found = F.when(size > 0, F.transform(indexes, entry))
-    # A page without entries yields nothing; a faulty one yields one empty entry.
-    entries = F.when(F.col("fault").isNull(), found).otherwise(F.array(F.lit(None)))
-    return pages.select("source", "page_id", "html", "fault", F.explode(entries).alias("entry")).select(
+    sound = F.col("fault").isNull() & (size > 0)
+    entries = F.when(sound, F.transform(F.sequence(F.lit(0), size - 1), entry))
+    # An outer generator, because for an inner one Spark adds a filter "has entries" below it
+    # that works the entries out a second time.
+    rows = pages.select("source", "page_id", "html", "fault", F.explode_outer(entries).alias("entry"))
+    rows = rows.where(F.col("entry").isNotNull() | F.col("fault").isNotNull())
+    return rows.select(
         "source",
         "page_id",
         "fault",
@@ -63,10 +70,14 @@ def _shaped(rows):
 
 
 def _with_texts(rows, keep=(), **columns):
-    """Add the text content of HTML columns under the given names."""
+    """Add the text content of HTML columns under the given names.
+
+    They pass through a generator of one row: a later filter on them stays above it instead
+    of being pushed down together with a copy of everything they are made of.
+    """
     return rows.select(
-        "source", "page_id", "fault", "html", "row", *keep, tag_texts(columns).alias("texts")
-    ).select("source", "page_id", "fault", "html", "row", *keep, "texts.*")
+        "source", "page_id", "fault", "html", "row", *keep, F.inline(F.array(tag_texts(columns)))
+    )
 
 
 def _missing(*names):
@@ -77,7 +88,7 @@ def _missing(*names):
 
 def extract_paired(pages, agency=AGENCY_PAIRS):
     """Second table of the page, spans in pairs: a linked name, then comma-separated details."""
-    cut = pages.withColumn("body", balanced(after(visible(F.col("html")), opening("table"), 2), "table"))
+    cut = _cut(pages, after(visible(F.col("html")), opening("table"), 2), "table")
     cut = cut.withColumn("all_spans", elements(F.col("body"), "span"))
     fault = (
         F.when(F.col("body").isNull(), F.lit("no second table"))
@@ -109,8 +120,7 @@ def extract_grid(pages, agency=AGENCY_GRID, stride=6):
     Name and date are told by the prefix of their link; rating and outlook stand in cells 1
     and 2 when these hold no link.
     """
-    table = after(visible(F.col("html")), having("table", "id", GRID_TABLE_ID))
-    cut = pages.withColumn("body", balanced(table, "table"))
+    cut = _cut(pages, after(visible(F.col("html")), having("table", "id", GRID_TABLE_ID)), "table")
     cut = cut.withColumn("cells", elements(F.col("body"), "td"))
     fault = (
         F.when(F.col("body").isNull(), F.lit("no issuers table"))
@@ -162,15 +172,11 @@ def extract_cards(pages, agency=AGENCY_CARDS, stride=5):
     Dates are matched by position alone, so a page whose dates and cards differ in number is
     reported whole: any pairing of it would be a guess.
     """
-    grid = after(visible(F.col("html")), having("div", "class", CARDS_CLASS))
-    cut = pages.withColumn("body", balanced(grid, "div"))
+    cut = _cut(pages, after(visible(F.col("html")), having("div", "class", CARDS_CLASS)), "div")
     stamp = rf"(?is){having_word('div', 'class', CARD_DATE_CLASS)}.*?</div(?=[\s>])[^>]*>"
     cut = cut.withColumn("heads", elements(F.col("body"), "h2")).withColumn(
         "dates",
-        F.filter(
-            F.transform(F.regexp_extract_all("body", F.lit(stamp), 0), tag_text),
-            lambda text: text != "",
-        ),
+        F.filter(texts_of(F.regexp_extract_all("body", F.lit(stamp), 0)), lambda text: text != ""),
     )
     cards = F.size("heads") / stride
     fault = (

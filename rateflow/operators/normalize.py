@@ -13,9 +13,11 @@ def composite(df, column):
     """Split ``rating[, observation][, outlook], date`` text into its columns.
 
     Two to four parts are read; any other number leaves them null and names the number in
-    ``part_fault``.
+    ``part_fault``. The parts pass through a generator of one row, so that a filter on them
+    does not take a copy of the splitting along.
     """
-    parts = df.withColumn("parts", split_parts(F.col(column)))
+    split = F.struct(split_parts(F.col(column)).alias("parts"))
+    parts = df.select("*", F.inline(F.array(split)))
     known = F.size("parts").isin(2, 3, 4)
 
     def part(index):
