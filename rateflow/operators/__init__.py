@@ -11,7 +11,7 @@ from rateflow.operators.counts import (
 )
 from rateflow.operators.digest import day_totals, digest, summary
 from rateflow.operators.extract import extract, extract_cards, extract_grid, extract_paired
-from rateflow.operators.lookup import answers, find_by_date, find_by_name, route
+from rateflow.operators.lookup import answer, answers, find_by_date, find_by_name, route
 from rateflow.operators.normalize import (
     accepted,
     composite,
@@ -24,6 +24,7 @@ from rateflow.operators.select import select_day
 
 __all__ = [
     "accepted",
+    "answer",
     "answers",
     "base_counts",
     "changes",

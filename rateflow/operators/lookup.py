@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from rateflow.functions.messages import ANSWER_HEADER, ANSWER_NONE, lookup_item
 from rateflow.operators.joins import broadcast_if_small
 from rateflow.operators.ordering import numbered
-from rateflow.schema import RATING_COLUMNS
+from rateflow.schema import RATING_COLUMNS, REQUESTS
 from rateflow.session import stage
 
 _DATE_TEXT = r"^\s*[0-9]{4}-[0-9]{1,2}(-[0-9]{1,2})?\s*$"
@@ -133,3 +133,9 @@ def answers(ratings, requests, items_per_part=ITEMS_PER_PART):
         F.coalesce("part", F.lit(0)).alias("part"),
         F.coalesce(F.concat(opening, F.col("items")), F.lit(ANSWER_NONE)).alias("text"),
     )
+
+
+def answer(ratings, text, items_per_part=ITEMS_PER_PART):
+    """The answer to one text, in parts: columns part, text."""
+    requests = ratings.sparkSession.createDataFrame([(0, text)], REQUESTS)
+    return answers(ratings, requests, items_per_part).drop("req_id")

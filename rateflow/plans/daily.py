@@ -70,8 +70,10 @@ class Database:
 def ingest_day(spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False):
     """Pages to the day's stored ratings and rejects."""
     rows = normalize(extract(pages, shapes), strict)
-    # Both tables come from one pass over the pages; only rows of interest are staged.
-    kept = stage(rows.where(F.col("reason").isNotNull() | day_condition(day, mode)), "rows")
+    # Both tables come from one pass over the pages. Only rows of interest are staged, which
+    # are few to a task, so they are first brought together to files of a sensible size.
+    kept = rows.where(F.col("reason").isNotNull() | day_condition(day, mode))
+    kept = stage(kept.hint("rebalance"), "rows")
     write_day(accepted(kept), store.ratings, day, one_file)
     write_day(rejected(kept), store.rejects, day)
 

@@ -1,5 +1,8 @@
 import datetime as dt
 
+import random
+from importlib import import_module
+
 import pytest
 from samples import ratings
 
@@ -18,6 +21,8 @@ from rateflow.operators import (
 )
 from rateflow.schema import AGENCY_RATING_TABLE, AGENCY_TABLE, DATE_TABLE, RATINGS
 
+changes_module = import_module("rateflow.operators.changes")
+
 
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
@@ -96,7 +101,10 @@ def test_enforce_schema(spark):
     assert tuple(fixed.first()) == ("n", "2", "p", dt.date(2024, 1, 2), "o", "1")
 
 
-def test_changes(spark):
+@pytest.mark.parametrize("window_rows", [10, 1])
+def test_changes(spark, monkeypatch, window_rows):
+    monkeypatch.setattr(changes_module, "WINDOW_ROWS", window_rows)
+
     def day(n):
         return dt.date(2024, 1, n)
 
@@ -119,3 +127,23 @@ def test_changes(spark):
         ("X", "b", 1): (None, "assigned", 1),
         ("Other", "a", 1): (None, "assigned", 1),
     }
+
+
+def test_a_split_history_equals_the_window(spark, monkeypatch):
+    rng = random.Random(5)
+    history = ratings(
+        spark,
+        *[
+            (
+                "hot" if n % 3 else rng.choice(["a", "b", None]),
+                rng.choice(["A", "B", "C", None]),
+                str(n % 40),
+                dt.date(2024, 1, 1) + dt.timedelta(days=rng.randint(0, 60)),
+            )
+            for n in range(2000)
+        ],
+    )
+    plain = rows(changes(history))
+    monkeypatch.setattr(changes_module, "WINDOW_ROWS", 100)
+    monkeypatch.setattr("rateflow.operators.joins.broadcast_if_small.__defaults__", (0,))
+    assert rows(changes(history)) == plain

@@ -3,10 +3,10 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from samples import DAY, ratings
+from samples import ratings
 
 from rateflow.functions.messages import ANSWER_HEADER, ANSWER_NONE
-from rateflow.operators import answers, find_by_date, find_by_name, joins, route
+from rateflow.operators import answer, answers, find_by_date, find_by_name, joins, route
 from rateflow.operators.lookup import names_holding
 from rateflow.operators.ordering import numbered
 from rateflow.schema import REQUESTS
@@ -123,4 +123,8 @@ def test_a_long_answer_comes_in_parts(spark):
 
 def test_answers_without_requests(spark):
     assert ask(spark, ratings(spark, ("A",))) == {}
-    assert DAY.isoformat() == "2024-01-15"
+
+
+def test_one_answer(spark):
+    found = answer(ratings(spark, ("A",), ("B",)), "a")
+    assert [tuple(r) for r in found.collect()] == [(0, ANSWER_HEADER + item("A"))]
