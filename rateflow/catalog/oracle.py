@@ -43,8 +43,9 @@ def _escaped(column):
 
 
 def _unescaped(column):
-    for coded, plain in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
-        column = f"replace({column}, '{coded}', '{plain}')"
+    """The references the pages hold; a reference may lack its semicolon."""
+    for name, plain in (("quot", '"'), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+        column = f"regexp_replace({column}, '&{name}\\b;?', '{plain}', 'g')"
     return column
 
 

@@ -64,9 +64,8 @@ def _rows(pages, size, entry):
 
 def _shaped(rows):
     """The columns every extractor ends with."""
-    return rows.select(
-        *[F.col(field.name).cast(field.dataType).alias(field.name) for field in EXTRACTED]
-    )
+    columns = ((field.name, field.dataType.simpleString()) for field in EXTRACTED)
+    return rows.selectExpr(*[f"cast({name} as {kind}) as {name}" for name, kind in columns])
 
 
 def _with_texts(rows, keep=(), **columns):

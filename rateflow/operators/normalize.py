@@ -67,7 +67,8 @@ def rejected(rows):
 
 def enforce_schema(df, *extra):
     """The six rating columns in order and type, then any ``extra`` columns as they are."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RATINGS], *extra)
+    columns = ((field.name, field.dataType.simpleString()) for field in RATINGS)
+    return df.selectExpr(*[f"cast({name} as {kind}) as {name}" for name, kind in columns], *extra)
 
 
 def union_feeds(*feeds):
