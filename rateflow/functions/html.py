@@ -13,7 +13,7 @@ from rateflow.functions.text import decode_entities
 # The rest of a tag after its name; quoted values may hold ">".
 _TAG_REST = r"""[^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
 _ANY_TAG = rf"(?s)<[/!?]?[a-zA-Z]{_TAG_REST}|<[/!?]?[a-zA-Z][^>]*>"
-_HIDDEN = r"(?is)<!--.*?-->|<script[\s>].*?</script\s*>|<style[\s>].*?</style\s*>"
+_HIDDEN = r"(?is)<(?:!--.*?-->|script[\s>].*?</script\s*>|style[\s>].*?</style\s*>)"
 
 
 def opening(tag):
@@ -54,7 +54,7 @@ def balanced(html, tag):
 
     Walks the pieces between tags of that name once, keeping depth and length only.
     """
-    pieces = F.split(html, rf"(?is)(?=<{tag}[\s>/])|(?=</{tag}[\s>])")
+    pieces = F.split(html, rf"(?i)(?=</?{tag}[\s>/])")
 
     def step(seen, piece):
         closing = piece.startswith("</")

@@ -10,6 +10,7 @@ from rateflow.schema import ABSENT
 _BLANK = r"[\s\x1c-\x1f]"
 _REFERENCE = r"^(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);?"
 _FREQUENT = ["quot", "amp", "lt", "gt", "nbsp", "laquo", "raquo", "mdash", "ndash"]
+_COMMON = ["quot", "lt", "gt", "nbsp", "amp"]
 
 
 def _entity_table():
@@ -79,11 +80,22 @@ def _joined(part, i):
     return F.when(i == 0, part["chunk"]).otherwise(decoded)
 
 
-def decode_entities(text):
-    """Replace named and numeric character references, each once, from left to right."""
+def _decoded(text):
+    """``text`` with any references decoded."""
     parts = F.transform(F.transform(F.transform(F.split(text, "&"), _named), _numbered), _valued)
-    decoded = F.array_join(F.transform(parts, _joined), "")
-    return F.when(text.contains("&"), decoded).otherwise(text)
+    return F.array_join(F.transform(parts, _joined), "")
+
+
+def decode_entities(text):
+    """Replace named and numeric character references, each once, from left to right.
+
+    Texts that hold only the most frequent ones take plain replacements, ``&amp;`` last.
+    """
+    plain = text
+    for name in _COMMON:
+        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(chr(name2codepoint[name])))
+    others = text.rlike(rf"&(?!(?:{'|'.join(_COMMON)});)")
+    return F.when(~text.contains("&"), text).when(~others, plain).otherwise(_decoded(text))
 
 
 def escape_html(text):

@@ -39,7 +39,8 @@ def message_days(spark, store, first, last):
     )
     ratings = read_days(spark, store.ratings, first, last)
     counts = read_days(spark, store.stats(AGENCY_TABLE), first, last, STATS[AGENCY_TABLE])
-    replace_days(digest(ratings, counts, days), store.outbox, first, last, OUTBOX)
+    # Messages come out of the day's own files, so they are written where they are made.
+    replace_days(digest(ratings, counts, days), store.outbox, first, last, OUTBOX, shuffle=False)
 
 
 def backfill(spark, pages, store, first, last, strict=False, shapes=None):

@@ -38,15 +38,16 @@ def arranged(df, *by):
     return df.repartition(min(days, tasks), by[0])
 
 
-def write_days(df, path, *by):
+def write_days(df, path, *by, shuffle=True):
     """Replace the day partitions present in ``df``, which carries the day; keep all others.
 
-    ``by`` names the partition columns, the day alone if not given.
+    ``by`` names the partition columns, the day alone if not given. Without ``shuffle`` every
+    task writes the days it has, for rows that come from a table stored by day as it is.
     """
     by = by or (DAY,)
+    df = arranged(df, *by) if shuffle else df
     (
-        arranged(df, *by)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)
         .parquet(path)
@@ -62,7 +63,7 @@ def _stored_days(spark, path, first, last, schema):
     return [day for (day,) in stored.select(DAY).distinct().collect()]
 
 
-def replace_days(df, path, first, last, schema):
+def replace_days(df, path, first, last, schema, shuffle=True):
     """Make the days from ``first`` to ``last`` of a stored table exactly ``df``.
 
     A dynamic overwrite touches only days that have rows, so a stored day of the range that
@@ -70,7 +71,7 @@ def replace_days(df, path, first, last, schema):
     """
     spark = df.sparkSession
     before = _stored_days(spark, path, first, last, schema)
-    write_days(df.select(*by_day(schema).fieldNames()), path)
+    write_days(df.select(*by_day(schema).fieldNames()), path, shuffle=shuffle)
     if not before:
         return
     now = {day for (day,) in df.select(DAY).distinct().collect()}
