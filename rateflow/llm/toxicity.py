@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from rateflow.llm.arrays import batch, flat, slices
+from rateflow.operators.joins import broadcast_if_small
 from rateflow.session import stage
 
 ORDER = 5
@@ -228,14 +229,15 @@ def train(documents, labels, count_folds=(1, 2, 3), calibrate_folds=(4,)):
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     known = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic", fold.alias("fold"))
     known = known.groupBy("doc_id", "fold").agg(F.max("toxic").alias("toxic"))
-    known = known.where(F.col("fold").isin([*count_folds, *calibrate_folds]))
-    texts = documents.select("doc_id", "text").join(known, "doc_id")
-    texts = stage(texts.select("fold", "toxic", "doc_id", "text"), "labelled")
-    counts = ngram_counts(texts.where(F.col("fold").isin(list(count_folds)))).toPandas()
+    known = stage(known.where(F.col("fold").isin([*count_folds, *calibrate_folds])), "labels")
+    texts = documents.select("doc_id", "text")
+    counted = known.where(F.col("fold").isin(list(count_folds)))
+    counts = ngram_counts(texts.join(broadcast_if_small(counted), "doc_id")).toPandas()
     model = build_model(counts["gram"], counts["ordinary"], counts["toxic"])
     shared = spark.sparkContext.broadcast(model)
-    kept = texts.where(F.col("fold").isin(list(calibrate_folds)))
-    kept = kept.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS).select("toxic", "text")
+    drawn = known.where(F.col("fold").isin(list(calibrate_folds)))
+    drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
+    kept = texts.join(F.broadcast(drawn), "doc_id").select("toxic", "text")
     schema = "toxic int, " + ", ".join(f"{n} double" for n in FEATURES)
     measured = kept.withColumn("toxic", F.col("toxic").cast("int")).mapInArrow(_measure(shared, ["toxic"]), schema).toPandas()
     weights = fit_logistic(measured[list(FEATURES)].to_numpy(), measured["toxic"].to_numpy(float))
