@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import toxicity
+from rateflow.llm import jaccard, toxicity
 
 
 def table(spark, sf_dir, name):
@@ -16,5 +16,9 @@ def op2_toxicity(spark, d):
     return toxicity.score(documents, trained).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
 
 
-QUERIES = {"op2_toxicity": op2_toxicity}
+def op9_ngram_jaccard_join(spark, d):
+    return jaccard.jaccard_components(table(spark, d, "documents"))
+
+
+QUERIES = {"op2_toxicity": op2_toxicity, "op9_ngram_jaccard_join": op9_ngram_jaccard_join}
 ORACLE = {}
