@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import jaccard, toxicity
+from rateflow.llm import decontamination, jaccard, toxicity
 
 
 def table(spark, sf_dir, name):
@@ -16,9 +16,17 @@ def op2_toxicity(spark, d):
     return toxicity.score(documents, trained).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
 
 
+def op6_decontamination(spark, d):
+    return decontamination.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op9_ngram_jaccard_join(spark, d):
     return jaccard.jaccard_components(table(spark, d, "documents"))
 
 
-QUERIES = {"op2_toxicity": op2_toxicity, "op9_ngram_jaccard_join": op9_ngram_jaccard_join}
+QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op6_decontamination": op6_decontamination,
+    "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+}
 ORACLE = {}
