@@ -2,13 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontamination, jaccard, toxicity
+from rateflow.llm import decontamination, jaccard, pii, toxicity
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark, d):
+    documents = table(spark, d, "documents").select("doc_id", "text")
+    return pii.detect(documents, pii.train(documents))
+
+
 def op2_toxicity(spark, d):
     documents = table(spark, d, "documents").select("doc_id", "text")
     trained = toxicity.train(documents, table(spark, d, "labels"))
@@ -25,6 +30,7 @@ def op9_ngram_jaccard_join(spark, d):
 
 
 QUERIES = {
+    "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
     "op6_decontamination": op6_decontamination,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
