@@ -2,7 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontamination, jaccard, pii, toxicity
+from rateflow.llm import decontamination, jaccard, pii, segmentation, toxicity
+
+# Where the public vocabularies lie; a parameter of the operators.
+TOKENIZERS = "/opt/tokenizers"
+PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 
 
 def table(spark, sf_dir, name):
@@ -21,6 +25,21 @@ def op2_toxicity(spark, d):
     return toxicity.score(documents, trained).select("doc_id", (fold == 0).alias("held_out"), "score", "predicted")
 
 
+def op3_sentencepiece(spark, d):
+    documents = table(spark, d, "documents").select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    encoded = segmentation.encode(documents, PIECES)
+    decoded = segmentation.decode(encoded, PIECES)
+    return decoded.select(
+        "doc_id",
+        "sample",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.xxhash64("ids").alias("ids_hash"),
+        "log_prob",
+        "inclusion",
+        (F.xxhash64("decoded") == F.col("text_hash")).alias("exact"),
+    )
+
+
 def op6_decontamination(spark, d):
     return decontamination.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -32,6 +51,7 @@ def op9_ngram_jaccard_join(spark, d):
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
+    "op3_sentencepiece": op3_sentencepiece,
     "op6_decontamination": op6_decontamination,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
 }
