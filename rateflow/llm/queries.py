@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontamination, jaccard, pii, segmentation, toxicity
+from rateflow.llm import decontamination, jaccard, passages, pii, segmentation, toxicity
 
 # Where the public vocabularies lie; a parameter of the operators.
 TOKENIZERS = "/opt/tokenizers"
@@ -48,11 +48,16 @@ def op9_ngram_jaccard_join(spark, d):
     return jaccard.jaccard_components(table(spark, d, "documents"))
 
 
+def op10_substring_dedup(spark, d):
+    return passages.remove_repeats(table(spark, d, "documents")).drop("kept_text")
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
     "op6_decontamination": op6_decontamination,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 ORACLE = {}
