@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontamination, jaccard, passages, pii, secret_scan, segmentation, toxicity
+from rateflow.llm import decontamination, jaccard, licenses, passages, pii, secret_scan, segmentation, toxicity
 
 # Where the public vocabularies lie; a parameter of the operators.
 TOKENIZERS = "/opt/tokenizers"
@@ -44,6 +44,10 @@ def op6_decontamination(spark, d):
     return decontamination.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op7_license_scan(spark, d):
+    return licenses.find_licenses(table(spark, d, "documents").select("doc_id", "text"))
+
+
 def op8_secret_scan(spark, d):
     documents = table(spark, d, "documents").select("doc_id", "text")
     return secret_scan.detect(documents, secret_scan.train(documents))
@@ -62,6 +66,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
     "op6_decontamination": op6_decontamination,
+    "op7_license_scan": op7_license_scan,
     "op8_secret_scan": op8_secret_scan,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_substring_dedup": op10_substring_dedup,
