@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontamination, jaccard, licenses, passages, pii, secret_scan, segmentation, toxicity
+from rateflow.llm import decontamination, embeddings, jaccard, licenses, passages, pii, secret_scan, segmentation, toxicity
 
 # Where the public vocabularies lie; a parameter of the operators.
 TOKENIZERS = "/opt/tokenizers"
@@ -40,6 +40,10 @@ def op3_sentencepiece(spark, d):
     )
 
 
+def op5_embedding_near_dedup(spark, d):
+    return embeddings.near_duplicates(table(spark, d, "embeddings"))
+
+
 def op6_decontamination(spark, d):
     return decontamination.contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
@@ -65,6 +69,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
+    "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_license_scan": op7_license_scan,
     "op8_secret_scan": op8_secret_scan,
