@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontamination, embeddings, jaccard, licenses, passages, pii, secret_scan, segmentation, toxicity
+from rateflow.llm import decontamination, embeddings, jaccard, licenses, passages, pii, secret_scan, segmentation, shards, toxicity
+from rateflow.session import fresh_dir
 
 # Where the public vocabularies lie; a parameter of the operators.
 TOKENIZERS = "/opt/tokenizers"
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
+RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
 
 
 def table(spark, sf_dir, name):
@@ -40,6 +42,10 @@ def op3_sentencepiece(spark, d):
     )
 
 
+def op4_training_order(spark, d):
+    return shards.write_shards(table(spark, d, "documents"), fresh_dir(spark, "shards"), RANKS, key=20_240_501)
+
+
 def op5_embedding_near_dedup(spark, d):
     return embeddings.near_duplicates(table(spark, d, "embeddings"))
 
@@ -69,6 +75,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_training_order": op4_training_order,
     "op5_embedding_near_dedup": op5_embedding_near_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_license_scan": op7_license_scan,
