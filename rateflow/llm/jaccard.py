@@ -15,7 +15,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from rateflow.llm.arrays import LOWER, batch, flat, mix, ngrams, signed, slices, word_hashes, word_spans
-from rateflow.llm.graph import Forest, components
+from rateflow.llm.graph import components
+from rateflow.operators.joins import broadcast_if_small
 from rateflow.session import stage
 
 WORDS = 5
@@ -23,9 +24,11 @@ WORDS = 5
 SHARE, SHARE_UP = 75, 100
 # Shingles met in so many sets of one task are put last in the common order.
 COMMON = 2
-COMMON_TOTAL = 20
-# Buckets up to this many sets give all their pairs, larger ones a star that is not pruned.
+COMMON_TOTAL = 8
+# Buckets up to this many sets give all their pairs; larger ones are joined through an R-tree.
 SMALL_BUCKET = 6
+# Beyond so many sets a bucket gives a star that is not pruned: all its sets are one family.
+LARGEST_BUCKET = 20_000
 TILE_SHINGLES = 400_000
 LEAF = 16
 
@@ -153,59 +156,46 @@ def _member(values, ordered):
 def _bucket_pairs(batches):
     """Pairs of the sets that share a key; rows come sorted by key and set.
 
-    The first sets of a bucket are paired with each other. Once a bucket is larger, each
-    of its sets is paired with the first one, marked as ``sure`` to be kept.
+    A small bucket gives all its pairs. A larger one gives its sets as rows ``key, set``,
+    marked as members; only the first few sets of a bucket are ever held.
     """
-    held_key, held, count = None, np.zeros(0, np.int64), 0
+    held_key, held, count, last = None, np.zeros(0, np.int64), 0, None
     for rows in batches:
-        keys = rows.column(0).to_numpy()
-        sets = rows.column(1).to_numpy()
+        keys, sets = rows.column(0).to_numpy(), rows.column(1).to_numpy()
         fresh = np.ones(len(keys), bool)
         fresh[1:] = (keys[1:] != keys[:-1]) | (sets[1:] != sets[:-1])
-        if count and len(keys) and keys[0] == held_key and sets[0] == last:
+        if len(keys) and count and (keys[0], sets[0]) == (held_key, last):
             fresh[0] = False
         keys, sets = keys[fresh], sets[fresh]
         if not len(keys):
             continue
         last = sets[-1]
-        same = 0
-        if count and keys[0] == held_key:
-            same = int(np.searchsorted(keys != held_key, True)) if (keys != held_key).any() else len(keys)
-        carried = len(held) if same else 0
-        # The held first sets stand before this batch's, so that one rule serves both.
-        keys = np.concatenate((np.full(carried, held_key, np.int64), keys)) if carried else keys
-        sets = np.concatenate((held[:carried], sets)) if carried else sets
-        start = np.ones(len(keys), bool)
-        start[1:] = keys[1:] != keys[:-1]
-        begins = np.flatnonzero(start)
-        bucket = np.cumsum(start) - 1
-        rank = np.arange(len(keys)) - begins[bucket]
+        # The held sets of an unfinished bucket stand before this batch's, so one rule serves both.
+        carried = len(held) if count and keys[0] == held_key else 0
         if carried:
-            rank[carried : carried + same] += count - carried
+            keys, sets = np.concatenate((np.full(carried, held_key), keys)), np.concatenate((held, sets))
+        begins = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        bucket = np.repeat(np.arange(len(begins)), np.diff(np.append(begins, len(keys))))
+        rank = np.arange(len(keys)) - begins[bucket]
         new = np.arange(len(keys)) >= carried
-        a, b, sure = [], [], []
-        for back in range(1, SMALL_BUCKET):
-            at = np.flatnonzero(new[back:] & (keys[back:] == keys[:-back]) & (rank[back:] < SMALL_BUCKET)) + back
-            a.append(sets[at - back])
-            b.append(sets[at])
-            sure.append(np.zeros(len(at), bool))
+        rank[new & (bucket == 0)] += count - carried if carried else 0
+        a, b, member = [], [], []
+
+        def give(left, right, marked):
+            a.append(left)
+            b.append(right)
+            member.append(np.full(len(left), marked))
+
+        for back in range(1, min(SMALL_BUCKET, len(keys))):
+            at = np.flatnonzero(new[back:] & (bucket[back:] == bucket[:-back]) & (rank[back:] < SMALL_BUCKET)) + back
+            give(sets[at - back], sets[at], False)
         far = np.flatnonzero(new & (rank >= SMALL_BUCKET))
-        a.append(sets[begins[bucket[far]]])
-        b.append(sets[far])
+        give(keys[far], sets[far], True)
         for i in far[rank[far] == SMALL_BUCKET]:
-            first = begins[bucket[i]]
-            a.append(np.full(SMALL_BUCKET - 1, sets[first]))
-            b.append(sets[first + 1 : first + SMALL_BUCKET])
-        a, b = np.concatenate(a), np.concatenate(b)
-        sure = np.concatenate(sure)
-        sure = np.concatenate((sure, np.ones(len(a) - len(sure), bool)))
-        if len(a):
-            pairs, where = np.unique(np.stack((a, b), 1), axis=0, return_inverse=True)
-            marks = np.zeros(len(pairs), np.int64)
-            np.maximum.at(marks, where.ravel(), sure)
-            yield batch(a=pairs[:, 0], b=pairs[:, 1], sure=marks.astype(bool))
-        held_key, first = keys[-1], begins[-1]
-        count = int(rank[-1]) + 1
+            first = slice(begins[bucket[i]], begins[bucket[i]] + SMALL_BUCKET)
+            give(keys[first], sets[first], True)
+        yield batch(a=np.concatenate(a), b=np.concatenate(b), member=np.concatenate(member))
+        held_key, first, count = keys[-1], begins[-1], int(rank[-1]) + 1
         held = sets[first : first + min(count, SMALL_BUCKET)].copy()
 
 
@@ -214,20 +204,26 @@ def _bounded(batches):
     for rows in batches:
         sizes = [rows.column(c).to_numpy() for c in ("n_a", "n_b")]
         vectors = [rows.column(c).to_pylist() for c in ("counts_a", "counts_b")]
-        sure = rows.column("sure").to_numpy(zero_copy_only=False)
-        keep = [s or bound(*v, *n) for s, v, n in zip(sure, zip(*vectors), zip(*sizes))]
+        keep = [bound(*v, *n) for v, n in zip(zip(*vectors), zip(*sizes))]
         yield rows.select(["a", "b"]).filter(batch(k=np.array(keep, bool)).column(0))
 
 
+def unpacked(vector, size):
+    """A packed count vector; a byte of 255 stands for any count up to the set's size."""
+    counts = np.frombuffer(vector, np.uint8).astype(np.int64)
+    return np.where(counts == 255, size, counts)
+
+
+def folded(counts, groups):
+    return counts.reshape(-1, groups).sum(0)
+
+
 def bound(a, b, size_a, size_b):
-    """Can two sets link, by their packed count vectors? A byte of 255 stands for any count."""
-    small, large = min(size_a, size_b), max(size_a, size_b)
-    if SHARE_UP * small < SHARE * large:
+    """Can two sets link, by their packed count vectors?"""
+    if SHARE_UP * min(size_a, size_b) < SHARE * max(size_a, size_b):
         return False
-    a, b = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
-    a, b = (np.where(v == 255, large, v) for v in (a, b))
     groups = min(len(a), len(b))
-    a, b = (v.reshape(-1, groups).sum(0) for v in (a, b))
+    a, b = folded(unpacked(a, size_a), groups), folded(unpacked(b, size_b), groups)
     return int(np.minimum(a, b).sum()) >= needed(size_a, size_b)
 
 
@@ -261,37 +257,82 @@ class RTree:
         return self.order[nodes]
 
 
-def join_tile(sets, queries=None):
-    """A forest of the links among ``sets``; with ``queries`` only pairs that hold one of them."""
-    sizes = np.array([len(s) for s in sets], np.int64)
-    groups = min(groups_for(sizes.max()), 4096)
-    points = np.stack([count_vector(s, groups) for s in sets]).astype(np.int32)
+def tree_links(points, sizes, confirm, queries=None):
+    """Pairs that connect all points that ``confirm(i, j)`` links among those the tree finds.
+
+    What is connected already is not looked at again, single points and whole nodes alike.
+    With ``queries``, only pairs that hold one of them are looked at.
+    """
     tree = RTree(points, sizes)
-    place = np.empty(len(sets), np.int64)
-    place[tree.order] = np.arange(len(sets))
-    forest, links = Forest(), []
-    # Root of every point in tree order, kept for skipping what is joined already.
-    roots = np.arange(len(sets))
+    place = np.empty(len(sizes), np.int64)
+    place[tree.order] = np.arange(len(sizes))
+    # The group of every point, in the order of the tree.
+    groups = np.arange(len(sizes))
 
     def skip(level, nodes):
-        mine = roots[place[i]]
+        mine = groups[place[i]]
         if level == 0:
-            return roots[nodes] == mine
-        span = LEAF**level
-        cuts = np.arange(0, len(roots), span)
-        return ((np.minimum.reduceat(roots, cuts) == mine) & (np.maximum.reduceat(roots, cuts) == mine))[nodes]
+            return groups[nodes] == mine
+        cuts = np.arange(0, len(groups), LEAF**level)
+        return ((np.minimum.reduceat(groups, cuts) == mine) & (np.maximum.reduceat(groups, cuts) == mine))[nodes]
 
-    wanted = range(len(sets)) if queries is None else np.flatnonzero(queries)
-    for i in wanted:
+    links = []
+    for i in range(len(sizes)) if queries is None else np.flatnonzero(queries):
         for j in tree.search(points[i], sizes[i], skip):
-            if forest.root(int(i)) != forest.root(int(j)) and linked(sets[i], sets[j]):
-                old = {roots[place[i]], roots[place[j]]}
-                forest.join(int(i), int(j))
-                roots[np.isin(roots, list(old))] = min(old)
+            one, other = groups[place[i]], groups[place[j]]
+            if one != other and confirm(i, j):
+                groups[groups == max(one, other)] = min(one, other)
                 links.append((i, j))
     return links
 
 
+def join_tile(sets, queries=None):
+    """Links that connect what is linked among ``sets``, verified on the sets themselves."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    groups = min(groups_for(sizes.max()), 4096)
+    points = np.stack([count_vector(s, groups) for s in sets]).astype(np.int32)
+    return tree_links(points, sizes, lambda i, j: linked(sets[i], sets[j]), queries)
+
+
+def join_bucket(vectors, sizes):
+    """Pairs that connect what may be linked in a bucket, by packed count vectors alone.
+
+    Sets have groups by their size; each class is joined with itself and the next finer one,
+    whose sets are folded to it. Linked sets are never further apart.
+    """
+    widths = np.array([len(v) for v in vectors])
+    links = []
+    for groups in np.unique(widths):
+        mine = np.flatnonzero((widths == groups) | (widths == 2 * groups))
+        points = np.stack([folded(unpacked(vectors[i], sizes[i]), groups) for i in mine])
+        found = tree_links(points, sizes[mine], lambda i, j: True, widths[mine] == groups)
+        links += [(mine[i], mine[j]) for i, j in found]
+    return links
+
+
+def _join_buckets(batches):
+    """Rows come sorted by key; one bucket is held at a time, as its packed vectors."""
+    key, ids, vectors, sizes = None, [], [], []
+
+    def close():
+        found = join_bucket(vectors, np.array(sizes, np.int64)) if len(ids) > 1 else []
+        pairs = np.array([(ids[i], ids[j]) for i, j in found], np.int64).reshape(-1, 2)
+        return batch(a=pairs[:, 0], b=pairs[:, 1])
+
+    for rows in batches:
+        columns = (rows.column(c).to_pylist() for c in ("key", "set_id", "counts", "n_shingles"))
+        for new, set_id, counts, size in zip(*columns):
+            if new != key:
+                if key is not None:
+                    yield close()
+                key, ids, vectors, sizes = new, [], [], []
+            ids.append(set_id)
+            vectors.append(counts)
+            sizes.append(size)
+    if key is not None:
+        yield close()
+
+
 def _join_tiles(batches):
     """Rows come sorted by family and tile; one tile is held at a time, as its sets."""
     key, ids, sets, query = None, [], [], []
@@ -327,19 +368,34 @@ def _tiled(documents, members):
     return rows.mapInArrow(_join_tiles, "a long, b long")
 
 
-def _families(documents, sets, common):
-    """Sets that candidate pairs connect: ``family, set_id, doc_id, tile, tiles``."""
-    routed = documents.select("text").mapInArrow(_prefixes(common), "key long, set_id long")
-    routed = routed.repartition("key").sortWithinPartitions("key", "set_id")
-    pairs = routed.mapInArrow(_bucket_pairs, "a long, b long, sure boolean")
-    pairs = pairs.groupBy("a", "b").agg(F.max("sure").alias("sure"))
+def _near_in_small(pairs, sets):
+    pairs = pairs.where("not member").select("a", "b")
     for side in "ab":
         mine = sets.select(
             F.col("set_id").alias(side), F.col("n_shingles").alias(f"n_{side}"), F.col("counts").alias(f"counts_{side}")
         )
         pairs = pairs.join(mine, side)
-    near = pairs.mapInArrow(_bounded, "a long, b long")
-    members = components(near).withColumnsRenamed({"id": "set_id", "component": "family"})
+    return pairs.mapInArrow(_bounded, "a long, b long")
+
+
+def _near_in_large(pairs, sets):
+    members = pairs.where("member").select(F.col("a").alias("key"), F.col("b").alias("set_id"))
+    largest = members.groupBy("key").agg(F.count("*").alias("n"), F.min("set_id").alias("hub"))
+    largest = broadcast_if_small(stage(largest.where(F.col("n") > LARGEST_BUCKET), "largest"))
+    star = members.join(largest, "key").select(F.col("hub").alias("a"), F.col("set_id").alias("b")).where("a != b")
+    rest = members.join(largest, "key", "left_anti").join(sets, "set_id")
+    rest = rest.select("key", "set_id", "counts", "n_shingles").repartition("key").sortWithinPartitions("key")
+    return star.union(rest.mapInArrow(_join_buckets, "a long, b long"))
+
+
+def _families(documents, sets, common):
+    """Sets that candidate pairs connect: ``family, set_id, doc_id, tile, tiles``."""
+    routed = documents.select("text").mapInArrow(_prefixes(common), "key long, set_id long")
+    routed = routed.repartition("key").sortWithinPartitions("key", "set_id")
+    pairs = routed.mapInArrow(_bucket_pairs, "a long, b long, member boolean")
+    pairs = stage(pairs.distinct(), "pairs")
+    near = components(_near_in_small(pairs, sets).union(_near_in_large(pairs, sets)))
+    members = near.withColumnsRenamed({"id": "set_id", "component": "family"})
     members = members.join(sets.select("set_id", "doc_id", "n_shingles"), "set_id")
     total = members.groupBy("family").agg(F.ceil(F.sum("n_shingles") / TILE_SHINGLES).alias("tiles"))
     members = members.join(total, "family")
