@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+BATCH_ROWS = 1000
 # The characters that separate words: space and U+0009 to U+000D.
 GAP = np.zeros(256, bool)
 GAP[[32, *range(9, 14)]] = True
@@ -17,6 +18,13 @@ LOWER[65:91] += 32
 _BASE = 0x9E3779B97F4A7C15
 
 
+def small_batches(spark):
+    """Lets Arrow batches hold fewer rows than by default: rows of texts can be long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def mix(values):
     """64-bit finaliser: close inputs give unrelated outputs."""
     x = values.copy()
@@ -29,17 +37,15 @@ def mix(values):
 
 
 def slices(batches, column="text", limit=SLICE_BYTES):
-    """The batches again, in slices of about ``limit`` bytes of ``column``, nulls as ''.
+    """The batches again, in slices of about ``limit`` bytes of ``column``.
 
-    A text longer than the limit is a slice of its own.
+    A text longer than the limit is a slice of its own. Nulls stay; ``flat`` reads them as ''.
     """
     for batch in batches:
         if not batch.num_rows:
             continue
         at = batch.schema.get_field_index(column)
-        filled = pc.fill_null(batch.column(at), "")
-        batch = batch.set_column(at, column, filled)
-        sizes = pc.binary_length(filled).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
         begun, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > limit:
@@ -50,7 +56,9 @@ def slices(batches, column="text", limit=SLICE_BYTES):
 
 
 def flat(column):
-    """A string column without nulls as its bytes and the offset of each text."""
+    """A string column as its bytes and the offset of each text; a null is an empty text."""
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if pa.types.is_large_string(column.type):
         column = column.cast(pa.string())
     _, offsets, data = column.buffers()

@@ -69,7 +69,7 @@ def components(edges):
     a skewed join, which adaptive execution splits. Ids without links are not in the result.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
-    edges = stage(edges.mapInArrow(_contract, "a long, b long"), "links")
+    edges = stage(edges.distinct().mapInArrow(_contract, "a long, b long"), "links")
     seen = None
     while True:
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from rateflow.llm.arrays import LOWER, batch, flat, mix, ngrams, signed, slices, word_hashes, word_spans
+from rateflow.llm.arrays import LOWER, batch, flat, mix, ngrams, signed, slices, small_batches, word_hashes, word_spans
 from rateflow.llm.graph import components
 from rateflow.operators.joins import broadcast_if_small
 from rateflow.session import stage
@@ -29,6 +29,8 @@ COMMON_TOTAL = 8
 SMALL_BUCKET = 6
 # Beyond so many sets a bucket gives a star that is not pruned: all its sets are one family.
 LARGEST_BUCKET = 20_000
+# Shingles that a task of the first pass holds before it counts them.
+KEYS_HELD = 1_500_000
 TILE_SHINGLES = 400_000
 LEAF = 16
 
@@ -98,12 +100,12 @@ def _describe(batches):
             vectors.append(np.minimum(count_vector(mine, groups_for(n)), 255).astype(np.uint8).tobytes() if n else b"")
             if n and ids[i] not in seen:
                 seen.add(ids[i])
-                keys.append(mine[: n // 2 + 1])
+                keys.append(mine[: n // 2 + 1].copy())
         none = np.full(len(ids), None)
         yield batch(
             doc_id=rows.column("doc_id"), set_id=ids, n_shingles=sizes, counts=vectors, met=_longs(none)
         )
-        if sum(map(len, keys)) > 4_000_000:
+        if sum(map(len, keys)) > KEYS_HELD:
             yield _common(keys)
             keys = []
     if keys:
@@ -441,6 +443,7 @@ def jaccard_components(documents):
     component of its own and takes that of its links. Other columns are not read.
     """
     spark = documents.sparkSession
+    small_batches(spark)
     documents = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, set_id long, n_shingles long, counts binary, met long"
     described = stage(documents.mapInArrow(_describe, schema), "sets")

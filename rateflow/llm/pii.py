@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from rateflow.llm.arrays import batch
+from rateflow.llm.arrays import batch, small_batches
 
 # The kinds in their order and the forms of the base spans.
 KINDS = ("email", "ip", "card", "phone")
@@ -268,6 +268,7 @@ def detect(documents, weights):
     Offsets are code points, ends exclusive. A null or empty text has no spans. Repeated rows
     give repeated rows. Other columns are not read.
     """
+    small_batches(documents.sparkSession)
     rows = documents.select("doc_id", "text")
     schema = StructType([rows.schema["doc_id"], *_schema(rows)])
     return rows.mapInArrow(_detect(weights, ["doc_id"]), schema)
