@@ -24,9 +24,9 @@ WORDS = 5
 SHARE, SHARE_UP = 75, 100
 # Shingles met in so many sets of one task are put last in the common order.
 COMMON = 2
-COMMON_TOTAL = 8
+COMMON_TOTAL = 2
 # Buckets up to this many sets give all their pairs; larger ones are joined through an R-tree.
-SMALL_BUCKET = 6
+SMALL_BUCKET = 10
 # Beyond so many sets a bucket gives a star that is not pruned: all its sets are one family.
 LARGEST_BUCKET = 20_000
 # Shingles that a task of the first pass holds before it counts them.
@@ -365,7 +365,7 @@ def _join_tiles(batches):
 def _tiled(documents, members):
     """Links found within each tile of ``members(family, tile, set_id, doc_id, query)``."""
     texts = documents.where("text is not null").select("doc_id", "text")
-    rows = texts.join(members, "doc_id").select("family", "tile", "set_id", "query", "text")
+    rows = texts.join(broadcast_if_small(members), "doc_id").select("family", "tile", "set_id", "query", "text")
     rows = rows.repartition("family", "tile").sortWithinPartitions("family", "tile", "set_id")
     return rows.mapInArrow(_join_tiles, "a long, b long")
 
