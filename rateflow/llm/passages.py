@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from rateflow.llm.arrays import batch, flat, mix, ngrams, signed, slices, sliding, word_hashes, word_spans
+from rateflow.llm.arrays import batch, flat, mix, ngrams, signed, slices, sliding, small_batches, word_hashes, word_spans
 from rateflow.operators.joins import broadcast_if_small
 from rateflow.session import stage
 
@@ -79,32 +79,47 @@ def runs_of(hashes, before):
 
 
 def _emit_runs(batches):
+    """Runs on their way to meet others of their context.
+
+    Contexts met twice in a slice are known to be shared: their runs travel anywhere, and one
+    herald goes in their place. So a hot context brings one row a slice to its task.
+    """
     for rows in slices(batches):
         data, offsets = flat(rows.column("text"))
         starts, ends, before = word_spans(data, offsets)
         of, start, count, context, content = runs_of(word_hashes(data, starts, ends), before)
+        row, weight = rows.column("row").to_numpy()[of], rows.column("weight").to_numpy()[of]
+        _, first, where, met = np.unique(context, return_index=True, return_inverse=True, return_counts=True)
+        known = (met > 1)[where]
+        heralds = first[met > 1]
+        route = np.where(known, mix(content + row.view(np.uint64) + start.astype(np.uint64)), context)
+        weight = np.where(known & (weight == 1), MARKED, weight)
+        ends_ = np.full(len(heralds), HERALD)
         yield batch(
-            context=signed(context),
-            content=signed(content),
-            row=rows.column("row").to_numpy()[of],
-            start=start.astype(np.int32),
-            n=count.astype(np.int32),
-            weight=rows.column("weight").to_numpy()[of],
+            route=signed(np.concatenate((route, context[heralds]))),
+            context=signed(np.concatenate((context, context[heralds]))),
+            content=signed(np.concatenate((content, content[heralds]))),
+            row=np.concatenate((row, row[heralds])),
+            start=np.concatenate((start, start[heralds])).astype(np.int32),
+            n=np.concatenate((count, count[heralds])).astype(np.int32),
+            weight=np.concatenate((weight, ends_)).astype(np.int32),
         )
 
 
-RUN = "context long, content long, row long, start int, n int, weight int"
+RUN = "route long, context long, content long, row long, start int, n int, weight int"
+# Weights that say something else: a run known to be shared, and a herald.
+MARKED, HERALD = 1 << 20, 1 << 21
 
 
 def _shared(batches):
-    """Runs whose context is met more than once; rows come sorted by context."""
+    """Runs whose context is met more than once; rows come sorted by route."""
     held = None
     for rows in batches:
         if not rows.num_rows:
             continue
         # Of the batch before, only its last row is open.
         whole = pa.Table.from_batches([held, rows] if held is not None else [rows]).combine_chunks()
-        context, weight = (whole.column(c).to_numpy() for c in ("context", "weight"))
+        context, weight = (whole.column(c).to_numpy() for c in ("route", "weight"))
         same = context[1:] == context[:-1]
         keep = weight > 1
         keep[1:] |= same
@@ -116,15 +131,12 @@ def _shared(batches):
             yield from whole.slice(0, last).filter(pa.array(found)).to_batches()
         held = whole.slice(last)
         if keep[last] and weight[last] < 2:
-            held = held.set_column(5, "weight", pa.array([MARKED], pa.int32()))
+            held = held.set_column(6, "weight", pa.array([MARKED], pa.int32()))
         held = held.to_batches()[0]
-    if held is not None and held.column(5)[0].as_py() != 1:
+    if held is not None and held.column(6)[0].as_py() != 1:
         yield held
 
 
-MARKED = 1 << 20
-
-
 def _run_words(batches):
     """The words of the runs listed for each text, 6 bytes of hash a word."""
     for rows in slices(batches):
@@ -317,6 +329,7 @@ def remove_repeats(documents):
     windows are judged on the input. Equal texts repeat each other, also in rows with one id.
     A null, empty or short text has no windows and keeps its words. Other columns are not read.
     """
+    small_batches(documents.sparkSession)
     rows = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row"))
     texts = rows.select("row", F.unhex(F.md5(F.col("text").cast("binary"))).alias("digest")).where("digest is not null")
     equal = texts.groupBy("digest").agg(F.count("*").alias("copies"), F.min("row").alias("lead")).where("copies > 1")
@@ -324,8 +337,8 @@ def remove_repeats(documents):
     rows = rows.join(broadcast_if_small(equal), "row", "left").withColumn("copied", F.col("lead").isNotNull())
     single = rows.where("lead is null or lead = row")
     weighed = single.select("row", "text", F.when(F.col("copied"), 2).otherwise(1).alias("weight"))
-    runs = weighed.mapInArrow(_emit_runs, RUN).repartition("context").sortWithinPartitions("context")
-    shared = stage(runs.mapInArrow(_shared, RUN), "runs")
+    runs = weighed.mapInArrow(_emit_runs, RUN).repartition("route").sortWithinPartitions("route")
+    shared = stage(runs.mapInArrow(_shared, RUN).where(F.col("weight") != HERALD).drop("route"), "runs")
     shared = shared.withColumn("weight", F.when(F.col("weight") == MARKED, 1).otherwise(F.col("weight")))
     found = stage(_repeated(weighed, shared), "repeats")
     spans = shared.select("context", "content", "row", "start").distinct().join(found, ["context", "content"])
