@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from rateflow.llm.arrays import batch, flat, slices
+from rateflow.llm.arrays import batch, flat, slices, small_batches
 from rateflow.operators.joins import broadcast_if_small
 from rateflow.session import stage
 
@@ -244,18 +244,21 @@ def train(documents, labels, count_folds=(1, 2, 3), calibrate_folds=(4,)):
     return shared, weights
 
 
-def score(documents, trained, keep_text=False):
-    """``documents`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on).
+def score(documents, trained, keep_text=False, prefix=""):
+    """``documents`` with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on), after ``prefix``.
 
     Every row gets a score from its text alone; a null or empty one has no evidence and gets
     that of the constant. Columns named like the two are replaced; ``text`` is only returned
-    with ``keep_text``.
+    with ``keep_text``, where a null comes back as null.
     """
+    small_batches(documents.sparkSession)
     shared, weights = trained
-    rest = documents.drop("score", "predicted")
+    names = f"{prefix}score", f"{prefix}predicted"
+    rest = documents.drop(*names)
     kept = [f for f in rest.schema.fields if keep_text or f.name != "text"]
-    schema = StructType([*kept, *[StructField(f"evidence_{n}", DoubleType()) for n in FEATURES]])
-    found = rest.mapInArrow(_measure(shared, [f.name for f in kept], "evidence_"), schema)
-    total = sum((F.col(f"evidence_{n}") * float(w) for n, w in zip(FEATURES, weights)), F.lit(float(weights[-1])))
-    scored = found.select(*[f"`{f.name}`" for f in kept], (1 / (1 + F.exp(-total))).alias("score"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    schema = StructType([*kept, *[StructField(f"evidence {n}", DoubleType()) for n in FEATURES]])
+    found = rest.mapInArrow(_measure(shared, [f.name for f in kept], "evidence "), schema)
+    evidence = [F.col(f"`evidence {n}`") * float(w) for n, w in zip(FEATURES, weights)]
+    value = 1 / (1 + F.exp(-sum(evidence, F.lit(float(weights[-1])))))
+    scored = found.select(*[f"`{f.name}`" for f in kept], value.alias(names[0]))
+    return scored.withColumn(names[1], (F.col(f"`{names[0]}`") >= 0.5).cast("int"))
