@@ -6,8 +6,6 @@ row as plain columns. A page or row that does not fit the expected shape comes o
 ``reason`` instead of being dropped.
 """
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from rateflow.functions.html import (
@@ -40,26 +38,29 @@ CARDS_CLASS = (
 CARD_DATE_CLASS = "jet-listing-dynamic-field__content"
 
 
-def _cut(pages, tail, tag):
-    """Add ``body``, the part of the page inside the element that ``tail`` begins with."""
-    return pages.withColumn("tail", tail).withColumn("body", balanced(F.col("tail"), tag))
+PAIRED, GRID, CARDS = "paired", "grid", "cards"
+SPAN_STRIDE, GRID_STRIDE, CARD_STRIDE = 2, 6, 5
+
+
+def _by_shape(paired, grid, cards):
+    """One of three expressions, by the page's shape; only that one is worked out."""
+    shape = F.col("shape")
+    return F.when(shape == PAIRED, paired).when(shape == GRID, grid).when(shape == CARDS, cards)
 
 
 def _rows(pages, size, entry):
     """One row per entry of a sound page, one row with the fault of any other page."""
-    sound = F.col("fault").isNull() & (size > 0)
-    entries = F.when(sound, F.transform(F.sequence(F.lit(0), size - 1), entry))
+    pages = pages.withColumn("size", size)
+    fault = F.coalesce("fault", F.when(F.col("size") < 1, F.lit("no entries")))
+    pages = pages.withColumn("fault", fault)
+    entries = F.when(F.col("fault").isNull(), F.transform(F.sequence(F.lit(0), F.col("size") - 1), entry))
     # An outer generator, because for an inner one Spark adds a filter "has entries" below it
     # that works the entries out a second time.
-    rows = pages.select("source", "page_id", "html", "fault", F.explode_outer(entries).alias("entry"))
+    entries = F.explode_outer(entries).alias("entry")
+    rows = pages.select("source", "page_id", "html", "shape", "agency", "fault", entries)
     rows = rows.where(F.col("entry").isNotNull() | F.col("fault").isNotNull())
-    return rows.select(
-        "source",
-        "page_id",
-        "fault",
-        F.when(F.col("fault").isNotNull(), F.col("html")).alias("html"),
-        "entry.*",
-    )
+    html = F.when(F.col("fault").isNotNull(), F.col("html")).alias("html")
+    return rows.select("source", "page_id", "shape", "agency", "fault", html, "entry.*")
 
 
 def _shaped(rows):
@@ -85,138 +86,140 @@ def _missing(*names):
     return F.when(absent != "", F.concat(F.lit("missing "), absent))
 
 
-def extract_paired(pages, agency=AGENCY_PAIRS):
-    """Second table of the page, spans in pairs: a linked name, then comma-separated details."""
-    cut = _cut(pages, after(visible(F.col("html")), opening("table"), 2), "table")
-    cut = cut.withColumn("all_spans", elements(F.col("body"), "span"))
+def _cut(pages):
+    """The part of each page that holds its entries, in pieces, and what is wrong with it.
+
+    Pairs stand in the spans of the second table, a linked name and then comma-separated
+    details; a grid in the cells of the issuers table; cards in the headings of the listing
+    container, with their dates beside them.
+    """
+    seen = visible(F.col("html"))
+    tail = _by_shape(
+        after(seen, opening("table"), 2),
+        after(seen, having("table", "id", GRID_TABLE_ID)),
+        after(seen, having("div", "class", CARDS_CLASS)),
+    )
+    body, tail_col = F.col("body"), F.col("tail")
+    stamp = rf"(?is){having_word('div', 'class', CARD_DATE_CLASS)}.*?</div(?=[\s>])[^>]*>"
+    dates = F.filter(texts_of(F.regexp_extract_all("body", F.lit(stamp), 0)), lambda text: text != "")
+    table = balanced(tail_col, "table")
+    cut = pages.withColumn("tail", tail).withColumn("body", _by_shape(table, table, balanced(tail_col, "div")))
+    cut = cut.withColumn("pieces", _by_shape(elements(body, "span"), elements(body, "td"), elements(body, "h2")))
+    cut = cut.withColumn("dates", F.when(F.col("shape") == CARDS, dates))
+    opened = _by_shape(count_opening(body, "span"), count_opening(body, "td"), count_opening(body, "h2"))
+    differ = (F.col("shape") == CARDS) & (F.size("pieces") / CARD_STRIDE != F.size("dates"))
     fault = (
-        F.when(F.col("body").isNull(), F.lit("no second table"))
-        .when(count_opening(F.col("body"), "span") != F.size("all_spans"), F.lit("nested or open span"))
+        F.when(F.col("shape").isNull(), F.lit("unknown source"))
+        .when(body.isNull(), _by_shape(*map(F.lit, ("no second table", "no issuers table", "no listing container"))))
+        .when(
+            opened != F.size("pieces"),
+            _by_shape(*map(F.lit, ("nested or open span", "nested or open cell", "nested or open heading"))),
+        )
+        .when(differ, F.lit("cards and dates differ in number"))
     )
-    spans = F.slice("all_spans", F.lit(HEADER_SPANS + 1), F.greatest(F.size("all_spans"), F.lit(1)))
-    rows = _rows(
-        cut.withColumn("fault", fault).withColumn("spans", spans),
-        F.floor(F.size("spans") / 2).cast("int"),
-        lambda i: F.struct(
-            i.alias("row"),
-            F.get("spans", 2 * i).alias("head"),
-            F.get("spans", 2 * i + 1).alias("detail"),
-        ),
+    return cut.withColumn("fault", fault)
+
+
+def _entries(pages):
+    """A row for each entry, with the pieces of the page that it is made of."""
+    pieces = F.col("pieces")
+    size = _by_shape(
+        F.floor((F.size(pieces) - HEADER_SPANS) / SPAN_STRIDE).cast("int"),
+        F.ceil(F.size(pieces) / GRID_STRIDE).cast("int"),
+        F.size("dates"),
     )
-    rows = _with_texts(rows, name=first(F.col("head"), "a"), detail=F.col("detail"))
-    rows = composite(rows.withColumn("detail", strip("detail")), "detail").withColumn("agency", F.lit(agency))
-    reason = F.coalesce("fault", _missing("name"), "part_fault")
-    return _shaped(
-        rows.withColumn("reason", reason).withColumn(
-            "raw", F.when(F.col("reason").isNotNull(), F.coalesce("html", "detail"))
+
+    def parts(i):
+        heads = F.slice(pieces, CARD_STRIDE * i + 2, F.lit(CARD_STRIDE - 1))
+        return _by_shape(
+            F.slice(pieces, HEADER_SPANS + SPAN_STRIDE * i + 1, F.lit(SPAN_STRIDE)),
+            F.slice(pieces, GRID_STRIDE * i + 1, F.lit(GRID_STRIDE)),
+            F.concat(heads, F.array(F.get("dates", i))),
         )
-    )
 
+    return _rows(_cut(pages), size, lambda i: F.struct(i.alias("row"), parts(i).alias("shown")))
+
+
+def _linked(rows):
+    """Add the links of a grid's cells: each link's target and the link."""
+    links = F.transform("shown", lambda cell: first(cell, "a"))
+    rows = rows.withColumn("links", F.when(F.col("shape") == GRID, links))
+    pair = F.transform("links", lambda link: F.struct(attribute(link, "a", "href").alias("href"), link.alias("link")))
+    return rows.withColumn("linked", pair)
 
-def extract_grid(pages, agency=AGENCY_GRID, stride=6):
-    """Cells of the issuers table, ``stride`` to a row.
 
-    Name and date are told by the prefix of their link; rating and outlook stand in cells 1
-    and 2 when these hold no link.
+def _read(pages):
+    """Rows of pages of any shape, each page read and cut once.
+
+    In a grid, name and date are told by the prefix of their link; rating and outlook stand
+    in cells 1 and 2 when these hold no link. Cards and dates are matched by position alone,
+    so a page where they differ in number is reported whole: any pairing would be a guess.
     """
-    cut = _cut(pages, after(visible(F.col("html")), having("table", "id", GRID_TABLE_ID)), "table")
-    cut = cut.withColumn("cells", elements(F.col("body"), "td"))
-    fault = (
-        F.when(F.col("body").isNull(), F.lit("no issuers table"))
-        .when(count_opening(F.col("body"), "td") != F.size("cells"), F.lit("nested or open cell"))
-    )
-    rows = _rows(
-        cut.withColumn("fault", fault),
-        F.ceil(F.size("cells") / stride).cast("int"),
-        lambda i: F.struct(
-            i.alias("row"), F.slice("cells", stride * i + 1, F.lit(stride)).alias("cells")
-        ),
-    )
-    rows = rows.withColumn(
-        "links", F.transform("cells", lambda cell: first(cell, "a"))
-    ).withColumn(
-        "linked",
-        F.transform(
-            "links", lambda link: F.struct(attribute(link, "a", "href").alias("href"), link.alias("link"))
-        ),
-    )
+    rows = _linked(_entries(pages))
+    part = lambda i: F.get("shown", F.lit(i))
 
     def linked(prefix):
-        hits = F.filter("linked", lambda x: F.startswith(x["href"], F.lit(prefix)))
-        return F.get(hits, F.lit(0))["link"]
+        return F.get(F.filter("linked", lambda x: F.startswith(x["href"], F.lit(prefix))), F.lit(0))["link"]
 
     def cell(at):
-        plain = F.get("links", F.lit(at)).isNull()
-        return F.when(plain, first(F.get("cells", F.lit(at)), "span"))
+        return F.when(F.get("links", F.lit(at)).isNull(), first(part(at), "span"))
 
+    none = F.lit(None).cast("string")
     rows = _with_texts(
         rows,
-        keep=["cells"],
-        name=linked(ISSUER_LINK),
-        rating=cell(1),
-        pred=cell(2),
-        rat_date=linked(RELEASE_LINK),
-    ).select("*", F.lit(ABSENT).alias("observation"), F.lit(agency).alias("agency"))
-    reason = F.coalesce("fault", _missing("name", "rating", "pred", "rat_date"))
-    return _shaped(
-        rows.withColumn("reason", reason).withColumn(
-            "raw", F.when(F.col("reason").isNotNull(), F.coalesce("html", F.array_join("cells", "")))
-        )
+        keep=["shape", "agency", "shown"],
+        shown_name=_by_shape(first(part(0), "a"), linked(ISSUER_LINK), part(0)),
+        shown_rating=_by_shape(none, cell(1), part(1)),
+        shown_observation=_by_shape(none, none, part(2)),
+        shown_pred=_by_shape(none, cell(2), part(3)),
+        shown_date=_by_shape(none, linked(RELEASE_LINK), none),
+        detail=_by_shape(part(1), none, none),
+    )
+    rows = composite(rows.withColumn("detail", strip("detail")), "detail")
+    rows = rows.withColumn("name", F.col("shown_name"))
+    texts = {
+        "rating": _by_shape(F.col("rating"), F.col("shown_rating"), F.col("shown_rating")),
+        "pred": _by_shape(F.col("pred"), F.col("shown_pred"), F.col("shown_pred")),
+        "observation": _by_shape(F.col("observation"), F.lit(ABSENT), F.col("shown_observation")),
+        "rat_date": _by_shape(F.col("rat_date"), F.col("shown_date"), part(CARD_STRIDE - 1)),
+    }
+    rows = rows.withColumns(texts)
+    lacking = _by_shape(
+        F.coalesce(_missing("name"), F.col("part_fault")), _missing("name", "rating", "pred", "rat_date"), none
     )
+    rows = rows.withColumn("reason", F.coalesce("fault", lacking))
+    raw = F.coalesce("html", _by_shape(F.col("detail"), F.array_join("shown", ""), none))
+    return _shaped(rows.withColumn("raw", F.when(F.col("reason").isNotNull(), raw)))
 
 
-def extract_cards(pages, agency=AGENCY_CARDS, stride=5):
-    """Headings of the listing container, ``stride`` to a card, and its dates by ordinal.
+def _of_one(pages, shape, agency):
+    return _read(pages.select("source", "page_id", "html", F.lit(shape).alias("shape"), F.lit(agency).alias("agency")))
 
-    Dates are matched by position alone, so a page whose dates and cards differ in number is
-    reported whole: any pairing of it would be a guess.
-    """
-    cut = _cut(pages, after(visible(F.col("html")), having("div", "class", CARDS_CLASS)), "div")
-    stamp = rf"(?is){having_word('div', 'class', CARD_DATE_CLASS)}.*?</div(?=[\s>])[^>]*>"
-    cut = cut.withColumn("heads", elements(F.col("body"), "h2")).withColumn(
-        "dates",
-        F.filter(texts_of(F.regexp_extract_all("body", F.lit(stamp), 0)), lambda text: text != ""),
-    )
-    cards = F.size("heads") / stride
-    fault = (
-        F.when(F.col("body").isNull(), F.lit("no listing container"))
-        .when(count_opening(F.col("body"), "h2") != F.size("heads"), F.lit("nested or open heading"))
-        .when(cards != F.size("dates"), F.lit("cards and dates differ in number"))
-    )
-    rows = _rows(
-        cut.withColumn("fault", fault),
-        F.size("dates"),
-        lambda i: F.struct(
-            i.alias("row"),
-            F.get("heads", stride * i + 1).alias("name"),
-            F.get("heads", stride * i + 2).alias("rating"),
-            F.get("heads", stride * i + 3).alias("observation"),
-            F.get("heads", stride * i + 4).alias("pred"),
-            F.get("dates", i).alias("rat_date"),
-        ),
-    )
-    headings = {c: F.col(c) for c in ("name", "rating", "observation", "pred")}
-    rows = _with_texts(rows, keep=["rat_date"], **headings)
-    return _shaped(
-        rows.select(
-            "*", F.lit(agency).alias("agency"), F.col("fault").alias("reason"), F.col("html").alias("raw")
-        )
-    )
+
+def extract_paired(pages, agency=AGENCY_PAIRS):
+    """Second table of the page, spans in pairs: a linked name, then comma-separated details."""
+    return _of_one(pages, PAIRED, agency)
+
+
+def extract_grid(pages, agency=AGENCY_GRID):
+    """Cells of the issuers table, six to a row."""
+    return _of_one(pages, GRID, agency)
+
+
+def extract_cards(pages, agency=AGENCY_CARDS):
+    """Headings of the listing container, five to a card, and its dates by ordinal."""
+    return _of_one(pages, CARDS, agency)
 
 
-SHAPES = {
-    AGENCY_PAIRS: extract_paired,
-    AGENCY_GRID: extract_grid,
-    AGENCY_CARDS: extract_cards,
-}
+SHAPES = {AGENCY_PAIRS: PAIRED, AGENCY_GRID: GRID, AGENCY_CARDS: CARDS}
 
 
 def extract(pages, shapes=None):
-    """Rows of all sources. ``shapes`` maps the value of ``source`` to its extractor.
+    """Rows of all sources, each page read once and cut once.
 
-    With pages stored by source each branch scans its own partition, so every page is read
-    and parsed once.
+    ``shapes`` maps the value of ``source``, which is the agency, to the shape of its pages. A page
+    of another source, or of none, is reported whole.
     """
     shapes = SHAPES if shapes is None else shapes
-    feeds = [take(pages.where(F.col("source") == name)) for name, take in shapes.items()]
-    return reduce(lambda left, right: left.unionByName(right), feeds)
+    shape = F.coalesce(*[F.when(F.col("source") == name, F.lit(s)) for name, s in shapes.items()])
+    return _read(pages.select("source", "page_id", "html", shape.alias("shape"), F.col("source").alias("agency")))

@@ -17,6 +17,7 @@ from rateflow.operators import (
     normalize,
     rejected,
 )
+from rateflow.operators.extract import CARDS_CLASS
 from rateflow.schema import AGENCY_CARDS, AGENCY_GRID, AGENCY_PAIRS, RATINGS
 from rateflow.sources import extract_archive, read_archive
 
@@ -74,7 +75,7 @@ def test_paired_header_and_odd_span(spark):
     assert len(good(read(spark, extract_paired, (source, page_id, odd)))) == 1
     header_only = paired()
     rows = read(spark, extract_paired, header_only)
-    assert rows.count() == 0
+    assert reasons(rows) == ["no entries"] and accepted(rows).count() == 0
 
 
 def test_paired_faults(spark):
@@ -131,6 +132,19 @@ def test_cards_count_mismatch_rejects_the_page(spark):
     ]
 
 
+def test_no_page_vanishes(spark):
+    unknown = ("other", 8, "<p>x</p>"), (None, 9, "<p>x</p>")
+    moved = [
+        (AGENCY_PAIRS, 1, paired(("A", "r, 15.01.2024"))[2].replace("span", "b")),
+        (AGENCY_GRID, 2, grid(("A", "r", "p", "15.01.2024"))[2].replace("td", "li")),
+        (AGENCY_CARDS, 3, f'<div class="{CARDS_CLASS}"><h3>A</h3></div>'),
+    ]
+    rows = read(spark, extract, *unknown, *moved, *listing())
+    assert reasons(rows) == ["no entries"] * 3 + ["unknown source"] * 2
+    assert {r.page_id for r in rejected(rows).collect()} == {1, 2, 3, 8, 9}
+    assert accepted(rows).count() == 6
+
+
 def test_empty_pages(spark):
     rows = normalize(extract(pages(spark)))
     assert accepted(rows).count() == 0 and rejected(rows).count() == 0
