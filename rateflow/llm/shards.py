@@ -8,8 +8,8 @@ run that is repeated skips what is there, and a reader may begin at any slot.
 """
 
 import base64
-import re
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +26,8 @@ LENGTH = 256
 SHARD_SLOTS = 1 << 15
 ROUNDS = 6
 HEADER = np.dtype([("doc_id", "<i8"), ("chunk", "<u4"), ("n_tokens", "<u4")])
-CACHED_UNITS = 200_000
 # Fixed value: how the public vocabulary splits a text before it merges bytes.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-UNITS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 
 
 def load_ranks(path):
@@ -44,24 +42,16 @@ def load_ranks(path):
     return out
 
 
-class Packer(dict):
-    """Packed token ids of a text's units, each encoded once."""
-
-    def __init__(self, ranks):
-        import tiktoken
+def encoding(ranks):
+    """The vocabulary's encoder; a worker process builds it once and keeps it by its content."""
+    import tiktoken
+    from tiktoken.registry import ENCODINGS
 
+    name = f"ranks-{zlib.crc32(b' '.join(ranks))}-{len(ranks)}"
+    if name not in ENCODINGS:
         known = {token: i for i, token in enumerate(ranks) if token}
-        self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=known, special_tokens={})
-
-    def __missing__(self, unit):
-        if len(self) > CACHED_UNITS:
-            self.clear()
-        packed = np.array(self.encoding.encode_ordinary(unit), "<u2").tobytes()
-        self[unit] = packed
-        return packed
-
-    def pack(self, text):
-        return b"".join(map(self.__getitem__, UNITS.findall(text))) if text else b""
+        ENCODINGS[name] = tiktoken.Encoding(name, pat_str=PATTERN, mergeable_ranks=known, special_tokens={})
+    return ENCODINGS[name]
 
 
 def permute(numbers, total, key, rounds=ROUNDS):
@@ -85,9 +75,9 @@ def permute(numbers, total, key, rounds=ROUNDS):
 
 def _count(ranks):
     def run(batches):
-        packer = Packer(ranks.value)
+        encode = encoding(ranks.value).encode_ordinary
         for rows in slices(batches):
-            sizes = [len(packer.pack(t)) // 2 for t in rows.column("text").to_pylist()]
+            sizes = [len(encode(t)) if t else 0 for t in rows.column("text").to_pylist()]
             yield batch(row=rows.column("row"), doc_id=rows.column("doc_id"), n_tokens=np.array(sizes, np.int64))
 
     return run
@@ -98,9 +88,10 @@ def _numbered(counts, length):
 
     Rows are range-partitioned; totals of partitions, one number each, give the offsets.
     """
-    ranged = counts.repartitionByRange("doc_id", "row").withColumn("part", F.spark_partition_id())
+    # Staged first: the sampling for a range partitioning would encode every text again.
+    ranged = stage(counts, "counts").repartitionByRange("doc_id", "row").withColumn("part", F.spark_partition_id())
     ranged = ranged.withColumn("n", F.ceil(F.col("n_tokens") / length))
-    ranged = stage(ranged, "counts")
+    ranged = stage(ranged, "ranged")
     parts = ranged.groupBy("part").agg(F.sum("n").alias("all"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("offset"))
@@ -117,13 +108,13 @@ def _cut(ranks, length, total, key):
     """A row for each sequence: its slot and packed tokens."""
 
     def run(batches):
-        packer = Packer(ranks.value)
+        encode = encoding(ranks.value).encode_ordinary
         for rows in slices(batches):
             firsts = rows.column("firsts").to_pylist()
             ids = rows.column("doc_id").to_pylist()
             numbers, owners, chunks, tokens = [], [], [], []
             for doc_id, text, begins in zip(ids, rows.column("text").to_pylist(), firsts):
-                packed = packer.pack(text)
+                packed = np.array(encode(text), "<u2").tobytes()
                 for chunk, at in enumerate(range(0, len(packed), 2 * length)):
                     for first in begins:
                         numbers.append(first + chunk)
