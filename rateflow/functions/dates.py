@@ -1,5 +1,7 @@
 """Date expressions."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 _DAY_MONTH_YEAR = r"^[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}$"
@@ -16,8 +18,8 @@ def parse_day(text):
 
 
 def parse_run_date(text):
-    """Date of ``yyyy-MM-dd`` text; other text is an error."""
-    return F.to_date(F.lit(text), "yyyy-MM-dd")
+    """Date of ``yyyy-MM-dd`` text; other text is an error. A date is taken as it is."""
+    return text if isinstance(text, dt.date) else dt.datetime.strptime(text, "%Y-%m-%d").date()
 
 
 def format_day(day):

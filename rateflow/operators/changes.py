@@ -1,6 +1,5 @@
 """News: how an issuer's rating moved between announcements."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from rateflow.operators.ordering import preceded
@@ -9,7 +8,6 @@ from rateflow.session import stage
 
 ISSUER = ["agency", "name"]
 ORDER = ["rat_date", "rating", "pred", "observation"]
-WINDOW_ROWS = 1_000_000
 
 
 def changes(ratings):
@@ -18,20 +16,11 @@ def changes(ratings):
     ``event`` is ``assigned`` for the first rating an agency gives an issuer, ``changed`` or
     ``confirmed`` afterwards. Announcements of one day are ordered by rating, outlook and
     observation. Equal announcements are one row with their number in ``copies``, counted
-    before the shuffle, so repeats do not make a group large. Should an issuer still have
-    more than ``WINDOW_ROWS`` distinct announcements, its history is split over tasks.
+    before the shuffle, so repeats do not make a group large, and a long history is split
+    over tasks.
     """
     merged = stage(ratings.groupBy(*RATING_COLUMNS).agg(F.count(F.lit(1)).alias("copies")), "merged")
-    largest = merged.groupBy(*ISSUER).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if (largest or 0) <= WINDOW_ROWS:
-        issuer = Window.partitionBy(*ISSUER).orderBy(*ORDER)
-        known = merged.select(
-            "*",
-            F.lag("rating").over(issuer).alias("previous"),
-            (F.row_number().over(issuer) == 1).alias("opens"),
-        )
-    else:
-        known = preceded(merged, ISSUER, ORDER, "rating")
+    known = preceded(merged, ISSUER, ORDER, "rating")
     event = (
         F.when(F.col("opens"), "assigned")
         .when(F.col("rating").eqNullSafe(F.col("previous")), "confirmed")

@@ -93,7 +93,7 @@ def _cut(pages):
     details; a grid in the cells of the issuers table; cards in the headings of the listing
     container, with their dates beside them.
     """
-    seen = visible(F.col("html"))
+    seen = F.col("seen")
     tail = _by_shape(
         after(seen, opening("table"), 2),
         after(seen, having("table", "id", GRID_TABLE_ID)),
@@ -103,6 +103,7 @@ def _cut(pages):
     stamp = rf"(?is){having_word('div', 'class', CARD_DATE_CLASS)}.*?</div(?=[\s>])[^>]*>"
     dates = F.filter(texts_of(F.regexp_extract_all("body", F.lit(stamp), 0)), lambda text: text != "")
     table = balanced(tail_col, "table")
+    pages = pages.withColumn("seen", visible(F.col("html")))
     cut = pages.withColumn("tail", tail).withColumn("body", _by_shape(table, table, balanced(tail_col, "div")))
     cut = cut.withColumn("pieces", _by_shape(elements(body, "span"), elements(body, "td"), elements(body, "h2")))
     cut = cut.withColumn("dates", F.when(F.col("shape") == CARDS, dates))

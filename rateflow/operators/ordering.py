@@ -12,14 +12,26 @@ from rateflow.operators.joins import broadcast_if_small
 from rateflow.session import stage
 
 
+SLOT_BYTES = 64 * 1024 * 1024
+
+
+def slots_for(stored, target=SLOT_BYTES):
+    """Partitions for a stored table, by the size of its files: a hot group is spread over as
+    many as it needs, whatever ``spark.sql.shuffle.partitions`` says."""
+    size = int(str(stored._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    least = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-size // target))
+
+
 def _slotted(df, group, order):
     """``df`` sorted, with each row's ``_slot`` and its increasing position ``_at``.
 
     The sorted rows are written to the shared folder: what is read from them more than once
     then agrees on the borders.
     """
+    df = stage(df, "unsorted")
     placed = (
-        df.repartitionByRange(*group, *order)
+        df.repartitionByRange(slots_for(df), *group, *order)
         .sortWithinPartitions(*group, *order)
         .withColumn("_slot", F.spark_partition_id())
         .withColumn("_at", F.monotonically_increasing_id())

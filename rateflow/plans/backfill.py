@@ -2,13 +2,15 @@
 
 from pyspark.sql import functions as F
 
+from rateflow.functions.dates import parse_run_date
 from rateflow.operators.counts import base_counts, roll_up
 from rateflow.operators.digest import digest
 from rateflow.operators.extract import extract
 from rateflow.operators.normalize import accepted, normalize, rejected
+from rateflow.plans.daily import upload_days
 from rateflow.schema import AGENCY_TABLE, DAY, OUTBOX, RATINGS, STATS
 from rateflow.session import stage
-from rateflow.sinks.store import replace_days
+from rateflow.sinks.store import replace_days, write_day
 from rateflow.sources.store import read_days
 
 
@@ -29,7 +31,7 @@ def count_days(spark, store, first, last):
     """Recount the range's stored days: one pass over the ratings for all tables and days."""
     base = stage(base_counts(read_days(spark, store.ratings, first, last), DAY), "base")
     for table, schema in STATS.items():
-        replace_days(roll_up(base, table, DAY), store.stats(table), first, last, schema)
+        replace_days(roll_up(base, table, DAY), store.stats(table), first, last, schema, days=base)
 
 
 def message_days(spark, store, first, last):
@@ -40,15 +42,21 @@ def message_days(spark, store, first, last):
     ratings = read_days(spark, store.ratings, first, last)
     counts = read_days(spark, store.stats(AGENCY_TABLE), first, last, STATS[AGENCY_TABLE])
     # Messages come out of the day's own files, so they are written where they are made.
-    replace_days(digest(ratings, counts, days), store.outbox, first, last, OUTBOX, shuffle=False)
+    replace_days(digest(ratings, counts, days), store.outbox, first, last, OUTBOX, shuffle=False, days=days)
 
 
-def backfill(spark, pages, store, first, last, strict=False, shapes=None):
-    """All days from ``first`` to ``last``: ratings, counts and messages.
+def backfill(spark, pages, store, first, last, strict=False, shapes=None, database=None, only_new=()):
+    """All days from ``first`` to ``last``: ratings, counts, upload and messages.
 
-    Returns the rejected rows; they belong to pages and not to a day.
+    Returns the rejected rows; they belong to pages and not to a day, so they are stored
+    under the last day of the range, in place of what it had. Without ``database`` nothing
+    is uploaded.
     """
+    first, last = parse_run_date(first), parse_run_date(last)
     rows = stage(normalize(extract(pages, shapes), strict), "rows")
     store_days(spark, accepted(rows), store, first, last)
+    write_day(rejected(rows), store.rejects, last)
+    if database is not None:
+        upload_days(spark, store, first, last, database, only_new)
     message_days(spark, store, first, last)
     return rejected(rows)

@@ -7,7 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
 
-from rateflow.operators.counts import base_counts, roll_up, stamp
+from rateflow.functions.dates import parse_run_date
+from rateflow.operators.counts import base_counts, roll_up
 from rateflow.operators.digest import digest
 from rateflow.operators.extract import extract
 from rateflow.operators.normalize import accepted, normalize, rejected
@@ -20,16 +21,16 @@ from rateflow.schema import (
     DATE_TABLE,
     DAY,
     OUTBOX,
+    RATINGS,
     RATINGS_JDBC_TYPES,
     RATINGS_TABLE,
-    REJECTS,
     STATS,
 )
 from rateflow.session import stage
-from rateflow.sinks.jdbc import append_jdbc, fitting, too_wide
-from rateflow.sinks.store import write_day
+from rateflow.sinks.jdbc import CONNECTIONS, append_jdbc, fitting, too_wide
+from rateflow.sinks.store import replace_days, write_day
 from rateflow.sources.jdbc import read_jdbc
-from rateflow.sources.store import read_day, read_days, read_stats
+from rateflow.sources.store import read_day, read_days
 
 
 @dataclass(frozen=True)
@@ -54,6 +55,9 @@ class Store:
     def outbox(self):
         return f"{self.root}/outbox"
 
+    def refused_stats(self, table):
+        return f"{self.root}/refused_{table}"
+
     def stats(self, table):
         return f"{self.root}/{table}"
 
@@ -64,7 +68,7 @@ class Database:
 
     url: str
     properties: dict = field(default_factory=dict, repr=False)
-    connections: int | None = None
+    connections: int = CONNECTIONS
 
 
 def ingest_day(spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False):
@@ -85,35 +89,57 @@ def count_day(spark, store, day):
         write_day(roll_up(base, table), store.stats(table), day)
 
 
-def _loaded(spark, database, table, column, day):
-    """Whether the database already holds rows of the day."""
-    known = read_jdbc(spark, database.url, table, database.properties)
-    return not known.where(F.col(column) == F.lit(day).cast("date")).limit(1).isEmpty()
+class PartlyLoaded(Exception):
+    """A database table holds some rows of a day, but not as many as are stored."""
 
 
-def upload_day(spark, store, day, database, only_new=()):
-    """Append the day's ratings and stamped counts to the database.
+def _missing_days(spark, database, table, column, rows):
+    """Days of ``rows`` that the database table has no row of yet.
 
-    A table named in ``only_new`` must exist and is skipped when it holds the day already, so
-    that a repeated run adds nothing. Rows with a text over the column width would fail the
-    whole append; they go to the ``refused`` table instead.
+    A day counts as loaded when it has exactly as many rows there as here. Any other number
+    is what an append that died has left; that is an error, since rows cannot be told apart.
+    """
+    there = read_jdbc(spark, database.url, table, database.properties)
+    there = there.groupBy(F.col(column).alias("day")).agg(F.count("*").alias("present"))
+    here = rows.groupBy(F.col(column).alias("day")).agg(F.count("*").alias("expected"))
+    states = here.join(there, "day", "left").select("day", "expected", F.coalesce("present", F.lit(0)).alias("present"))
+    states = stage(states, "loaded")
+    odd = states.where("present not in (0, expected)").orderBy("day").first()
+    if odd:
+        raise PartlyLoaded(f"{table} has {odd['present']} of {odd['expected']} rows of {odd['day']}")
+    return states.where("present = 0").select(F.col("day").alias(column))
+
+
+def upload_days(spark, store, first, last, database, only_new=()):
+    """Append the ratings and stamped counts stored from ``first`` to ``last`` to the database.
+
+    A table named in ``only_new`` must exist; days that it holds already are left out, so that
+    a repeated run adds nothing. Rows with a text over the column width would fail the whole
+    append; they go to the table's ``refused`` rows instead, ratings and counts alike.
     """
-    ratings = read_day(spark, store.ratings, day)
-    write_day(too_wide(ratings), store.refused, day)
-    uploads = [(RATINGS_TABLE, fitting(ratings), RATINGS_JDBC_TYPES, "rat_date")]
+    ratings = read_days(spark, store.ratings, first, last)
+    uploads = [(RATINGS_TABLE, ratings, store.refused, RATINGS, RATINGS_JDBC_TYPES, "rat_date")]
     for table, types in (
         (AGENCY_TABLE, AGENCY_JDBC_TYPES),
         (AGENCY_RATING_TABLE, AGENCY_RATING_JDBC_TYPES),
         (DATE_TABLE, None),
     ):
-        counts = stamp(read_stats(spark, store.stats(table), table, day), day)
-        uploads.append((table, fitting(counts), types, "record_date"))
-    for table, rows, types, column in uploads:
-        if table in only_new and _loaded(spark, database, table, column, day):
-            continue
+        counts = read_days(spark, store.stats(table), first, last, STATS[table])
+        uploads.append((table, counts, store.refused_stats(table), STATS[table], types, "record_date"))
+    for table, rows, refused, schema, types, column in uploads:
+        replace_days(too_wide(rows), refused, first, last, schema)
+        rows = fitting(rows).withColumn("record_date", F.col(DAY)).drop(DAY)
+        rows = rows.drop("record_date") if column != "record_date" else rows
+        if table in only_new:
+            rows = rows.join(_missing_days(spark, database, table, column, rows), column, "left_semi").select(rows.columns)
         append_jdbc(rows, database.url, table, database.properties, types, database.connections)
 
 
+def upload_day(spark, store, day, database, only_new=()):
+    """The upload of one stored day."""
+    upload_days(spark, store, day, day, database, only_new)
+
+
 def message_day(spark, store, day):
     """The day's messages, to the outbox."""
     days = spark.range(1).select(F.lit(day).cast("date").alias(DAY))
@@ -122,10 +148,13 @@ def message_day(spark, store, day):
     write_day(digest(ratings, counts, days).select(*OUTBOX.fieldNames()), store.outbox, day)
 
 
-def run_day(spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False, database=None):
+def run_day(
+    spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False, database=None, only_new=()
+):
     """The whole chain for one day; without ``database`` nothing is uploaded."""
+    day = parse_run_date(day)
     ingest_day(spark, pages, store, day, mode, strict, shapes, one_file)
     count_day(spark, store, day)
     if database is not None:
-        upload_day(spark, store, day, database)
+        upload_day(spark, store, day, database, only_new)
     message_day(spark, store, day)

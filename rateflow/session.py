@@ -1,6 +1,5 @@
 """Session settings and the shared working folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,17 +28,13 @@ def build_session(name="rateflow", master=None, **settings):
 def shared_dir(spark):
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a temporary folder; a cluster without it is an
-    error, because a folder of one machine is lost with that machine.
+    A session without the setting uses a folder below its warehouse, which its executors share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rateflow-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+    return named.rstrip("/")
 
 
 def fresh_dir(spark, label):

@@ -22,9 +22,12 @@ def too_wide(df):
     return df.where(_wide(df))
 
 
-def jdbc_options(url, table, properties=None, column_types=None, connections=None):
+CONNECTIONS, BATCH_ROWS = 8, 10_000
+
+
+def jdbc_options(url, table, properties=None, column_types=None, connections=CONNECTIONS):
     """Writer options of one append."""
-    options = {"url": url, "dbtable": table, **(properties or {})}
+    options = {"url": url, "dbtable": table, "batchsize": str(BATCH_ROWS), **(properties or {})}
     if column_types:
         options["createTableColumnTypes"] = column_types
     if connections:
@@ -32,7 +35,7 @@ def jdbc_options(url, table, properties=None, column_types=None, connections=Non
     return options
 
 
-def append_jdbc(df, url, table, properties=None, column_types=None, connections=None):
+def append_jdbc(df, url, table, properties=None, column_types=None, connections=CONNECTIONS):
     """Append rows, creating the table with ``column_types`` when it is missing.
 
     ``connections`` bounds how many tasks write at once. An append is not idempotent: a run

@@ -1,51 +1,29 @@
 """Writing stored tables by day."""
 
-import math
-
 from pyspark.errors import AnalysisException
-from pyspark.sql import functions as F
 
 from rateflow.schema import DAY, by_day
 from rateflow.sources.store import read_days
 
-DAY_ROWS = 5_000_000
-
-
 def write_day(df, path, day, one_file=False):
     """Replace one day of a stored table; a day without rows becomes empty, not stale.
 
-    ``one_file`` asks for a single file. It is honoured up to ``DAY_ROWS`` rows; a larger
-    day stays spread, because one file is written by one task.
+    ``one_file`` brings the day to one task, which writes a single file whatever its size.
     """
-    if one_file and df.count() <= DAY_ROWS:
+    if one_file:
         df = df.repartition(1)
     df.write.mode("overwrite").parquet(f"{path}/{DAY}={day}")
 
 
-def arranged(df, *by):
-    """``df`` shuffled for a write partitioned by ``by``, of which the first is the day.
-
-    While no day exceeds ``DAY_ROWS`` rows, all rows of a day go to one task and make one
-    file, over as many tasks as the total needs. Otherwise adaptive rebalancing splits the
-    large days over several tasks and files. Measuring reads only the day column, so ``df``
-    should start from stored rows.
-    """
-    per_day = df.groupBy(by[0]).agg(F.count(F.lit(1)).alias("n"))
-    days, largest, total = per_day.agg(F.count(F.lit(1)), F.max("n"), F.sum("n")).first()
-    if not days or largest > DAY_ROWS:
-        return df.hint("rebalance", *by)
-    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(total / DAY_ROWS))
-    return df.repartition(min(days, tasks), by[0])
-
-
 def write_days(df, path, *by, shuffle=True):
     """Replace the day partitions present in ``df``, which carries the day; keep all others.
 
-    ``by`` names the partition columns, the day alone if not given. Without ``shuffle`` every
-    task writes the days it has, for rows that come from a table stored by day as it is.
+    ``by`` names the partition columns, the day alone if not given. Rows are rebalanced by
+    them: small days share a task, a large one is split over several. Without ``shuffle``
+    every task writes the days it has, for rows that come from a table stored by day.
     """
     by = by or (DAY,)
-    df = arranged(df, *by) if shuffle else df
+    df = df.hint("rebalance", *by) if shuffle else df
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -63,18 +41,19 @@ def _stored_days(spark, path, first, last, schema):
     return [day for (day,) in stored.select(DAY).distinct().collect()]
 
 
-def replace_days(df, path, first, last, schema, shuffle=True):
+def replace_days(df, path, first, last, schema, shuffle=True, days=None):
     """Make the days from ``first`` to ``last`` of a stored table exactly ``df``.
 
     A dynamic overwrite touches only days that have rows, so a stored day of the range that
     has none now is emptied on its own. There are at most as many as days in the range.
+    ``days`` is a table with the days of ``df``, for a ``df`` that is dear to work out twice.
     """
     spark = df.sparkSession
     before = _stored_days(spark, path, first, last, schema)
     write_days(df.select(*by_day(schema).fieldNames()), path, shuffle=shuffle)
     if not before:
         return
-    now = {day for (day,) in df.select(DAY).distinct().collect()}
+    now = {day for (day,) in (df if days is None else days).select(DAY).distinct().collect()}
     empty = spark.createDataFrame([], schema)
     for day in before:
         if day not in now:

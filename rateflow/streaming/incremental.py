@@ -1,12 +1,14 @@
 """New records only, from page files as they arrive."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rateflow.operators.counts import base_counts, roll_up
+from rateflow.operators.digest import digest
 from rateflow.operators.extract import extract
 from rateflow.operators.normalize import accepted, normalize, rejected
-from rateflow.schema import DAY, PAGES, RATING_COLUMNS, RATINGS, REJECTS, STATS, by_day
+from rateflow.schema import AGENCY_TABLE, DAY, OUTBOX, PAGES, RATING_COLUMNS, RATINGS, REJECTS, STATS, by_day
 from rateflow.session import stage
 from rateflow.sinks.store import write_days
 
@@ -15,7 +17,7 @@ BATCH = "batch"
 
 def _batched(schema):
     """Stored under its day and, below it, the micro-batch that brought it."""
-    return by_day(schema).add(BATCH, T.LongType())
+    return by_day(schema).add(BATCH, T.StringType())
 
 
 def read_batched(spark, path, schema=RATINGS):
@@ -31,40 +33,58 @@ def arriving_pages(spark, path, files_per_batch=None):
     return reader.parquet(path)
 
 
-def new_records(spark, ratings, path, batch_id):
-    """Distinct announcements of this batch that no earlier batch has stored.
+def new_records(spark, ratings, path, key):
+    """Distinct announcements of this batch that no other batch has stored.
 
     Only the partitions of the batch's own days are read back: their list prunes the scan at
     run time. It is bounded by the calendar, four-digit years making fewer than 3.7 million.
-    Batches are compared by number, so a replay does not meet its own rows.
+    A replay does not meet its own rows, since they have its own key.
     """
     fresh = ratings.dropDuplicates(RATING_COLUMNS).withColumn(DAY, F.col("rat_date"))
     days = F.broadcast(fresh.select(DAY).distinct())
-    stored = read_batched(spark, path).where(F.col(BATCH) < batch_id).join(days, DAY, "left_semi")
+    stored = read_batched(spark, path).where(F.col(BATCH) != key).join(days, DAY, "left_semi")
     same = [fresh[c].eqNullSafe(stored[c]) for c in RATING_COLUMNS if c != "rat_date"]
     return fresh.join(stored, [fresh[DAY] == stored[DAY], *same], "left_anti")
 
 
 def take_batch(pages, batch_id, store, shapes=None):
-    """One micro-batch: extract, keep what is new, store it and its counts.
+    """One micro-batch: extract, keep what is new, store it, its counts and its messages.
 
     Every table is written by day and batch: a replayed batch replaces its own partitions and
     nothing else. Counts are stored per batch too. They add up over batches, so a day that arrives in many
-    pieces is never read again to be recounted.
+    pieces is never read again to be recounted. Messages tell of the new records only. The
+    ratings come last: a batch that fails before them is new again.
     """
     spark = pages.sparkSession
+    key = batch_key(spark, batch_id)
     rows = stage(normalize(extract(pages, shapes)), "rows")
-    batch = F.lit(batch_id).cast("bigint").alias(BATCH)
-    # An empty table has no folder yet; this gives the first batch one to read.
-    spark.createDataFrame([], _batched(RATINGS)).write.mode("append").partitionBy(DAY, BATCH).parquet(
-        store.ratings
-    )
-    fresh = stage(new_records(spark, accepted(rows), store.ratings, batch_id), "fresh")
-    write_days(fresh.select(*RATING_COLUMNS, DAY, batch), store.ratings, DAY, BATCH)
+    batch = F.lit(key).alias(BATCH)
+    _begin(spark, store.ratings)
+    fresh = stage(new_records(spark, accepted(rows), store.ratings, key), "fresh")
     base = stage(base_counts(fresh, DAY), "base")
+    counts = {table: roll_up(base, table, DAY) for table in STATS}
+    news = digest(fresh, counts[AGENCY_TABLE], fresh.select(DAY).distinct())
+    write_days(news.select(*OUTBOX.fieldNames(), DAY, batch), store.outbox, DAY, BATCH)
     for table in STATS:
-        write_days(roll_up(base, table, DAY).select("*", batch), store.stats(table), DAY, BATCH)
+        write_days(counts[table].select("*", batch), store.stats(table), DAY, BATCH)
     write_days(rejected(rows).select(*REJECTS.fieldNames(), batch), store.rejects, BATCH)
+    write_days(fresh.select(*RATING_COLUMNS, DAY, batch), store.ratings, DAY, BATCH)
+
+
+def batch_key(spark, batch_id):
+    """Names a batch by its query and number: a new or lost checkpoint begins another query,
+    whose batches replace nothing of an earlier one."""
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+    return f"{query}-{batch_id}"
+
+
+def _begin(spark, path):
+    """Gives a table without a folder one to be read from."""
+    try:
+        read_batched(spark, path)
+    except AnalysisException:
+        empty = spark.createDataFrame([], _batched(RATINGS))
+        empty.write.mode("append").partitionBy(DAY, BATCH).parquet(path)
 
 
 def run_arrived(spark, pages, store, checkpoint, shapes=None):

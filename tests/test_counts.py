@@ -1,9 +1,10 @@
 import datetime as dt
 
 import random
-from importlib import import_module
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from samples import ratings
 
 from rateflow.operators import (
@@ -19,10 +20,9 @@ from rateflow.operators import (
     totals,
     union_feeds,
 )
+from rateflow.operators import ordering
 from rateflow.schema import AGENCY_RATING_TABLE, AGENCY_TABLE, DATE_TABLE, RATINGS
-
-changes_module = import_module("rateflow.operators.changes")
-
+from rateflow.session import stage
 
 def rows(df):
     return sorted((tuple(r) for r in df.collect()), key=repr)
@@ -101,10 +101,7 @@ def test_enforce_schema(spark):
     assert tuple(fixed.first()) == ("n", "2", "p", dt.date(2024, 1, 2), "o", "1")
 
 
-@pytest.mark.parametrize("window_rows", [10, 1])
-def test_changes(spark, monkeypatch, window_rows):
-    monkeypatch.setattr(changes_module, "WINDOW_ROWS", window_rows)
-
+def test_changes(spark):
     def day(n):
         return dt.date(2024, 1, n)
 
@@ -143,7 +140,23 @@ def test_a_split_history_equals_the_window(spark, monkeypatch):
             for n in range(2000)
         ],
     )
-    plain = rows(changes(history))
-    monkeypatch.setattr(changes_module, "WINDOW_ROWS", 100)
+    order = ["rat_date", "rating", "pred", "observation"]
+    issuer = Window.partitionBy("agency", "name").orderBy(*order)
+    merged = history.groupBy(*RATINGS.fieldNames()).agg(F.count("*").alias("copies"))
+    opens, before = F.row_number().over(issuer) == 1, F.lag("rating").over(issuer)
+    event = F.when(opens, "assigned").when(F.col("rating").eqNullSafe(before), "confirmed").otherwise("changed")
+    plain = rows(merged.select("*", before.alias("previous"), event.alias("event")))
+    assert rows(changes(history)) == plain
+    monkeypatch.setattr(ordering, "SLOT_BYTES", 512)
+    monkeypatch.setattr(ordering.slots_for, "__defaults__", (512,))
     monkeypatch.setattr("rateflow.operators.joins.broadcast_if_small.__defaults__", (0,))
     assert rows(changes(history)) == plain
+
+
+def test_a_hot_group_takes_more_slots_than_shuffle_partitions(spark):
+    hot = stage(spark.range(200_000).select(F.lit("hot").alias("name"), "id"), "hot")
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = ordering.slots_for(hot, 20_000)
+    assert wanted > 4 * least
+    slots = hot.repartitionByRange(wanted, "name", "id").select(F.spark_partition_id().alias("slot")).distinct().count()
+    assert slots > 4 * least

@@ -119,52 +119,80 @@ def test_stream_takes_new_records_once(spark, store, tmp_path):
     arrive(first[0], cards(("Банк Ж", "B", "-", "-", "15.01.2024"), page_id=3), paired(("x", "y"), page_id=4))
     run_arrived(spark, arriving_pages(spark, arrived), store, progress)
     stored = read_batched(spark, store.ratings)
-    assert sorted((r.batch, r.n) for r in stored.groupBy("batch").agg(F.count("*").alias("n")).collect()) == [
-        (0, 6),
-        (1, 1),
-    ]
+    found = stored.groupBy("batch").agg(F.count("*").alias("n")).collect()
+    assert sorted((r.batch.rpartition("-")[2], r.n) for r in found) == [("0", 6), ("1", 1)]
+    sent = read_batched(spark, store.outbox, OUTBOX).groupBy("kind").count().collect()
+    assert {r["kind"]: r["count"] for r in sent} == {"header": 2, "item": 7, "summary": 2}
     total = read_batched(spark, store.stats(AGENCY_TABLE), STATS[AGENCY_TABLE])
     assert total.agg(F.sum("num_ratings")).first()[0] == 7
     # A batch that is replayed after a failure leaves the same tables.
     take_batch(pages(spark, first[0], cards(("Банк Ж", "B", "-", "-", "15.01.2024"), page_id=3)), 1, store)
     assert read_batched(spark, store.ratings).count() == 7
+    # A lost checkpoint reads every page again: nothing is overwritten, nothing comes twice.
+    run_arrived(spark, arriving_pages(spark, arrived), store, str(tmp_path / "other"))
+    assert sorted(r.name for r in read_batched(spark, store.ratings).collect()) == sorted(r.name for r in stored.collect())
+    assert read_batched(spark, store.ratings).count() == 7
 
 
 def test_upload_day(spark, store, monkeypatch):
-    wide = paired(("W" * 129, "ruA, 15.01.2024"), page_id=5)
-    run_day(spark, mixed(spark).unionByName(pages(spark, wide)), store, RUN)
-    sent = {}
-    monkeypatch.setattr(
-        daily,
-        "append_jdbc",
-        lambda df, url, table, properties, types, connections: sent.update({table: (df, types)}),
-    )
-    upload_day(spark, store, RUN, Database("jdbc:any", {"user": "u"}))
+    wide = paired(("W" * 129, "ruA, 15.01.2024"), ("V", "Q" * 130 + ", 15.01.2024"), page_id=5)
+    everything = mixed(spark).unionByName(pages(spark, wide))
+    sent, there = {}, {}
+
+    def append(df, url, table, properties, types, connections):
+        sent[table] = (df, types)
+
+    monkeypatch.setattr(daily, "append_jdbc", append)
+    monkeypatch.setattr(daily, "read_jdbc", lambda spark, url, table, properties: there[table])
+    base = Database("jdbc:any", {"user": "u"})
+    run_day(spark, everything, store, RUN, database=base)
     assert {table: types for table, (_, types) in sent.items()} == {
         RATINGS_TABLE: RATINGS_JDBC_TYPES,
         AGENCY_TABLE: AGENCY_JDBC_TYPES,
         AGENCY_RATING_TABLE: AGENCY_RATING_JDBC_TYPES,
         DATE_TABLE: None,
     }
-    assert sent[RATINGS_TABLE][0].count() == 6
     for table in STATS:
         assert {r.record_date for r in sent[table][0].collect()} == {DAY}
-    assert read_day(spark, store.refused, RUN).count() == 1
+    # What is sent and what is refused is what is stored, for ratings and for counts.
+    assert sent[RATINGS_TABLE][0].columns == RATINGS.fieldNames()
+    assert (sent[RATINGS_TABLE][0].count(), read_day(spark, store.refused, RUN).count()) == (6, 2)
+    assert read_day(spark, store.ratings, RUN).count() == 8
+    for table in STATS:
+        refused = read_day(spark, store.refused_stats(table), RUN, STATS[table]).count()
+        assert sent[table][0].count() + refused == read_stats(spark, store.stats(table), table, RUN).count()
+        assert refused == (table == AGENCY_RATING_TABLE)
+    # A repeated run adds nothing, and what an append has left half-way is not passed over.
+    there.update({table: df for table, (df, _) in sent.items()})
+    upload_day(spark, store, RUN, base, only_new=tuple(there))
+    assert all(df.count() == 0 for df, _ in sent.values())
+    there[AGENCY_TABLE] = there[AGENCY_TABLE].limit(1)
+    with pytest.raises(daily.PartlyLoaded, match="1 of 3 rows of 2024-01-15"):
+        upload_day(spark, store, RUN, base, only_new=(AGENCY_TABLE,))
     sent.clear()
-    monkeypatch.setattr(daily, "_loaded", lambda spark, database, table, column, day: True)
-    upload_day(spark, store, RUN, Database("jdbc:any"), only_new=(AGENCY_TABLE, DATE_TABLE))
-    assert set(sent) == {RATINGS_TABLE, AGENCY_RATING_TABLE}
+    backfill(spark, everything, store, "2024-01-14", "2024-01-16", database=base)
+    assert sent[RATINGS_TABLE][0].count() == 8
+    assert {r.record_date.day for r in sent[DATE_TABLE][0].collect()} == {14, 15, 16}
+    assert [r.reason for r in read_day(spark, store.rejects, "2024-01-16", REJECTS).collect()] == ["parts: 1"]
+
+
+def test_run_dates_are_read_on_entry(spark, store):
+    with pytest.raises(ValueError):
+        run_day(spark, mixed(spark), store, "15.01.2024")
+    with pytest.raises(ValueError):
+        backfill(spark, mixed(spark), store, "2024-01-01", "2024-13-01")
 
 
 def test_jdbc_options_and_width(spark):
     assert jdbc_options("u", "t", {"driver": "d"}, "a INT", 8) == {
         "url": "u",
         "dbtable": "t",
+        "batchsize": "10000",
         "driver": "d",
         "createTableColumnTypes": "a INT",
         "numPartitions": "8",
     }
-    assert jdbc_options("u", "t") == {"url": "u", "dbtable": "t"}
+    assert jdbc_options("u", "t") == {"url": "u", "dbtable": "t", "batchsize": "10000", "numPartitions": "8"}
     df = spark.createDataFrame([("a" * 128, "b", 1), ("c", "d" * 129, 2), (None, "e", 3)], "x string, y string, n int")
     assert sorted(r.n for r in fitting(df).collect()) == [1, 3]
     assert [r.n for r in too_wide(df).collect()] == [2]

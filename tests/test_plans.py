@@ -72,10 +72,21 @@ def test_extraction_is_one_narrow_pass(spark, page_path, take):
     assert text.count("!--.*?-->") == 1
 
 
-def test_each_source_reads_its_own_folder(spark, page_path):
+def test_all_sources_are_one_pass(spark, page_path):
     text = plan(extract(read_pages(spark, page_path)))
-    assert text.count("FileScan") == 3
-    assert text.count("PartitionFilters: [isnotnull(source") == 3
+    assert text.count("FileScan") == 1 and "Exchange" not in text and "Union" not in text
+    assert text.count("!--.*?-->") == 1
+
+
+def test_a_micro_batch_is_read_once(spark, page_path, tmp_path):
+    seen = []
+
+    def take(batch, _):
+        seen.append(plan(extract(batch)))
+
+    stream = spark.readStream.schema(PAGES).parquet(page_path).writeStream.foreachBatch(take)
+    stream.option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start().awaitTermination()
+    assert [text.count("Scan") for text in seen] == [1]
 
 
 def test_digest_items_are_not_shuffled(spark, stored):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from samples import ratings
 
 from rateflow.schema import DAY, RATINGS
-from rateflow.sinks import replace_days, store as sink, write_day, write_days
+from rateflow.sinks import replace_days, write_day, write_days
 from rateflow.sources import read_day, read_days
 from rateflow.sources.store import read_table
 
@@ -57,19 +57,17 @@ def test_write_day_empty_and_repeated(spark, tmp_path):
     assert content(read_days(spark, path, "2024-01-01", "2024-01-31")) == [("b", 2)]
 
 
-def test_one_file_unless_the_day_is_large(spark, tmp_path, monkeypatch):
+def test_one_file_is_one_file(spark, tmp_path):
     many = dated(spark, *[(str(n), 1) for n in range(100)]).drop(DAY).repartition(4)
     path = str(tmp_path / "t")
     write_day(many, path, day(1), one_file=True)
     assert len(files(path, 1)) == 1
-    monkeypatch.setattr(sink, "DAY_ROWS", 50)
-    write_day(many, path, day(2), one_file=True)
+    write_day(many, path, day(2))
     assert len(files(path, 2)) == 4
     assert read_table(spark, path, RATINGS).count() == 200
 
 
-def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sink, "DAY_ROWS", 1000)
+def test_a_hot_day_is_written_by_several_tasks(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     try:
         hot = spark.range(60_000, numPartitions=8).select(
