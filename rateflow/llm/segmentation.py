@@ -13,20 +13,20 @@ share their lattice. Characters without a piece are spelled in bytes; decoding g
 text back exactly.
 """
 
-import itertools
-import re
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
-from rateflow.llm.arrays import batch, mix, ngrams, slices
+from rateflow.llm.arrays import batch, flat, mix, ngrams, slices, small_batches, word_hashes
 
 SPACE = "▁"
 # Stands for a literal U+2581, which no piece may cover.
 LITERAL = 0x110001
-UNITS = re.compile(r" ?[^ \n]+| |\n")
 SLICE = 1 << 20
+# Units up to so many characters are summed in plain numbers, scaled; longer ones as logarithms.
+PLAIN = 100
+_SCALE = 4.0
 TABLE_BITS = 18
 _STEP = 0x9E3779B97F4A7C15
 
@@ -61,7 +61,7 @@ def load_vocabulary(model_file, alpha=1.0, offset=10.0):
         ids.append(np.array([i for _, i in pieces]))
     if (bytes_at < 0).any():
         raise ValueError("the model has no byte pieces, so not every text can be encoded")
-    hashes, ids = np.concatenate(hashes), np.concatenate(ids)
+    hashes, ids = np.concatenate(hashes), np.concatenate(ids).astype(np.int32)
     return {
         "hashes": hashes,
         "ids": ids,
@@ -105,17 +105,62 @@ def _rolled(rows):
     return mix(out)
 
 
+def split_units(data, offsets):
+    """Units of UTF-8 texts, each with a space before it as the model expects.
+
+    A unit is a space and what follows it up to the next space or line break, a line break,
+    or what follows a line break. Returns the bytes with those spaces, where units begin and
+    end, and the number of units before each text. An empty text has none.
+    """
+    lengths = np.diff(offsets)
+    filled = (lengths > 0).astype(np.int64)
+    shifted = np.concatenate(([0], np.cumsum(lengths + filled)))
+    out = np.full(shifted[-1], 32, np.uint8)
+    out[np.arange(len(data)) + np.repeat(shifted[:-1] + filled - offsets[:-1], lengths)] = data
+    start = (out == 32) | (out == 10)
+    start[1:] |= out[:-1] == 10
+    start[shifted[:-1][lengths > 0]] = True
+    starts = np.flatnonzero(start)
+    return out, starts, np.append(starts[1:], len(out)), np.searchsorted(starts, shifted)
+
+
+def distinct_units(data, starts, ends):
+    """The text of distinct units end to end, their lengths, and the number of each unit."""
+    _, first, number = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    begins, sizes = starts[first], (ends - starts)[first]
+    before = np.concatenate(([0], np.cumsum(sizes)))
+    place = np.arange(before[-1]) + np.repeat(begins - before[:-1], sizes)
+    own = data[place]
+    heads = np.concatenate(([0], np.cumsum((own & 0xC0) != 0x80)))
+    text = own.tobytes().decode("utf-8", "surrogatepass")
+    return text, np.diff(heads[before]), number.ravel()
+
+
+def _from_ends(total, edges, source, target, far, values, step, gather):
+    """Sums over all ways from each node to its unit's end, nearest nodes first."""
+    far = far[edges]
+    steps = np.cumsum(np.bincount(far, minlength=1))
+    # Sorting 16-bit numbers takes linear time.
+    order = np.argsort(far.astype(np.uint16) if len(steps) <= 1 << 16 else far, kind="stable")
+    edges, values = edges[order], values[order]
+    for a, b in zip(steps[:-1], steps[1:]):
+        here = source[edges[a:b]]
+        begins = np.flatnonzero(np.concatenate(([True], here[1:] != here[:-1])))
+        total[here[begins]] = gather.reduceat(step(values[a:b], total[target[edges[a:b]]]), begins)
+    return total
+
+
 class Lattice:
     """The lattices of distinct units: nodes are places between characters, edges are pieces."""
 
-    def __init__(self, units, vocabulary):
-        text = "".join(units)
+    def __init__(self, text, lengths, vocabulary):
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         points = np.where(points == ord(SPACE), LITERAL, np.where(points == 32, ord(SPACE), points))
-        lengths = np.fromiter(map(len, units), np.int64, len(units))
+        units = len(lengths)
         before = np.concatenate(([0], np.cumsum(lengths)))
-        self.roots = before[:-1] + np.arange(len(units))
-        node = np.arange(len(points)) + np.repeat(np.arange(len(units)), lengths)
+        self.roots = before[:-1] + np.arange(units)
+        # Numbers of nodes and edges fit 32 bits: a slice is a few megabytes.
+        node = (np.arange(len(points)) + np.repeat(np.arange(units), lengths)).astype(np.int32)
         left = np.repeat(before[1:], lengths) - np.arange(len(points))
         values = points.astype(np.uint64)
         sources, targets, pieces, logs = [], [], [], []
@@ -138,37 +183,38 @@ class Lattice:
         spelled = 1 + (real > 0x7F) + (real > 0x7FF) + (real > 0xFFFF)
         sources.append(node[rare])
         targets.append(node[rare] + 1)
-        pieces.append(-1 - real)
+        pieces.append((-1 - real).astype(np.int32))
         logs.append(spelled * vocabulary["byte_log"])
         source = np.concatenate(sources)
         order = np.argsort(source, kind="stable")
         self.target, self.piece = np.concatenate(targets)[order], np.concatenate(pieces)[order]
         source, log = source[order], np.concatenate(logs)[order]
-        count = len(points) + len(units)
+        count = len(points) + units
         self.first = np.searchsorted(source, np.arange(count + 1))
         self._weigh(source, log, left, node, count)
 
     def _weigh(self, source, log, left, node, count):
         """Turns weights into the chance of each edge given its node, by sums from the ends."""
-        distance = np.zeros(count, np.int64)
+        distance = np.zeros(count, np.int32)
         distance[node] = left
         self.end = distance == 0
-        order = np.argsort(distance[source], kind="stable")
-        steps = np.searchsorted(distance[source][order], np.arange(1, distance.max(initial=0) + 2))
-        total = np.zeros(count)
-        for a, b in zip(steps[:-1], steps[1:]):
-            edges = order[a:b]
-            value = log[edges] + total[self.target[edges]]
-            begins = np.flatnonzero(np.concatenate(([True], source[edges][1:] != source[edges][:-1])))
-            sums = np.logaddexp.reduceat(value, begins)
-            total[source[edges][begins]] = sums
-        self.log = log + total[self.target] - total[source]
+        far = distance[source]
+        lengths = distance[self.roots]
+        long = np.repeat(lengths > PLAIN, lengths + 1)[source]
+        self.log = np.empty(len(source))
+        edges = np.flatnonzero(~long)
+        # A factor for each character keeps plain sums in range.
+        scaled = np.exp(log[edges] + _SCALE * (far - distance[self.target])[edges])
+        total = _from_ends(np.ones(count), edges, source, self.target, far, scaled, np.multiply, np.add)
+        self.log[edges] = np.log(scaled * total[self.target[edges]] / total[source[edges]])
+        edges = np.flatnonzero(long)
+        total = _from_ends(np.zeros(count), edges, source, self.target, far, log[edges], np.add, np.logaddexp)
+        self.log[edges] = log[edges] + total[self.target[edges]] - total[source[edges]]
         self.chance = np.exp(self.log)
-        degree = np.diff(self.first)
         with np.errstate(divide="ignore"):
             self.rest = np.log1p(-np.minimum(self.chance, 1.0))
         # A sole edge leaves nothing; rounding may say otherwise.
-        self.rest[degree[source] == 1] = -np.inf
+        self.rest[np.diff(self.first)[source] == 1] = -np.inf
 
     def draw(self, node, uniform, barred=None):
         """An edge from each node by its chance; ``barred`` marks edges by place that are out."""
@@ -339,22 +385,17 @@ def _keys(column, seed):
     return mix(values + np.uint64(seed))
 
 
-def encode_texts(texts, keys, k, vocabulary):
-    """Samples of each text, best perturbed value first: ``doc, sample, ids, bounds, log, score``."""
-    index, rows, counts = {}, [], []
-    for text in texts:
-        units = UNITS.findall(" " + text) if text else []
-        rows.append([index.setdefault(u, len(index)) for u in units])
-        counts.append(len(units))
-    lattice = Lattice(list(index), vocabulary)
-    edges = np.concatenate(([0], np.cumsum(counts)))
-    unit_of = np.fromiter(itertools.chain.from_iterable(rows), np.int64, edges[-1])
-    search = Search(lattice, unit_of, edges, keys, k)
+def encode_texts(data, offsets, keys, k, vocabulary):
+    """Samples of UTF-8 texts, best perturbed value first: ``doc, sample, ids, bounds, log, value, score``."""
+    data, starts, ends, edges = split_units(data, offsets)
+    text, lengths, number = distinct_units(data, starts, ends)
+    lattice = Lattice(text, lengths, vocabulary)
+    search = Search(lattice, number, edges, keys, k)
     search.first_paths()
     for round_ in range(1, k):
         if not search.next_paths(round_):
             break
-    limit = np.full(len(texts), -np.inf)
+    limit = np.full(len(keys), -np.inf)
     at = search.best()
     limit[search.frontier["doc"][at]] = search.frontier["value"][at]
     out = []
@@ -397,15 +438,16 @@ def encode(documents, model_file, k=2, seed=0, key="doc_id", text="text"):
     inclusion 1; an empty or null text gives one row without ids. Equal keys and texts give
     equal rows.
     """
+    small_batches(documents.sparkSession)
     vocabulary = documents.sparkSession.sparkContext.broadcast(load_vocabulary(model_file))
     kept = [f for f in documents.schema.fields if f.name != text and f.name not in {s.name for s in SAMPLE}]
     names = [f.name for f in kept]
 
     def run(batches):
         for rows in slices(batches, text, SLICE):
-            texts = rows.column(text).to_pylist()
             keys = _keys(rows.column(key), seed)
-            for doc, sample, ids, bounds, log, value, score in encode_texts(texts, keys, k, vocabulary.value):
+            samples = encode_texts(*flat(rows.column(text)), keys, k, vocabulary.value)
+            for doc, sample, ids, bounds, log, value, score in samples:
                 same = rows.select(names).take(pa.array(doc))
                 yield batch(
                     **{n: same.column(n) for n in names},
@@ -420,8 +462,23 @@ def encode(documents, model_file, k=2, seed=0, key="doc_id", text="text"):
     return needed.mapInArrow(run, StructType([*kept, *SAMPLE]))
 
 
-def decode_ids(ids, surface):
-    return b"".join(map(surface.__getitem__, ids))[1:].decode("utf-8", "surrogatepass")
+class Decoder:
+    """Texts of pieces, laid end to end."""
+
+    def __init__(self, surface):
+        self.bytes = np.frombuffer(b"".join(surface), np.uint8)
+        self.sizes = np.array([len(piece) for piece in surface])
+        self.begins = np.cumsum(self.sizes) - self.sizes
+
+    def __call__(self, ids, bounds):
+        """Bytes of id sequences end to end, without the model's first space, and their offsets."""
+        sizes = self.sizes[ids]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        data = self.bytes[np.arange(ends[-1]) + np.repeat(self.begins[ids] - ends[:-1], sizes)]
+        offsets = ends[bounds]
+        keep = np.ones(len(data), bool)
+        keep[offsets[:-1][np.diff(offsets) > 0]] = False
+        return data[keep], np.concatenate(([0], np.cumsum(keep)))[offsets]
 
 
 def decode(encoded, model_file, ids="ids", out="decoded"):
@@ -430,11 +487,20 @@ def decode(encoded, model_file, ids="ids", out="decoded"):
     rest = encoded.drop(out)
 
     def run(batches):
+        decoder = Decoder(surface.value)
         for rows in batches:
-            # A few rows at a time: ids as Python lists take many times their size.
-            for begin in range(0, rows.num_rows, 256):
-                part = rows.slice(begin, 256)
-                texts = [i if i is None else decode_ids(i, surface.value) for i in part.column(ids).to_pylist()]
-                yield batch(**{n: part.column(n) for n in part.schema.names}, **{out: pa.array(texts, pa.string())})
+            column = rows.column(ids)
+            bounds = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())))
+            data, offsets = decoder(column.flatten().to_numpy(), bounds)
+            texts = pa.StringArray.from_buffers(
+                len(column), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data), _validity(column)
+            )
+            yield batch(**{n: rows.column(n) for n in rows.schema.names}, **{out: texts})
 
     return rest.mapInArrow(run, StructType([*rest.schema.fields, StructField(out, StringType())]))
+
+
+def _validity(column):
+    if not column.null_count:
+        return None
+    return pa.py_buffer(np.packbits(column.is_valid().to_numpy(zero_copy_only=False), bitorder="little"))
