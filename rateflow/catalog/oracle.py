@@ -1,6 +1,5 @@
 """The SQL each query must agree with, for DuckDB over the same tables."""
 
-from rateflow.functions import messages
 from rateflow.schema import AGENCY_CARDS, AGENCY_GRID, AGENCY_PAIRS
 
 
@@ -49,20 +48,26 @@ def _unescaped(column):
     return column
 
 
+# The texts are written out here a second time, so that a wrong template shows.
 def _item(indent, end):
-    pieces = []
-    for before, column, behind in messages.ITEM_LINES:
-        value = "strftime(rat_date, '%Y-%m-%d')" if column == "rat_date" else _escaped(column)
-        pieces += [_quoted(f"\n{indent}{before}"), value, _quoted(behind)]
-    return " || ".join(pieces + [_quoted(end)])
+    lines = (
+        ("<b>", _escaped("name"), "</b>"),
+        ("<i>rating</i>:             <b>", _escaped("rating"), "</b>"),
+        ("<i>prediction</i>:     ", _escaped("pred"), ""),
+        ("<i>rating_date</i>:   ", "strftime(rat_date, '%Y-%m-%d')", ""),
+        ("<i>observation</i>:  ", _escaped("observation"), ""),
+        ("<i>agency</i>:           ", _escaped("agency"), ""),
+    )
+    pieces = [p for before, value, behind in lines for p in (_quoted(f"\n{indent}{before}"), value, _quoted(behind))]
+    return " || ".join([*pieces, _quoted(end)])
 
 
-DIGEST_ITEM = _item(messages.DIGEST_INDENT, messages.DIGEST_END)
-LOOKUP_ITEM = _item(messages.LOOKUP_INDENT, messages.LOOKUP_END)
+DIGEST_ITEM = _item("    ", "\n    ")
+LOOKUP_ITEM = _item("", "\n            ")
 
 
 def _summary(counts):
-    return f"""select rat_date as "DT", {_quoted(messages.SUMMARY_HEADER)} ||
+    return f"""select rat_date as "DT", '<i>Number of agencies ratings TODAY:</i>' || chr(10) ||
       string_agg({_escaped('agency')} || ' - ' || n || ' набл.' || chr(10), '' order by agency) as text
       from {counts} group by rat_date"""
 
@@ -111,8 +116,8 @@ parts as (
   select request, place // 20 as part, string_agg({LOOKUP_ITEM}, '' order by place) as items
   from placed group by 1, 2)
 select a.request, cast(coalesce(p.part, 0) as bigint) as part,
-  coalesce(case when p.part = 0 then {_quoted(messages.ANSWER_HEADER)} else '' end || p.items,
-    {_quoted(messages.ANSWER_NONE)}) as text
+  coalesce(case when p.part = 0 then 'Доступные рейтинги:' else '' end || p.items,
+    'Нет рейтинга') as text
 from asked a left join parts p on a.request = p.request"""
 
 CHANGES = f"""
@@ -143,6 +148,34 @@ with heads as (select page_id, regexp_extract_all({CLEAN}, '<h1[^>]*>(.*?)</h1>'
 select page_id, pos::int as pos, {_unescaped('h[pos + 1]')} as heading
 from (select page_id, h, unnest(range(len(h))) as pos from heads)"""
 
+
+
+def _broken(table, key, agency, gone, nested, named, mismatch):
+    """Faults of a feed's pages, by page number; see the query."""
+    rows = f"""(select {key} as key, {key} // 40 as page_id, ({key} // 40) % 7 as kind,
+      cast({key} % 40 - case when {key} < 40 then 1 else 0 end as int) as place,
+      date '2024-01-01' + cast({key} % 90 as int) as day from {table})"""
+    page = f"select distinct page_id, kind from {rows}"
+    emptied = "cards and dates differ in number" if mismatch else "no entries"
+    faults = f"case kind when 1 then '{gone}' when 2 then '{emptied}' when 3 then '{nested}' end"
+    out = f"""select case kind when 0 then 'other' else {_quoted(agency)} end as source, page_id,
+        case kind when 0 then 'unknown source' else {faults} end as reason, cast(null as int) as place
+      from ({page}) where kind in (0, 1, 2, 3)
+      union all select {_quoted(agency)}, page_id, 'unreadable date: ' || strftime(day, '%d.%m.') || '20x4', place
+      from {rows} where kind = 4"""
+    return out + (f" union all select {_quoted(agency)}, page_id, 'missing name', place from {rows} where kind = 5" if named else "")
+
+
+ALL_REJECTS = f"""select source, page_id, reason, count(*) as n, cast(sum(place) as bigint) as places
+  from ({_broken('customer', 'c_custkey', AGENCY_PAIRS, 'no second table', 'nested or open span', True, False)}
+  union all {_broken('supplier', 's_suppkey', AGENCY_GRID, 'no issuers table', 'nested or open cell', True, False)}
+  union all {_broken('part', 'p_partkey', AGENCY_CARDS, 'no listing container', 'nested or open heading', False, True)})
+  group by 1, 2, 3"""
+
+OUTBOX_ORDER = f"""select day as "DT", case when n is null then 'none' else 'header' end as first_kind,
+  case when n is null then 'none' else 'summary' end as last_kind, coalesce(n + 2, 1) as n
+  from {RANGE} left join (select rat_date, count(*) as n from {EVENTS} group by 1) on day = rat_date"""
+
 ORACLE = {
     "q_day_slice": f"select * from {ORDERS} where rat_date = date '1996-09-17'",
     "q_until": f"select * from {ORDERS} where rat_date <= date '1996-09-17'",
@@ -167,6 +200,7 @@ ORACLE = {
     "q_shapes": f"select agency, rat_date, count(name) as num_ratings from {LISTED} group by 1, 2",
     "q_archive": f"select * from {CUSTOMER_ROWS}",
     "q_rejects": REJECTS,
+    "q_rejects_all": ALL_REJECTS,
     "q_links": LINKS,
     "q_headings": HEADINGS,
     "q_escape": f"select doc_id, {_escaped('text')} as escaped, text as restored from documents",
@@ -206,4 +240,5 @@ ORACLE = {
     "q_stream": f"select distinct {COLUMNS} from {LISTED}",
     "q_change": CHANGES,
     "q_outbox": _digest(EVENTS, RANGE),
+    "q_outbox_order": OUTBOX_ORDER,
 }

@@ -29,9 +29,12 @@ from rateflow.operators import (
     totals,
     union_feeds,
 )
+from rateflow.operators.extract import CARDS_CLASS
 from rateflow.plans import Store, backfill, run_day
 from rateflow.plans.backfill import message_days, store_days
 from rateflow.schema import (
+    AGENCY_CARDS,
+    AGENCY_GRID,
     AGENCY_PAIRS,
     AGENCY_RATING_STATS,
     AGENCY_RATING_TABLE,
@@ -142,7 +145,7 @@ def archive(spark, d):
 
 
 def rejects(spark, d):
-    """Every seventh customer has a detail text of five parts or a date that is none."""
+    """Every fourteenth customer has a detail text of six parts; every fifth page no table."""
     rows = views.customer_rows(spark, d)
     bad = F.when(F.col("key") % 14 == 0, "a, b, c").when(F.col("key") % 14 == 7, "watch")
     rows = rows.withColumn("observation", F.coalesce(bad, "observation"))
@@ -157,6 +160,38 @@ def rejects(spark, d):
     )
 
 
+def all_rejects(spark, d):
+    """Pages of every shape with every fault, by page number modulo 7.
+
+    0 is of an unknown source, 1 lacks its container, 2 its entries, 3 has an element that
+    stays open, 4 dates that are none, 5 no names, and 6 is sound. ``places`` adds up the
+    places of the rows on their page.
+    """
+    kind = F.col("page_id") % 7
+    swaps = {
+        AGENCY_PAIRS: ("table", "span", "<span>\n", "<a title"),
+        AGENCY_GRID: ("table", "td", "<td></td>", "/ratings/issuers/"),
+        AGENCY_CARDS: (CARDS_CLASS, "h2", "<h2>more", "no names"),
+    }
+
+    def changed(container, entry, opening, name):
+        new = lambda old, text: F.replace("html", F.lit(old), F.lit(text))
+        twice = f"{opening[: opening.index('>') + 1]}{opening}" if ">" in opening else opening
+        return (
+            F.when(kind == 1, new(container, "x"))
+            .when(kind == 2, new(entry, "b"))
+            .when(kind == 3, new(opening, twice))
+            .when(kind == 4, new(".2024", ".20x4"))
+            .when(kind == 5, new(name, "<b title" if name.startswith("<") else "/other/"))
+        )
+
+    html = F.coalesce(*[F.when(F.col("source") == s, changed(*swap)) for s, swap in swaps.items()], "html")
+    pages = views.listing_pages(spark, d).withColumn("html", html)
+    pages = pages.withColumn("source", F.when(kind == 0, "other").otherwise(F.col("source")))
+    found = rejected(normalize(extract(pages))).groupBy("source", "page_id", "reason")
+    return found.agg(F.count(F.lit(1)).alias("n"), F.sum("row").alias("places"))
+
+
 def links(spark, d):
     anchors = F.regexp_extract_all(
         html.visible(F.col("html")), F.lit(rf"(?is){html.opening('a')}"), 0
@@ -323,11 +358,21 @@ def rating_changes(spark, d):
     return changes(views.order_ratings(spark, d))
 
 
-def outbox(spark, d):
+def _outbox(spark, d):
     store = Store(fresh_dir(spark, "outbox"))
     store_days(spark, views.event_ratings(spark, d), store, FIRST, LAST)
     message_days(spark, store, FIRST, LAST)
-    return read_table(spark, store.outbox, OUTBOX).select(DAY, "kind", "text")
+    return read_table(spark, store.outbox, OUTBOX)
+
+
+def outbox(spark, d):
+    return _outbox(spark, d).select(DAY, "kind", "text")
+
+
+def outbox_order(spark, d):
+    """What stands first and last among a day's messages."""
+    ends = F.min_by("kind", "seq").alias("first_kind"), F.max_by("kind", "seq").alias("last_kind")
+    return _outbox(spark, d).groupBy(DAY).agg(*ends, F.count(F.lit(1)).alias("n"))
 
 
 def all_shapes(spark, d):
@@ -353,6 +398,7 @@ QUERIES = {
     "q_shapes": all_shapes,
     "q_archive": archive,
     "q_rejects": rejects,
+    "q_rejects_all": all_rejects,
     "q_links": links,
     "q_headings": page_headings,
     "q_escape": escaped,
@@ -373,4 +419,5 @@ QUERIES = {
     "q_stream": streamed,
     "q_change": rating_changes,
     "q_outbox": outbox,
+    "q_outbox_order": outbox_order,
 }

@@ -10,11 +10,12 @@ ISSUER = ["agency", "name"]
 ORDER = ["rat_date", "rating", "pred", "observation"]
 
 
-def changes(ratings):
+def changes(ratings, withdrawn=()):
     """Each distinct announcement with the issuer's rating before it and what that means.
 
     ``event`` is ``assigned`` for the first rating an agency gives an issuer, ``changed`` or
-    ``confirmed`` afterwards. Announcements of one day are ordered by rating, outlook and
+    ``confirmed`` afterwards, and ``withdrawn`` wherever the rating is one of the texts in
+    ``withdrawn``. Announcements of one day are ordered by rating, outlook and
     observation. Equal announcements are one row with their number in ``copies``, counted
     before the shuffle, so repeats do not make a group large, and a long history is split
     over tasks.
@@ -22,7 +23,8 @@ def changes(ratings):
     merged = stage(ratings.groupBy(*RATING_COLUMNS).agg(F.count(F.lit(1)).alias("copies")), "merged")
     known = preceded(merged, ISSUER, ORDER, "rating")
     event = (
-        F.when(F.col("opens"), "assigned")
+        F.when(F.col("rating").isin(list(withdrawn)), "withdrawn")
+        .when(F.col("opens"), "assigned")
         .when(F.col("rating").eqNullSafe(F.col("previous")), "confirmed")
         .otherwise("changed")
     )

@@ -18,6 +18,7 @@ from rateflow.schema import (
     AGENCY_RATING_JDBC_TYPES,
     AGENCY_RATING_TABLE,
     AGENCY_TABLE,
+    ARRIVED,
     DATE_TABLE,
     DAY,
     OUTBOX,
@@ -72,7 +73,13 @@ class Database:
 
 
 def ingest_day(spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False):
-    """Pages to the day's stored ratings and rejects."""
+    """Pages to the day's stored ratings and rejects.
+
+    Of pages with a column ``arrived`` only those of the day are read: stored by it, a run
+    scans one partition, and a day's rejects are of the pages that came that day.
+    """
+    if ARRIVED in pages.columns:
+        pages = pages.where(F.col(ARRIVED) == F.lit(day).cast("date"))
     rows = normalize(extract(pages, shapes), strict)
     # Both tables come from one pass over the pages. Only rows of interest are staged, which
     # are few to a task, so they are first brought together to files of a sensible size.

@@ -22,6 +22,7 @@ AGENCY_RATING_JDBC_TYPES = (
 )
 
 DAY = "DT"
+ARRIVED = "arrived"
 
 PAGES = T.StructType(
     [

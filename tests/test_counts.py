@@ -126,6 +126,13 @@ def test_changes(spark):
     }
 
 
+def test_withdrawn_ratings(spark):
+    day = lambda n: dt.date(2024, 1, n)
+    history = ratings(spark, ("a", "A", "-", day(1)), ("a", "gone", "-", day(2)), ("a", "B", "-", day(3)), ("b", None, "-", day(1)))
+    events = {(r.name, r.rat_date.day): r.event for r in changes(history, withdrawn=["gone"]).collect()}
+    assert events == {("a", 1): "assigned", ("a", 2): "withdrawn", ("a", 3): "changed", ("b", 1): "assigned"}
+
+
 def test_a_split_history_equals_the_window(spark, monkeypatch):
     rng = random.Random(5)
     history = ratings(

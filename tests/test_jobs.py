@@ -20,7 +20,7 @@ from rateflow.schema import (
     STATS,
 )
 from rateflow.sinks.jdbc import fitting, jdbc_options, too_wide
-from rateflow.sources import read_day, read_stats
+from rateflow.sources import read_day, read_pages, read_stats
 from rateflow.sources.store import read_table
 from rateflow.streaming import arriving_pages, run_arrived
 from rateflow.streaming.incremental import read_batched, take_batch
@@ -69,6 +69,20 @@ def test_run_day(spark, store, one_file):
     assert ("item", item) in messages
 
 
+def test_a_run_reads_the_pages_of_its_day(spark, store, tmp_path):
+    path = str(tmp_path / "pages")
+    came = F.when(F.col("page_id") == 2, dt.date(2024, 1, 14)).otherwise(DAY)
+    mixed(spark).withColumn("arrived", came).write.partitionBy("arrived").parquet(path)
+    by_arrival = read_pages(spark, path, by_arrival=True)
+    run_day(spark, by_arrival, store, RUN)
+    assert read_day(spark, store.ratings, RUN).count() == 6
+    assert read_day(spark, store.rejects, RUN, REJECTS).count() == 0
+    text = by_arrival.where(F.col("arrived") == DAY)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(arrived" in text
+    run_day(spark, by_arrival, store, "2024-01-14")
+    assert [r.reason for r in read_day(spark, store.rejects, "2024-01-14", REJECTS).collect()] == ["parts: 1"]
+
+
 def test_a_day_that_becomes_empty(spark, store):
     run_day(spark, mixed(spark), store, RUN)
     run_day(spark, pages(spark), store, RUN)
