@@ -84,8 +84,11 @@ def train(documents, sample=SAMPLE):
     documents = documents.select("text").where("text is not null")
     random = documents.where(suspect).select(F.explode(strings).alias("value")).distinct()
     random = random.orderBy(F.xxhash64("value"), "value").limit(sample)
-    words = documents.where(~suspect).select(F.slice(_values(text, WORD), 1, sample).alias("words"))
-    words = words.orderBy(F.xxhash64("words")).limit(SAMPLE_DOCUMENTS).select(F.explode("words").alias("value"))
+    # The texts are drawn by their hashes alone, which are small enough to be sorted in one task.
+    mark = F.xxhash64("text").alias("mark")
+    drawn = documents.where(~suspect).select(mark).distinct().orderBy("mark").limit(SAMPLE_DOCUMENTS)
+    words = documents.select("text", mark).join(F.broadcast(drawn), "mark", "left_semi")
+    words = words.select(F.explode(F.slice(_values(text, WORD), 1, sample)).alias("value"))
     counts = []
     for label, values in (("random", random), ("ordinary", words.distinct())):
         pairs = values.select(F.explode(_pair_codes(F.col("value"))).alias("pair"))
