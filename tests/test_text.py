@@ -111,5 +111,6 @@ def test_day_text(spark, text, day):
     assert value(spark, text, lambda c: format_day(parse_day(dots_to_dashes(c)))) == day
 
 
-def test_run_date(spark):
-    assert str(value(spark, "", lambda c: parse_run_date("2024-01-15"))) == "2024-01-15"
+def test_run_date():
+    assert str(parse_run_date("2024-01-15")) == "2024-01-15"
+    assert parse_run_date(parse_run_date("2024-01-15")) == parse_run_date("2024-01-15")
