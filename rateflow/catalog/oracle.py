@@ -238,6 +238,8 @@ ORACLE = {
     "q_backfill": f"""select agency, rating, count(name) as num_ratings, rat_date as "DT"
       from {LISTED} group by agency, rating, rat_date""",
     "q_stream": f"select distinct {COLUMNS} from {LISTED}",
+    "q_stream_news": f"""select rat_date as "DT", count(*) as told, count(*) as num_ratings
+      from (select distinct {COLUMNS} from {LISTED}) group by 1""",
     "q_change": CHANGES,
     "q_outbox": _digest(EVENTS, RANGE),
     "q_outbox_order": OUTBOX_ORDER,

@@ -52,7 +52,7 @@ from rateflow.sinks import replace_days, write_day, write_days
 from rateflow.sources import extract_archive, read_pages
 from rateflow.sources.store import read_table
 from rateflow.streaming import arriving_pages, run_arrived
-from rateflow.streaming.incremental import read_batched
+from rateflow.streaming.incremental import read_news
 
 RUN_DATE = "1996-09-17"
 FIRST, LAST = "2023-12-25", "2024-02-05"
@@ -342,7 +342,7 @@ def backfilled(spark, d):
     return read_table(spark, store.stats(AGENCY_RATING_TABLE), AGENCY_RATING_STATS)
 
 
-def streamed(spark, d):
+def _streamed(spark, d):
     """Pages arrive in two waves; the second repeats the paired pages of the first."""
     root = fresh_dir(spark, "stream")
     store = Store(root)
@@ -351,7 +351,19 @@ def streamed(spark, d):
     for wave in (pages.where(~odd), pages.where(odd | (F.col("source") == AGENCY_PAIRS))):
         wave.write.mode("append").partitionBy("source").parquet(f"{root}/arrived")
         run_arrived(spark, arriving_pages(spark, f"{root}/arrived"), store, f"{root}/progress")
-    return read_batched(spark, store.ratings).select(*RATING_COLUMNS)
+    return store
+
+
+def streamed(spark, d):
+    return read_table(spark, _streamed(spark, d).ratings, RATINGS).select(*RATING_COLUMNS)
+
+
+def streamed_news(spark, d):
+    """Items told of each day, over all batches, beside the day's stored count."""
+    store = _streamed(spark, d)
+    told = read_news(spark, store.news).where("kind = 'item'").groupBy(DAY).agg(F.count(F.lit(1)).alias("told"))
+    stored = read_table(spark, store.stats(DATE_TABLE), DATE_STATS).select(DAY, "num_ratings")
+    return told.join(stored, DAY)
 
 
 def rating_changes(spark, d):
@@ -417,6 +429,7 @@ QUERIES = {
     "q_day_run": daily_run,
     "q_backfill": backfilled,
     "q_stream": streamed,
+    "q_stream_news": streamed_news,
     "q_change": rating_changes,
     "q_outbox": outbox,
     "q_outbox_order": outbox_order,

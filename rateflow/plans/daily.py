@@ -56,6 +56,14 @@ class Store:
     def outbox(self):
         return f"{self.root}/outbox"
 
+    @property
+    def news(self):
+        return f"{self.root}/news"
+
+    @property
+    def arrived_rejects(self):
+        return f"{self.root}/arrived_rejects"
+
     def refused_stats(self, table):
         return f"{self.root}/refused_{table}"
 

@@ -11,18 +11,16 @@ from rateflow.operators.normalize import accepted, normalize, rejected
 from rateflow.schema import AGENCY_TABLE, DAY, OUTBOX, PAGES, RATING_COLUMNS, RATINGS, REJECTS, STATS, by_day
 from rateflow.session import stage
 from rateflow.sinks.store import write_days
+from rateflow.sources.store import read_table
 
 BATCH = "batch"
 
 
-def _batched(schema):
-    """Stored under its day and, below it, the micro-batch that brought it."""
-    return by_day(schema).add(BATCH, T.StringType())
-
-
-def read_batched(spark, path, schema=RATINGS):
-    """A table written by micro-batches."""
-    return spark.read.schema(_batched(schema)).parquet(path)
+def read_news(spark, path, schema=OUTBOX):
+    """Messages or rejects of micro-batches, each with its batch."""
+    days = [T.StructField(DAY, T.DateType())] if schema is OUTBOX else []
+    stored = T.StructType([*schema.fields, *days, T.StructField(BATCH, T.StringType())])
+    return spark.read.schema(stored).parquet(path)
 
 
 def arriving_pages(spark, path, files_per_batch=None):
@@ -33,42 +31,43 @@ def arriving_pages(spark, path, files_per_batch=None):
     return reader.parquet(path)
 
 
-def new_records(spark, ratings, path, key):
-    """Distinct announcements of this batch that no other batch has stored.
+def _of_days(spark, path, days):
+    """Stored ratings of the given days; their list prunes the scan at run time. It is bounded
+    by the calendar, four-digit years making fewer than 3.7 million."""
+    return read_table(spark, path, RATINGS).join(F.broadcast(days), DAY, "left_semi")
 
-    Only the partitions of the batch's own days are read back: their list prunes the scan at
-    run time. It is bounded by the calendar, four-digit years making fewer than 3.7 million.
-    A replay does not meet its own rows, since they have its own key.
-    """
-    fresh = ratings.dropDuplicates(RATING_COLUMNS).withColumn(DAY, F.col("rat_date"))
-    days = F.broadcast(fresh.select(DAY).distinct())
-    stored = read_batched(spark, path).where(F.col(BATCH) != key).join(days, DAY, "left_semi")
+
+def new_records(ratings, stored):
+    """Distinct announcements that are not stored yet; both have the day."""
+    fresh = ratings.dropDuplicates([*RATING_COLUMNS, DAY])
     same = [fresh[c].eqNullSafe(stored[c]) for c in RATING_COLUMNS if c != "rat_date"]
     return fresh.join(stored, [fresh[DAY] == stored[DAY], *same], "left_anti")
 
 
 def take_batch(pages, batch_id, store, shapes=None):
-    """One micro-batch: extract, keep what is new, store it, its counts and its messages.
+    """One micro-batch: extract, store what is new with its messages, count its days again.
 
-    Every table is written by day and batch: a replayed batch replaces its own partitions and
-    nothing else. Counts are stored per batch too. They add up over batches, so a day that arrives in many
-    pieces is never read again to be recounted. Messages tell of the new records only. The
-    ratings come last: a batch that fails before them is new again.
+    Ratings and counts are the tables that the daily run writes, by day; a batch rewrites the
+    days it has new records of. A batch that is repeated finds them stored and changes
+    nothing, wherever it stopped before: messages are written first and under the batch's own
+    name, then the ratings, and counts are taken of all days of the batch.
     """
     spark = pages.sparkSession
-    key = batch_key(spark, batch_id)
+    batch = F.lit(batch_key(spark, batch_id)).alias(BATCH)
     rows = stage(normalize(extract(pages, shapes)), "rows")
-    batch = F.lit(key).alias(BATCH)
+    write_days(rejected(rows).select(*REJECTS.fieldNames(), batch), store.arrived_rejects, BATCH)
+    found = accepted(rows).withColumn(DAY, F.col("rat_date"))
+    days = stage(found.select(DAY).distinct(), "days")
     _begin(spark, store.ratings)
-    fresh = stage(new_records(spark, accepted(rows), store.ratings, key), "fresh")
-    base = stage(base_counts(fresh, DAY), "base")
-    counts = {table: roll_up(base, table, DAY) for table in STATS}
-    news = digest(fresh, counts[AGENCY_TABLE], fresh.select(DAY).distinct())
-    write_days(news.select(*OUTBOX.fieldNames(), DAY, batch), store.outbox, DAY, BATCH)
+    fresh = stage(new_records(found, _of_days(spark, store.ratings, days)), "fresh")
+    counts = roll_up(base_counts(fresh, DAY), AGENCY_TABLE, DAY)
+    news = digest(fresh, counts, fresh.select(DAY).distinct())
+    write_days(news.select(*OUTBOX.fieldNames(), DAY, batch), store.news, BATCH)
+    kept = stage(_of_days(spark, store.ratings, fresh.select(DAY).distinct()), "kept")
+    write_days(kept.select(*RATING_COLUMNS, DAY).unionByName(fresh.select(*RATING_COLUMNS, DAY)), store.ratings)
+    base = stage(base_counts(_of_days(spark, store.ratings, days), DAY), "base")
     for table in STATS:
-        write_days(counts[table].select("*", batch), store.stats(table), DAY, BATCH)
-    write_days(rejected(rows).select(*REJECTS.fieldNames(), batch), store.rejects, BATCH)
-    write_days(fresh.select(*RATING_COLUMNS, DAY, batch), store.ratings, DAY, BATCH)
+        write_days(roll_up(base, table, DAY), store.stats(table))
 
 
 def batch_key(spark, batch_id):
@@ -81,10 +80,10 @@ def batch_key(spark, batch_id):
 def _begin(spark, path):
     """Gives a table without a folder one to be read from."""
     try:
-        read_batched(spark, path)
+        read_table(spark, path, RATINGS)
     except AnalysisException:
-        empty = spark.createDataFrame([], _batched(RATINGS))
-        empty.write.mode("append").partitionBy(DAY, BATCH).parquet(path)
+        empty = spark.createDataFrame([], by_day(RATINGS))
+        empty.write.mode("append").partitionBy(DAY).parquet(path)
 
 
 def run_arrived(spark, pages, store, checkpoint, shapes=None):

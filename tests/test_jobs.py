@@ -23,7 +23,7 @@ from rateflow.sinks.jdbc import fitting, jdbc_options, too_wide
 from rateflow.sources import read_day, read_pages, read_stats
 from rateflow.sources.store import read_table
 from rateflow.streaming import arriving_pages, run_arrived
-from rateflow.streaming.incremental import read_batched, take_batch
+from rateflow.streaming.incremental import read_news, take_batch
 
 RUN = "2024-01-15"
 
@@ -132,20 +132,34 @@ def test_stream_takes_new_records_once(spark, store, tmp_path):
     arrive(*first)
     arrive(first[0], cards(("Банк Ж", "B", "-", "-", "15.01.2024"), page_id=3), paired(("x", "y"), page_id=4))
     run_arrived(spark, arriving_pages(spark, arrived), store, progress)
-    stored = read_batched(spark, store.ratings)
-    found = stored.groupBy("batch").agg(F.count("*").alias("n")).collect()
-    assert sorted((r.batch.rpartition("-")[2], r.n) for r in found) == [("0", 6), ("1", 1)]
-    sent = read_batched(spark, store.outbox, OUTBOX).groupBy("kind").count().collect()
-    assert {r["kind"]: r["count"] for r in sent} == {"header": 2, "item": 7, "summary": 2}
-    total = read_batched(spark, store.stats(AGENCY_TABLE), STATS[AGENCY_TABLE])
-    assert total.agg(F.sum("num_ratings")).first()[0] == 7
-    # A batch that is replayed after a failure leaves the same tables.
+    assert read_table(spark, store.ratings, RATINGS).count() == 7
+    assert counts(spark, store, DATE_TABLE) == [(DAY, 7)]
+    sent = read_news(spark, store.news).groupBy("batch", "kind").count().collect()
+    assert sorted((r["batch"].rpartition("-")[2], r["kind"], r["count"]) for r in sent) == [
+        *(("0", kind, n) for kind, n in (("header", 1), ("item", 6), ("summary", 1))),
+        *(("1", kind, 1) for kind in ("header", "item", "summary")),
+    ]
+    # A repeated batch and a lost checkpoint, which reads every page again, change nothing.
     take_batch(pages(spark, first[0], cards(("Банк Ж", "B", "-", "-", "15.01.2024"), page_id=3)), 1, store)
-    assert read_batched(spark, store.ratings).count() == 7
-    # A lost checkpoint reads every page again: nothing is overwritten, nothing comes twice.
     run_arrived(spark, arriving_pages(spark, arrived), store, str(tmp_path / "other"))
-    assert sorted(r.name for r in read_batched(spark, store.ratings).collect()) == sorted(r.name for r in stored.collect())
-    assert read_batched(spark, store.ratings).count() == 7
+    assert read_table(spark, store.ratings, RATINGS).count() == 7
+    assert read_news(spark, store.news).where("kind = 'item'").count() == 7
+    rejects = read_news(spark, store.arrived_rejects, REJECTS)
+    assert {r.reason for r in rejects.collect()} == {"parts: 1"}
+
+
+def test_stream_and_daily_run_share_a_store(spark, store, tmp_path):
+    arrived, progress = str(tmp_path / "arrived"), str(tmp_path / "progress")
+    run_day(spark, mixed(spark), store, "2024-01-14")
+    pages(spark, *listing()).write.mode("append").partitionBy("source").parquet(arrived)
+    run_arrived(spark, arriving_pages(spark, arrived), store, progress)
+    assert read_table(spark, store.ratings, RATINGS).count() == 7
+    assert counts(spark, store, DATE_TABLE) == [(DAY, 6)]
+    run_day(spark, mixed(spark), store, RUN)
+    assert read_table(spark, store.ratings, RATINGS).count() == 7
+    pages(spark, cards(("Банк Ж", "B", "-", "-", "15.01.2024"), page_id=3)).write.mode("append").partitionBy("source").parquet(arrived)
+    run_arrived(spark, arriving_pages(spark, arrived), store, progress)
+    assert counts(spark, store, DATE_TABLE) == [(DAY, 7)]
 
 
 def test_upload_day(spark, store, monkeypatch):
