@@ -53,6 +53,8 @@ def slices(batches, column="text", limit=SLICE_BYTES):
                 begun, held = i, 0
             held += size
         yield batch.slice(begun)
+    # Workers stay for other tasks: what this one no longer uses goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def flat(column):
