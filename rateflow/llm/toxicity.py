@@ -1,8 +1,8 @@
 """Toxicity by two Kneser-Ney character models that share their lower orders.
 
 Texts are folded to an alphabet of 30 symbols, so five symbols are one of 30^5 codes and
-every table below has at most that many rows, whatever the corpus. Five-symbol counts are
-kept for each class over all labelled training rows; the fourth order counts distinct
+every table below has at most four times that many rows, whatever the corpus. Five-symbol
+counts are kept for each class over all labelled training rows; the fourth order counts distinct
 continuations in each class, the orders below pool both classes. A text's evidence is the
 log-likelihood of the toxic model minus that of the ordinary one.
 """
@@ -19,7 +19,9 @@ ORDER = 5
 SYMBOLS = 30
 DISCOUNT = 0.75
 WINDOW = 24
-# Calibration uses at most so many labelled rows of the fold kept from counting.
+# Two halves of the training rows and two classes.
+MARKS = 4
+# Calibration uses at most so many labelled rows.
 CALIBRATION_ROWS = 20_000
 FEATURES = ("mean_ratio", "peak_ratio", "strong_share")
 STRONG = 8.0
@@ -74,15 +76,15 @@ def _inside(begins, order, total):
 
 
 def _count(batches):
-    """Five-symbol counts of each class, summed within the task."""
+    """Five-symbol counts of each class and half, summed within the task."""
     held, size = [], 0
     for rows in slices(batches):
         values, begins = symbols(*flat(rows.column("text")))
-        toxic = rows.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
+        marks = rows.column("mark").to_numpy(zero_copy_only=False).astype(np.int64)
         keep = _inside(begins, ORDER, len(values))
         grams = codes(values, ORDER)[keep].astype(np.int64)
-        label = np.repeat(toxic, np.diff(begins))[: len(keep)][keep]
-        found, counts = np.unique(grams * 2 + label, return_counts=True)
+        label = np.repeat(marks, np.diff(begins))[: len(keep)][keep]
+        found, counts = np.unique(grams * MARKS + label, return_counts=True)
         held.append((found, counts))
         size += len(found)
         if size > 2_000_000:
@@ -102,17 +104,14 @@ def _merge(parts):
 
 def _counted(part):
     keys, counts = part
-    toxic = keys % 2 == 1
-    return batch(
-        gram=(keys // 2).astype(np.int32), ordinary=np.where(toxic, 0, counts), toxic=np.where(toxic, counts, 0)
-    )
+    return batch(gram=(keys // MARKS).astype(np.int32), mark=(keys % MARKS).astype(np.int32), n=counts)
 
 
 def ngram_counts(labelled):
-    """Table ``gram, ordinary, toxic`` over all rows of ``labelled(text, toxic)``."""
-    rows = labelled.select("text", F.col("toxic").cast("long").alias("toxic"))
-    counted = rows.mapInArrow(_count, "gram int, ordinary long, toxic long")
-    return counted.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    """Table ``gram, mark, n`` over all rows of ``labelled(text, mark)``; marks are below ``MARKS``."""
+    rows = labelled.select("text", F.col("mark").cast("long").alias("mark"))
+    counted = rows.mapInArrow(_count, "gram int, mark int, n long")
+    return counted.groupBy("gram", "mark").agg(F.sum("n").alias("n"))
 
 
 def _level(counts, below):
@@ -219,29 +218,43 @@ def fit_logistic(x, y, rounds=50, ridge=1e-3):
     return np.append(w[:-1] / spread, w[-1] - (w[:-1] * mean / spread).sum())
 
 
-def train(documents, labels, count_folds=(1, 2, 3), calibrate_folds=(4,)):
+def _models(counts):
+    """The model of all counts, and those of the first and of the second half."""
+    grams, where = np.unique(counts["gram"].to_numpy(np.int64), return_inverse=True)
+    table = np.zeros((MARKS, len(grams)))
+    table[counts["mark"].to_numpy(np.int64), where] = counts["n"]
+    whole = build_model(grams, table[0] + table[2], table[1] + table[3])
+    return whole, build_model(grams, table[0], table[1]), build_model(grams, table[2], table[3])
+
+
+def train(documents, labels, folds=(1, 2, 3, 4)):
     """The model and the weights of its evidence.
 
     ``labels(doc_id, toxic)`` and ``documents(doc_id, text)``; the fold of a row is
-    crc32(doc_id as text) mod 5, and fold 0 is never read here. Null labels are left out.
+    crc32(doc_id as text) mod 5, and fold 0 is never read here. Null labels are left out. The
+    weights are fitted on evidence from the model of the other half of the folds, so that no
+    row is judged by counts of its own.
     """
     spark = documents.sparkSession
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     known = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic", fold.alias("fold"))
-    known = known.groupBy("doc_id", "fold").agg(F.max("toxic").alias("toxic"))
-    known = stage(known.where(F.col("fold").isin([*count_folds, *calibrate_folds])), "labels")
+    known = known.groupBy("doc_id", "fold").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = known.where(F.col("fold").isin(list(folds)))
+    half = (F.col("fold") > folds[len(folds) // 2 - 1]).cast("int")
+    known = stage(known.select("doc_id", "toxic", (2 * half + F.col("toxic")).alias("mark")), "labels")
     texts = documents.select("doc_id", "text")
-    counted = known.where(F.col("fold").isin(list(count_folds)))
-    counts = ngram_counts(texts.join(broadcast_if_small(counted), "doc_id")).toPandas()
-    model = build_model(counts["gram"], counts["ordinary"], counts["toxic"])
-    shared = spark.sparkContext.broadcast(model)
-    drawn = known.where(F.col("fold").isin(list(calibrate_folds)))
-    drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
-    kept = texts.join(F.broadcast(drawn), "doc_id").select("toxic", "text")
+    whole, *halves = _models(ngram_counts(texts.join(broadcast_if_small(known), "doc_id")).toPandas())
+    drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
+    kept = texts.join(F.broadcast(drawn), "doc_id").select("toxic", "mark", "text")
     schema = "toxic int, " + ", ".join(f"{n} double" for n in FEATURES)
-    measured = kept.withColumn("toxic", F.col("toxic").cast("int")).mapInArrow(_measure(shared, ["toxic"]), schema).toPandas()
-    weights = fit_logistic(measured[list(FEATURES)].to_numpy(), measured["toxic"].to_numpy(float))
-    return shared, weights
+    evidence = []
+    for first, other in ((0, halves[1]), (2, halves[0])):
+        measure = _measure(spark.sparkContext.broadcast(other), ["toxic"])
+        mine = kept.where(F.col("mark").between(first, first + 1)).select("toxic", "text")
+        evidence.append(mine.mapInArrow(measure, schema))
+    found = evidence[0].union(evidence[1]).toPandas()
+    weights = fit_logistic(found[list(FEATURES)].to_numpy(), found["toxic"].to_numpy(float))
+    return spark.sparkContext.broadcast(whole), weights
 
 
 def score(documents, trained, keep_text=False, prefix=""):
