@@ -7,7 +7,9 @@ one task, in slot order, under a name of its own that becomes final when it is w
 run that is repeated skips what is there, and a reader may begin at any slot.
 """
 
+import array
 import base64
+import sys
 import uuid
 import zlib
 
@@ -104,6 +106,14 @@ def _numbered(counts, length):
     return placed, int(total)
 
 
+def _packed(ids):
+    """Ids as two bytes each, the lower one first."""
+    numbers = array.array("H", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
+
+
 def _cut(ranks, length, total, key):
     """A row for each sequence: its slot and packed tokens."""
 
@@ -114,7 +124,7 @@ def _cut(ranks, length, total, key):
             ids = rows.column("doc_id").to_pylist()
             numbers, owners, chunks, tokens = [], [], [], []
             for doc_id, text, begins in zip(ids, rows.column("text").to_pylist(), firsts):
-                packed = np.array(encode(text), "<u2").tobytes()
+                packed = _packed(encode(text))
                 for chunk, at in enumerate(range(0, len(packed), 2 * length)):
                     for first in begins:
                         numbers.append(first + chunk)
@@ -185,10 +195,14 @@ def _records(rows, length):
     out = np.zeros(rows.num_rows, record)
     out["head"]["doc_id"] = rows.column("doc_id").fill_null(-1).to_numpy(zero_copy_only=False)
     out["head"]["chunk"] = rows.column("chunk").to_numpy()
-    for i, tokens in enumerate(rows.column("tokens").to_pylist()):
-        own = np.frombuffer(tokens, "<u2")
-        out["tokens"][i, : len(own)] = own
-        out["head"]["n_tokens"][i] = len(own)
+    tokens = rows.column("tokens")
+    sizes = pc.binary_length(tokens).to_numpy() // 2
+    own = np.frombuffer(b"".join(tokens.to_pylist()), "<u2")
+    place = np.arange(len(own)) + np.repeat(length * np.arange(len(sizes)) - (np.cumsum(sizes) - sizes), sizes)
+    filled = np.zeros(rows.num_rows * length, "<u2")
+    filled[place] = own
+    out["tokens"] = filled.reshape(-1, length)
+    out["head"]["n_tokens"] = sizes
     return out.tobytes()
 
 
