@@ -32,6 +32,10 @@ LARGEST_BUCKET = 20_000
 # Shingles that a task of the first pass holds before it counts them.
 KEYS_HELD = 1_500_000
 TILE_SHINGLES = 400_000
+# Sets of a family that are compared with all of it before what stays apart is cut into blocks.
+HUBS = 8
+# Numbers in the count vectors of one tile; beyond, its vectors get fewer groups.
+TILE_COUNTS = 16_000_000
 LEAF = 16
 
 
@@ -259,28 +263,35 @@ class RTree:
         return self.order[nodes]
 
 
-def tree_links(points, sizes, confirm, queries=None):
+def tree_links(points, sizes, confirm, queries=None, across=False):
     """Pairs that connect all points that ``confirm(i, j)`` links among those the tree finds.
 
     What is connected already is not looked at again, single points and whole nodes alike.
-    With ``queries``, only pairs that hold one of them are looked at.
+    With ``queries``, only pairs that hold one of them are looked at, and with ``across`` only
+    pairs of one of them and another point.
     """
-    tree = RTree(points, sizes)
+    inside = np.flatnonzero(~queries) if across else np.arange(len(sizes))
+    if not len(inside):
+        return []
+    tree = RTree(points[inside], sizes[inside])
+    # The group of every point: first those in the tree, in its order.
     place = np.empty(len(sizes), np.int64)
-    place[tree.order] = np.arange(len(sizes))
-    # The group of every point, in the order of the tree.
+    place[inside[tree.order]] = np.arange(len(inside))
+    if across:
+        place[queries] = np.arange(len(inside), len(sizes))
     groups = np.arange(len(sizes))
 
     def skip(level, nodes):
         mine = groups[place[i]]
         if level == 0:
             return groups[nodes] == mine
-        cuts = np.arange(0, len(groups), LEAF**level)
-        return ((np.minimum.reduceat(groups, cuts) == mine) & (np.maximum.reduceat(groups, cuts) == mine))[nodes]
+        known = groups[: len(inside)]
+        cuts = np.arange(0, len(known), LEAF**level)
+        return ((np.minimum.reduceat(known, cuts) == mine) & (np.maximum.reduceat(known, cuts) == mine))[nodes]
 
     links = []
     for i in range(len(sizes)) if queries is None else np.flatnonzero(queries):
-        for j in tree.search(points[i], sizes[i], skip):
+        for j in inside[tree.search(points[i], sizes[i], skip)]:
             one, other = groups[place[i]], groups[place[j]]
             if one != other and confirm(i, j):
                 groups[groups == max(one, other)] = min(one, other)
@@ -289,11 +300,16 @@ def tree_links(points, sizes, confirm, queries=None):
 
 
 def join_tile(sets, queries=None):
-    """Links that connect what is linked among ``sets``, verified on the sets themselves."""
+    """Links that connect what is linked among ``sets``, verified on the sets themselves.
+
+    With ``queries``, what is linked between these and the others.
+    """
     sizes = np.array([len(s) for s in sets], np.int64)
-    groups = min(groups_for(sizes.max()), 4096)
-    points = np.stack([count_vector(s, groups) for s in sets]).astype(np.int32)
-    return tree_links(points, sizes, lambda i, j: linked(sets[i], sets[j]), queries)
+    groups = min(groups_for(sizes.max()), 4096, 1 << max(3, (TILE_COUNTS // len(sets)).bit_length() - 1))
+    points = np.empty((len(sets), groups), np.int32)
+    for i, one in enumerate(sets):
+        points[i] = count_vector(one, groups)
+    return tree_links(points, sizes, lambda i, j: linked(sets[i], sets[j]), queries, queries is not None)
 
 
 def join_bucket(vectors, sizes):
@@ -391,7 +407,7 @@ def _near_in_large(pairs, sets):
 
 
 def _families(documents, sets, common):
-    """Sets that candidate pairs connect: ``family, set_id, doc_id, tile, tiles``."""
+    """Sets that candidate pairs connect: ``family, set_id, doc_id, n_shingles, tile, tiles``."""
     routed = documents.select("text").mapInArrow(_prefixes(common), "key long, set_id long")
     routed = routed.repartition("key").sortWithinPartitions("key", "set_id")
     pairs = routed.mapInArrow(_bucket_pairs, "a long, b long, member boolean")
@@ -402,14 +418,16 @@ def _families(documents, sets, common):
     total = members.groupBy("family").agg(F.ceil(F.sum("n_shingles") / TILE_SHINGLES).alias("tiles"))
     members = members.join(total, "family")
     tile = F.pmod(F.xxhash64("set_id"), F.col("tiles"))
-    return stage(members.select("family", "set_id", "doc_id", tile.alias("tile"), "tiles"), "families")
+    return stage(members.select("family", "set_id", "doc_id", "n_shingles", tile.alias("tile"), "tiles"), "families")
 
 
 def _verified(documents, families):
     """Links that connect every pair of sets with enough overlap.
 
-    The smallest set of a family, its id, stands in each of the family's tiles. Sets that
-    this leaves apart from it are queries against all tiles of the family.
+    The smallest set of a family, its id, stands in each of the family's tiles. Where more
+    than a tile stays apart from a family's main group, the sets with most links of several
+    groups are queries against all its tiles. What is apart then is cut into blocks, and each
+    block meets each part of the family on its own, so no tile holds more than two parts.
     """
     hub = F.col("set_id") == F.col("family")
     everywhere = families.where(hub).withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
@@ -419,19 +437,56 @@ def _verified(documents, families):
     large = families.where("tiles > 1")
     if large.isEmpty():
         return links
-    joined = components(links).withColumnsRenamed({"id": "set_id", "component": "group"})
-    large = large.join(joined, "set_id", "left").withColumn("group", F.coalesce("group", "set_id"))
-    hubs = large.where(hub).select("family", F.col("group").alias("hub_group"))
-    apart = large.join(hubs, "family").where("group != hub_group").select(families.columns)
-    apart = stage(apart, "apart")
-    if apart.isEmpty():
+    parts = _parts(large, links)
+    crowded = parts.where("blocks > 1").select("family").distinct()
+    if not crowded.isEmpty():
+        hubs = _hubs(parts.join(crowded, "family", "left_semi"), links)
+        asking = hubs.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).where("at != tile")
+        asking = asking.withColumn("tile", F.col("at")).select(*columns, F.lit(True).alias("query"))
+        others = large.join(crowded, "family", "left_semi").select(*columns, F.lit(False).alias("query"))
+        links = links.union(stage(_tiled(documents, asking.union(others)), "links"))
+        parts = _parts(large, links)
+    met = _met(parts)
+    if met.isEmpty():
         return links
-    asked = apart.select("family").distinct()
-    asking = apart.withColumn("tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    asking = asking.select(*columns, F.lit(True).alias("query"))
-    others = large.join(asked, "family", "left_semi").join(apart, "set_id", "left_anti")
-    more = _tiled(documents, asking.union(others.select(*columns, F.lit(False).alias("query"))))
-    return links.union(stage(more, "links"))
+    return links.union(stage(_tiled(documents, met), "links"))
+
+
+def _parts(large, links):
+    """``large`` with what is apart from a family's largest group, cut into ``blocks``, the rest into ``rests``."""
+    joined = components(links).withColumnsRenamed({"id": "set_id", "component": "group"})
+    rows = large.join(joined, "set_id", "left").withColumn("group", F.coalesce("group", "set_id"))
+    sizes = rows.groupBy("family", "group").agg(F.sum("n_shingles").alias("n"))
+    main = sizes.groupBy("family").agg(
+        F.max_by("group", F.struct("n", "group")).alias("main"), F.sum("n").alias("total"), F.max("n").alias("most")
+    )
+    parts = (F.ceil((F.col("total") - F.col("most")) / TILE_SHINGLES), F.ceil(F.col("most") / TILE_SHINGLES))
+    main = main.select("family", "main", parts[0].alias("blocks"), parts[1].alias("rests")).where("blocks > 0")
+    rows = rows.join(main, "family").withColumn("apart", F.col("group") != F.col("main"))
+    return stage(rows.drop("main"), "parts")
+
+
+def _hubs(parts, links):
+    """The sets with most links in their groups, at most ``HUBS`` a family."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("set_id")).groupBy("set_id").agg(F.count("*").alias("degree"))
+    rows = parts.select("family", "set_id", "doc_id", "tile", "tiles", "group").join(ends, "set_id")
+    rows = rows.withColumn("one", F.struct("degree", "set_id", "doc_id", "tile", "tiles"))
+    best = rows.groupBy("family", "group").agg(F.max("one").alias("one"))
+    # Few groups by few hashes, so that no list grows with the family.
+    best = best.groupBy("family", F.pmod(F.xxhash64("group"), F.lit(8 * HUBS)).alias("share")).agg(F.max("one").alias("one"))
+    best = best.groupBy("family").agg(F.slice(F.sort_array(F.collect_list("one"), False), 1, HUBS).alias("most"))
+    return stage(best.select("family", F.explode("most").alias("one")).select("family", "one.*"), "hubs")
+
+
+def _met(parts):
+    """Rows for tiles of two parts of a family of which one is a block of sets apart, or of one such block alone."""
+    block = F.pmod(F.xxhash64("set_id", F.lit(1)), F.when(F.col("apart"), F.col("blocks")).otherwise(F.col("rests")))
+    parts = parts.withColumn("all", F.col("blocks") + F.col("rests"))
+    parts = parts.withColumn("mine", F.when(F.col("apart"), block).otherwise(F.col("blocks") + block))
+    last = F.when(F.col("apart"), F.col("all")).otherwise(F.col("blocks")) - 1
+    rows = parts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    tile = F.least("mine", "other") * F.col("all") + F.greatest("mine", "other")
+    return rows.select("family", tile.alias("tile"), "set_id", "doc_id", (F.col("mine") < F.col("other")).alias("query"))
 
 
 def jaccard_components(documents):

@@ -96,6 +96,26 @@ def test_jaccard_large_buckets_and_tiles(spark, monkeypatch, sizes):
     assert groups_of(jaccard.jaccard_components(documents(spark, texts))) == expected_groups(enumerate(texts))
 
 
+@pytest.mark.parametrize("template", [True, False])
+def test_jaccard_tiles_stay_bounded(spark, monkeypatch, template):
+    """Variants that only their template links, and that nothing links: every tile of every pass is bounded."""
+    monkeypatch.setattr(jaccard, "TILE_SHINGLES", 800)
+    base = prose(3, 120)
+    texts = [edited(base, *(3 + 5 * i + 37 * j for j in range(3) if 3 + 5 * i + 37 * j < 116)) for i in range(23)]
+    texts += [edited(base, 7 + i, 40 + 2 * i, 90 + i) for i in range(20)] + [base] * template
+    tiled, largest = jaccard._tiled, []
+
+    def seen(docs, members):
+        sizes = members.join(documents(spark, texts).select("doc_id", F.lit(1).alias("n")), "doc_id")
+        largest.append(sizes.groupBy("family", "tile").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0])
+        return tiled(docs, members)
+
+    monkeypatch.setattr(jaccard, "_tiled", seen)
+    assert groups_of(jaccard.jaccard_components(documents(spark, texts))) == expected_groups(enumerate(texts))
+    # Two parts of about 7 sets each, and the hubs; sets fall into parts by their hash.
+    assert len(largest) > 1 and max(largest) <= 27
+
+
 @pytest.mark.skipif(not HERE, reason="the given tables are not here")
 def test_jaccard_given_table(spark):
     df = given(spark, "documents")
