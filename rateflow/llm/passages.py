@@ -6,6 +6,8 @@ shard's group. Neighbouring windows with one context are a run. Runs whose conte
 once cannot repeat and end there. The words of the others go to shards; each shard builds an
 FM-index, and backward search over its wavelet tree counts every window of the runs that
 stream past it. Occurrences carry the number of runs, and of equal texts, they stand for.
+The runs of a context with more words than a shard holds are split into their windows, which
+meet by the hash of all their words instead.
 """
 
 import hashlib
@@ -158,6 +160,20 @@ def _run_words(batches):
         )
 
 
+def _run_windows(batches):
+    """The windows of the runs listed for each text: their places in the run and hashes."""
+    for rows in slices(batches):
+        data, offsets = flat(rows.column("text"))
+        starts, ends, before = word_spans(data, offsets)
+        windows = _chain(ngrams(word_hashes(data, starts, ends), ANCHOR), ANCHOR, WINDOW // ANCHOR)
+        runs = [(before[i] + r["start"], r) for i, listed in enumerate(rows.column("runs").to_pylist()) for r in listed]
+        number = np.array([r["n"] for _, r in runs], np.int64)
+        at = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+        begin = np.repeat(np.array([b for b, _ in runs], np.int64), number)
+        fixed = {n: np.repeat(np.array([r[n] for _, r in runs], np.int64), number) for n in ("context", "content", "weight")}
+        yield batch(**fixed, at=at.astype(np.int32), window=signed(windows[begin + at]))
+
+
 class WaveletMatrix:
     """Rank over symbols: a bit vector for each bit of a symbol, packed, with counts by block."""
 
@@ -366,11 +382,37 @@ def _repeated(weighed, shared):
     distinct = shared.groupBy("context", "content").agg(
         F.sum("weight").alias("weight"), F.min(F.struct("row", "start", "n")).alias("at")
     )
+    distinct = stage(distinct, "distinct")
+    # A context whose words don't fit a shard is split.
+    large = distinct.groupBy("context").agg(F.sum(F.col("at.n") + WINDOW - 1).alias("words"))
+    large = stage(large.where(F.col("words") > SHARD_WORDS).select("context"), "large")
+    if large.isEmpty():
+        return _in_shards(weighed, distinct)
+    large = broadcast_if_small(large)
+    whole = _in_shards(weighed, distinct.join(large, "context", "left_anti"))
+    return whole.union(_by_windows(weighed, distinct.join(large, "context", "left_semi")))
+
+
+def _with_runs(weighed, distinct):
+    """``text, runs``: each text that a run is read from, with its runs."""
     run = F.struct("at.start", "at.n", "context", "content", "weight")
     listed = distinct.groupBy(F.col("at.row").alias("row")).agg(F.collect_list(run).alias("runs"))
     listed = stage(listed, "listed")
     texts = weighed.select("row", "text").join(broadcast_if_small(listed.select("row")), "row", "left_semi")
-    words = texts.join(listed, "row").select("text", "runs")
-    words = words.mapInArrow(_run_words, "context long, content long, weight long, words binary")
+    return texts.join(listed, "row").select("text", "runs")
+
+
+def _in_shards(weighed, distinct):
+    words = _with_runs(weighed, distinct).mapInArrow(_run_words, "context long, content long, weight long, words binary")
     words = words.repartition("context").sortWithinPartitions("context", "content")
     return words.mapInArrow(_search_shards, "context long, content long, first int, stop int")
+
+
+def _by_windows(weighed, distinct):
+    """The same for contexts of any size; windows of one context and one hash are equal."""
+    schema = "context long, content long, weight long, at int, window long"
+    windows = stage(_with_runs(weighed, distinct).mapInArrow(_run_windows, schema), "windows")
+    met = windows.groupBy("context", "window").agg(F.sum("weight").alias("n")).where("n > 1")
+    met = broadcast_if_small(stage(met.select("context", "window"), "met"))
+    found = windows.join(met, ["context", "window"])
+    return found.select("context", "content", F.col("at").alias("first"), (F.col("at") + 1).alias("stop"))

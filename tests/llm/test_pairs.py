@@ -168,6 +168,27 @@ def test_passages_awkward_rows(spark):
     assert passages_of(mixed) == expected_passages([(None, part), (1, part + " more"), (1, None)])
 
 
+def test_passages_hot_context_is_split(spark, monkeypatch):
+    """No shard gets more words of one context than it may hold; what repeats is found all the same."""
+    monkeypatch.setattr(passages, "SHARD_WORDS", 800)
+    part, longer = prose(5, 25), prose(6, 37)
+    texts = [prose(100 + i, 20) + " " + part + " " + prose(200 + i % 25, 20) for i in range(30)]
+    texts += [prose(300 + i, 9) + " " + longer + " " + prose(400 + i, 9) for i in range(30)]
+    texts += [prose(500, 50), prose(500, 45) + " end", texts[0], "w " * 90, None]
+    df = documents(spark, texts)
+    search, most = type(df).mapInArrow, []
+
+    def seen(self, function, schema):
+        if function is passages._search_shards:
+            words = self.groupBy("context").agg(F.sum(F.octet_length("words") / 6).alias("n"))
+            most.append(words.agg(F.max("n")).first()[0])
+        return search(self, function, schema)
+
+    monkeypatch.setattr(type(df), "mapInArrow", seen)
+    assert passages_of(df) == expected_passages(list(enumerate(texts)))
+    assert most and most[0] <= 800
+
+
 @pytest.mark.skipif(not HERE, reason="the given tables are not here")
 def test_passages_given_table(spark):
     df = given(spark, "documents")
