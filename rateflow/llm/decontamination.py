@@ -49,6 +49,13 @@ def _template(marked):
     return F.regexp_extract_all(F.lower(typed), F.lit(rf"[{NUMBER}{NAME}{UNIT}]|\p{{L}}+"), F.lit(0))
 
 
+def _typed(value):
+    """The template's token of one value."""
+    mark = F.substring(value, 1, 1)
+    number = F.when(value.rlike(r"^\p{N}"), NUMBER).otherwise(F.lower(value))
+    return F.when(mark.isin(NAME, UNIT), mark).otherwise(number)
+
+
 def _windows(tokens, size):
     last = F.size(tokens) - size
     places = F.when(last >= 0, F.sequence(F.lit(0), last))
@@ -70,7 +77,8 @@ def contaminated(documents, benchmark, window=WINDOW, covered=COVERED):
     """Table ``doc_id, item_id, n_windows, n_matched, n_slots, exact``: one row per pair found.
 
     ``n_windows`` counts the item's windows, ``n_matched`` those on the pair's best diagonal;
-    ``exact`` says that all slot values are equal. Null, empty and short texts and items of
+    ``n_slots`` counts slots in matched windows, ``exact`` says that all their values are equal
+    but for case. Null, empty and short texts and items of
     fewer tokens than a window match nothing, and rows without an id cannot be reported.
     A repeated doc_id is one document here. Only ids and texts are read.
     """
@@ -87,7 +95,11 @@ def contaminated(documents, benchmark, window=WINDOW, covered=COVERED):
 
 
 def _consistent(documents, items, found, window):
-    """Pairs whose aligned slots map each of the item's values to one value, best diagonal each."""
+    """Pairs whose aligned slots map each of the item's values to one value, best diagonal each.
+
+    Only slots in matched windows count, and case does not: beyond them the document goes on
+    with its own text.
+    """
     texts = documents.join(broadcast_if_small(found), "doc_id")
     sides = texts.select("doc_id", "item_id", "shift", "n_windows", "n_matched", _once(_values(_marked(F.col("text")))).alias("mine"))
     theirs = items.select("item_id", _once(_values(_marked(F.col("text")))).alias("theirs"))
@@ -99,8 +111,18 @@ def _consistent(documents, items, found, window):
         F.slice("mine", first + F.col("shift") + 1, length).alias("mine"),
     )
     slot = rf"^[{NAME}{UNIT}\p{{N}}]"
-    slots = F.filter(pairs, lambda p: p["theirs"].rlike(slot) & p["mine"].rlike(slot))
-    sides = sides.withColumn("slots", _once(slots)).withColumn("n_slots", F.size("slots"))
+    sides = sides.withColumn("pairs", _once(pairs))
+    same = F.transform("pairs", lambda p: F.when(_typed(p["theirs"]) == _typed(p["mine"]), "1").otherwise("0"))
+    sides = sides.withColumn("same", _once(F.array_join(same, "")))
+
+    def matched(i):
+        # Every window among these places holds place i.
+        start = F.greatest(F.lit(0), i - (window - 1))
+        return F.contains(F.substr("same", start + 1, i + window - start), F.lit("1" * window))
+
+    slots = F.filter("pairs", lambda p, i: p["theirs"].rlike(slot) & p["mine"].rlike(slot) & matched(i))
+    lowered = F.transform(slots, lambda p: F.struct(F.lower(p["theirs"]).alias("theirs"), F.lower(p["mine"]).alias("mine")))
+    sides = sides.withColumn("slots", _once(lowered)).withColumn("n_slots", F.size("slots"))
     sides = sides.withColumn("slots", F.array_distinct("slots"))
     sides = sides.where(F.size("slots") == F.size(F.array_distinct(F.transform("slots", lambda p: p["theirs"]))))
     exact = F.forall("slots", lambda p: p["theirs"] == p["mine"])
