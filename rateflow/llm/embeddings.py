@@ -38,12 +38,12 @@ def plan(count, cosine=COSINE, recall=RECALL):
     return width, ceil(log(1 - recall) / log(1 - near**width))
 
 
-def _usable(rows):
-    """Vectors that can be compared: no nulls, all finite, not all zero."""
+def _usable():
+    """Can a vector be compared: no nulls, all finite, not all zero?"""
     vector = F.col("embedding").cast("array<double>")
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     some = F.exists(vector, lambda x: x != 0)
-    return rows.where(F.coalesce(fine & some, F.lit(False)))
+    return F.coalesce(fine & some, F.lit(False))
 
 
 def _units(column):
@@ -166,7 +166,7 @@ def near_duplicates(vectors, cosine=COSINE):
     small_batches(vectors.sparkSession)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
     marks = F.xxhash64("embedding"), F.xxhash64(F.reverse("embedding"))
-    usable = _usable(rows).select("vec_id", "embedding", marks[0].alias("h1"), marks[1].alias("h2"))
+    usable = rows.where(_usable()).select("vec_id", "embedding", marks[0].alias("h1"), marks[1].alias("h2"))
     members = stage(usable.select("vec_id", "h1", "h2"), "members")
     distinct = usable.groupBy("h1", "h2").agg(F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     distinct = stage(distinct.withColumn("id", F.xxhash64("h1", "h2")), "distinct")
@@ -197,6 +197,5 @@ def near_duplicates(vectors, cosine=COSINE):
     known = members.join(known, ["h1", "h2"])
     least = known.groupBy("group").agg(F.min("vec_id").alias("component_id"))
     linked = known.join(least, "group").select("vec_id", (F.col("links") + F.col("copies") - 1).alias("n_links"), "component_id")
-    alone = rows.join(members.select("vec_id").distinct(), "vec_id", "left_anti")
-    alone = alone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    alone = rows.where(~_usable()).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

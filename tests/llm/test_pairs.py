@@ -242,6 +242,13 @@ def test_embeddings_against_brute_force(spark, monkeypatch):
     assert embeddings.near_duplicates(vectors(spark, rows).limit(0)).count() == 0
 
 
+def test_embeddings_repeated_and_null_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, None), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (3, [0.0, 0.0]), (None, [1.0, 1.0]), (None, None)]
+    found = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    got = sorted(((r["vec_id"], r["n_links"]) for r in found), key=repr)
+    assert got == sorted([(1, 1), (1, 0), (2, 1), (3, 0), (3, 0), (None, 0), (None, 0)], key=repr)
+
+
 def test_embedding_plan_grows_slowly():
     small, large = embeddings.plan(10_000), embeddings.plan(100_000_000)
     assert small[0] < large[0] < 2.5 * small[0] and large[1] < 8 * small[1]
