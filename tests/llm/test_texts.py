@@ -214,7 +214,7 @@ def test_decontamination_slots_of_matched_windows_only(spark):
     """A copied beginning counts whatever follows it, and a unit's case says nothing."""
     item = "A train with Alice leaves the old station at 60 km an hour and goes on for 9 km of steady travel until Alice meets 60 people"
     begun = " ".join(item.split()[:20])
-    own = begun + " upon which nothing more was said that Robert knew 75 things"
+    own = begun + " the best kind Robert met 75 times"
     texts = [own, item.replace("60 km", "60 KM"), item.replace("9 km", "9 miles"), item.replace("until Alice", "until Robert")]
     items = spark.createDataFrame([(7, item)], "item_id long, text string")
     found = decontamination.contaminated(documents(spark, texts), items).collect()
