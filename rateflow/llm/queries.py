@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontamination, embeddings, jaccard, licenses, passages, pii, secret_scan, segmentation, shards, toxicity
+from rateflow.llm import decontamination, embeddings, jaccard, licenses, manifest, passages, pii, secret_scan, segmentation, shards, toxicity
 from rateflow.session import fresh_dir
 
 # Where the public vocabularies lie; a parameter of the operators.
@@ -71,6 +71,10 @@ def op10_substring_dedup(spark, d):
     return passages.remove_repeats(table(spark, d, "documents")).drop("kept_text")
 
 
+def op12_merkle_manifest(spark, d):
+    return manifest.manifest_check(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -82,5 +86,6 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_substring_dedup": op10_substring_dedup,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLE = {}
