@@ -12,6 +12,7 @@ import hashlib
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -129,24 +130,28 @@ def roots(logs):
     return out
 
 
-def _read(left, right):
-    """Siblings of the nodes of one block, followed by those of the block's root."""
-    if not right.num_rows:
-        raise ValueError("nodes without a log")
-    only = right.to_pylist()[0]
-    height = _levels(only["n"])
-    mask = (1 << BITS) - 1
-    read = [siblings(only["log"], place & mask, only["leaves"], height) for place in left.column("place").to_pylist()]
-    found = [own + only["above"] for own, _ in read]
-    sides = [own + only["above_sides"] for _, own in read]
-    left = left.drop_columns(["block"])
-    return left.append_column("siblings", pa.array(found, pa.binary())).append_column("sides", pa.array(sides, pa.string()))
+def _read(batches):
+    """Siblings of the nodes of each block, followed by those of the block's root.
 
-
-def _read_block(left, right):
-    if not left.num_rows:
-        return left.drop_columns(["block"]).append_column("siblings", pa.array([], pa.binary())).append_column("sides", pa.array([], pa.string()))
-    return _read(left, right)
+    Rows come sorted by block and place; a block's first row, at place -1, brings its log.
+    """
+    entry, mask = None, (1 << BITS) - 1
+    for rows in batches:
+        places = rows.column("place").to_pylist()
+        begins = [i for i, place in enumerate(places) if place < 0]
+        found, sides = [], []
+        for i, place in enumerate(places):
+            if place < 0:
+                entry = rows.column("entry")[i].as_py()
+                height = _levels(entry["n"])
+                continue
+            own, on = siblings(entry["log"], place & mask, entry["leaves"], height)
+            found.append(own + entry["above"])
+            sides.append(on + entry["above_sides"])
+        if begins:
+            rows = rows.filter(pc.greater_equal(rows.column("place"), 0))
+        rows = rows.drop_columns(["block", "entry"])
+        yield rows.append_column("siblings", pa.array(found, pa.binary())).append_column("sides", pa.array(sides, pa.string()))
 
 
 def paths(nodes, logs, above=None):
@@ -177,10 +182,12 @@ def paths(nodes, logs, above=None):
 
 
 def _along(nodes, logs):
-    nodes = nodes.withColumn("block", F.shiftright("place", BITS))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema if f.name != "block")
-    both = nodes.groupBy("key", "block").cogroup(logs.groupBy("key", "block"))
-    return both.applyInArrow(_read_block, f"{fields}, siblings binary, sides string")
+    entry = F.struct("n", "leaves", "log", "above", "above_sides").alias("entry")
+    logs = logs.select("key", "block", F.lit(-1).cast("long").alias("place"), entry)
+    both = nodes.withColumn("block", F.shiftright("place", BITS)).unionByName(logs, allowMissingColumns=True)
+    both = both.repartition("key", "block").sortWithinPartitions("key", "block", "place")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in nodes.schema)
+    return both.mapInArrow(_read, f"{fields}, siblings binary, sides string")
 
 
 def canonical(columns):
