@@ -10,7 +10,6 @@ Neither tokenizer joins a space between two other characters with what stands be
 a text is a row of units that begin there, and each task encodes and aligns a unit once.
 """
 
-import json
 import os
 import re
 import zlib
@@ -21,8 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from rateflow.llm import perfect_hash
-from rateflow.llm.arrays import batch, slices, small_batches
-from rateflow.operators.joins import measured_bytes
+from rateflow.llm.arrays import batch, kept, slices, small_batches
 
 UNIT = re.compile(r"(?<=\S) (?=\S)")
 # A task forgets its units beyond so many, or so many characters.
@@ -83,15 +81,10 @@ class Vocabularies:
         return pairs % len(self.second_bytes)
 
 
-_built = {}
-
-
 def _vocabularies(shared):
     byte_bpe, pieces = shared.value
-    name = (zlib.crc32(byte_bpe.encode()), zlib.crc32(pieces))
-    if name not in _built:
-        _built[name] = Vocabularies(byte_bpe, pieces)
-    return _built[name]
+    name = f"alignment-{zlib.crc32(byte_bpe.encode())}-{zlib.crc32(pieces)}"
+    return kept(name, lambda: Vocabularies(byte_bpe, pieces))
 
 
 class Units:
@@ -291,9 +284,8 @@ def align(documents, byte_bpe_file, piece_file, carried=("doc_id",)):
     for i, part in enumerate(lists):
         # A part is read by the driver and sent to the tasks: PART_BYTES, or one cell.
         counts = spark.sparkContext.broadcast([r.asDict() for r in table.where(F.col("cell").isin(part)).collect()])
-        kept = [*carried, *(() if i == len(lists) - 1 else ("text",))]
-        if i:
-            kept += [*MADE, "groups"]
-        schema = ", ".join([own, *(["text string"] if "text" in kept else []), made, sums])
-        rows = rows.mapInArrow(_look_up(shared, counts, cells, best, kept, i == 0), schema)
+        columns = [*carried, *(() if i == len(lists) - 1 else ("text",))]
+        schema = ", ".join([own, *(["text string"] if "text" in columns else []), made, sums])
+        columns += [*MADE, "groups"] if i else []
+        rows = rows.mapInArrow(_look_up(shared, counts, cells, best, columns, i == 0), schema)
     return rows

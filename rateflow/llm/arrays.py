@@ -4,6 +4,9 @@ Python functions here run inside ``mapInArrow``: Spark splits the rows over task
 works through one slice of a batch at a time, so a task holds a few megabytes of text.
 """
 
+import sys
+from types import ModuleType
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,6 +28,17 @@ def small_batches(spark):
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def kept(name, make):
+    """What ``make`` gives, made once a worker process and kept under ``name``.
+
+    Functions reach the workers by value, so the globals of their modules do not last.
+    """
+    store = sys.modules.setdefault("_kept_by_workers", ModuleType("_kept_by_workers")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def mix(values):
     """64-bit finaliser: close inputs give unrelated outputs."""
     x = values.copy()

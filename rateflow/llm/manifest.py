@@ -161,7 +161,7 @@ def paths(nodes, logs, above=None):
     """
     nothing = (F.lit(b"").alias("above"), F.lit("").alias("above_sides"))
     upper = None
-    for log in reversed(logs):
+    for i, log in reversed(list(enumerate(logs))):
         top = log.where(F.col("n") <= 1 << BITS).select("key", "block", "n", "leaves", "log")
         if above is None:
             top = top.select("*", *nothing)
@@ -171,11 +171,10 @@ def paths(nodes, logs, above=None):
         if upper is not None:
             lower = log.where(F.col("n") > 1 << BITS).select("key", "block", "n", "leaves", "log")
             top = top.union(lower.join(upper, ["key", "block"]).select(top.columns))
-        # The blocks of the round below are this round's leaves.
-        below = logs[logs.index(log) - 1] if log is not logs[0] else None
-        if below is None:
+        if not i:
             return _along(nodes, top)
-        blocks = below.where(F.col("n") > 1 << BITS).select("key", F.col("block").alias("place"))
+        # The blocks of the round below are this round's leaves.
+        blocks = logs[i - 1].where(F.col("n") > 1 << BITS).select("key", F.col("block").alias("place"))
         upper = stage(_along(blocks, top), "paths").select(
             "key", F.col("place").alias("block"), F.col("siblings").alias("above"), F.col("sides").alias("above_sides")
         )

@@ -2,13 +2,14 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import decontamination, embeddings, jaccard, licenses, manifest, passages, pii, secret_scan, segmentation, shards, toxicity
+from rateflow.llm import alignment, decontamination, embeddings, jaccard, licenses, manifest, passages, pii, secret_scan, segmentation, shards, toxicity
 from rateflow.session import fresh_dir
 
 # Where the public vocabularies lie; a parameter of the operators.
 TOKENIZERS = "/opt/tokenizers"
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
 RANKS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 
 
 def table(spark, sf_dir, name):
@@ -71,6 +72,13 @@ def op10_substring_dedup(spark, d):
     return passages.remove_repeats(table(spark, d, "documents")).drop("kept_text")
 
 
+def op11_token_alignment(spark, d):
+    documents = table(spark, d, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    aligned = alignment.align(documents, BYTE_BPE, PIECES)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256)).alias("groups_sha256")
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest)
+
+
 def op12_merkle_manifest(spark, d):
     return manifest.manifest_check(table(spark, d, "documents"))
 
@@ -86,6 +94,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_token_alignment": op11_token_alignment,
     "op12_merkle_manifest": op12_merkle_manifest,
 }
 ORACLE = {}
