@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from rateflow.llm import alignment, decontamination, embeddings, jaccard, licenses, manifest, passages, pii, secret_scan, segmentation, shards, toxicity
+from rateflow.llm import alignment, decontamination, embeddings, jaccard, licenses, manifest, passages, pii, secret_scan, segmentation, shards, suffixes, toxicity
 from rateflow.session import fresh_dir
 
 # Where the public vocabularies lie; a parameter of the operators.
@@ -83,6 +83,11 @@ def op12_merkle_manifest(spark, d):
     return manifest.manifest_check(table(spark, d, "documents"))
 
 
+def op13_suffix_array_dedup(spark, d):
+    left = suffixes.remove_repeats(table(spark, d, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -96,5 +101,6 @@ QUERIES = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_token_alignment": op11_token_alignment,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }
 ORACLE = {}
