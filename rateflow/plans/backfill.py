@@ -10,6 +10,7 @@ from rateflow.operators.normalize import accepted, normalize, rejected
 from rateflow.plans.daily import upload_days
 from rateflow.schema import AGENCY_TABLE, DAY, OUTBOX, RATINGS, STATS
 from rateflow.session import stage
+from rateflow.sinks.added import retire_days
 from rateflow.sinks.store import replace_days, write_day
 from rateflow.sources.store import read_days
 
@@ -23,6 +24,7 @@ def ratings_between(ratings, first, last):
 
 def store_days(spark, ratings, store, first, last):
     """Replace the range's days of the ratings and of the three count tables."""
+    retire_days(spark, store, first, last)
     replace_days(ratings_between(ratings, first, last), store.ratings, first, last, RATINGS)
     count_days(spark, store, first, last)
 

@@ -28,6 +28,7 @@ from rateflow.schema import (
     STATS,
 )
 from rateflow.session import stage
+from rateflow.sinks.added import retire_days
 from rateflow.sinks.jdbc import CONNECTIONS, append_jdbc, fitting, too_wide
 from rateflow.sinks.store import replace_days, write_day
 from rateflow.sources.jdbc import read_jdbc
@@ -93,6 +94,7 @@ def ingest_day(spark, pages, store, day, mode="on", strict=False, shapes=None, o
     # are few to a task, so they are first brought together to files of a sensible size.
     kept = rows.where(F.col("reason").isNotNull() | day_condition(day, mode))
     kept = stage(kept.hint("rebalance"), "rows")
+    retire_days(spark, store, day, day)
     write_day(accepted(kept), store.ratings, day, one_file)
     write_day(rejected(kept), store.rejects, day)
 

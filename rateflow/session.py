@@ -42,6 +42,12 @@ def fresh_dir(spark, label):
     return f"{shared_dir(spark)}/rateflow/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark, path):
+    """Remove a folder, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df, label):
     """Write ``df`` to the shared folder and return the table read back.
 

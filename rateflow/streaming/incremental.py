@@ -10,17 +10,16 @@ from rateflow.operators.extract import extract
 from rateflow.operators.normalize import accepted, normalize, rejected
 from rateflow.schema import AGENCY_TABLE, DAY, OUTBOX, PAGES, RATING_COLUMNS, RATINGS, REJECTS, STATS, by_day
 from rateflow.session import stage
+from rateflow.sinks.added import add_batch, is_committed, merge_added
 from rateflow.sinks.store import write_days
-from rateflow.sources.store import read_table
-
-BATCH = "batch"
+from rateflow.sources.store import BATCH, committed, read_table
 
 
 def read_news(spark, path, schema=OUTBOX):
-    """Messages or rejects of micro-batches, each with its batch."""
+    """Messages or rejects of committed micro-batches, each with its batch."""
     days = [T.StructField(DAY, T.DateType())] if schema is OUTBOX else []
     stored = T.StructType([*schema.fields, *days, T.StructField(BATCH, T.StringType())])
-    return spark.read.schema(stored).parquet(path)
+    return spark.read.schema(stored).parquet(path).join(committed(spark, path), BATCH, "left_semi")
 
 
 def arriving_pages(spark, path, files_per_batch=None):
@@ -45,29 +44,27 @@ def new_records(ratings, stored):
 
 
 def take_batch(pages, batch_id, store, shapes=None):
-    """One micro-batch: extract, store what is new with its messages, count its days again.
+    """One micro-batch: extract, tell and add what is new.
 
-    Ratings and counts are the tables that the daily run writes, by day; a batch rewrites the
-    days it has new records of. A batch that is repeated finds them stored and changes
-    nothing, wherever it stopped before: messages are written first and under the batch's own
-    name, then the ratings, and counts are taken of all days of the batch.
+    New ratings, their counts, messages and rejects are written under the batch's name and
+    seen from its one commit on. Days are not written again, whatever they hold. A batch that
+    is repeated after its commit changes nothing; before it, it replaces what it had left.
     """
     spark = pages.sparkSession
-    batch = F.lit(batch_key(spark, batch_id)).alias(BATCH)
+    name = batch_key(spark, batch_id)
+    if is_committed(spark, store, name):
+        return
+    batch = F.lit(name).alias(BATCH)
     rows = stage(normalize(extract(pages, shapes)), "rows")
     write_days(rejected(rows).select(*REJECTS.fieldNames(), batch), store.arrived_rejects, BATCH)
     found = accepted(rows).withColumn(DAY, F.col("rat_date"))
     days = stage(found.select(DAY).distinct(), "days")
-    _begin(spark, store.ratings)
+    _begin(spark, store)
     fresh = stage(new_records(found, _of_days(spark, store.ratings, days)), "fresh")
     counts = roll_up(base_counts(fresh, DAY), AGENCY_TABLE, DAY)
     news = digest(fresh, counts, fresh.select(DAY).distinct())
     write_days(news.select(*OUTBOX.fieldNames(), DAY, batch), store.news, BATCH)
-    kept = stage(_of_days(spark, store.ratings, fresh.select(DAY).distinct()), "kept")
-    write_days(kept.select(*RATING_COLUMNS, DAY).unionByName(fresh.select(*RATING_COLUMNS, DAY)), store.ratings)
-    base = stage(base_counts(_of_days(spark, store.ratings, days), DAY), "base")
-    for table in STATS:
-        write_days(roll_up(base, table, DAY), store.stats(table))
+    add_batch(fresh, store, name)
 
 
 def batch_key(spark, batch_id):
@@ -77,17 +74,21 @@ def batch_key(spark, batch_id):
     return f"{query}-{batch_id}"
 
 
-def _begin(spark, path):
-    """Gives a table without a folder one to be read from."""
-    try:
-        read_table(spark, path, RATINGS)
-    except AnalysisException:
-        empty = spark.createDataFrame([], by_day(RATINGS))
-        empty.write.mode("append").partitionBy(DAY).parquet(path)
+def _begin(spark, store):
+    """Gives tables without a folder one to be read from."""
+    for path, schema in ((store.ratings, RATINGS), *((store.stats(t), s) for t, s in STATS.items())):
+        try:
+            spark.read.schema(by_day(schema)).parquet(path)
+        except AnalysisException:
+            empty = spark.createDataFrame([], by_day(schema))
+            empty.write.mode("append").partitionBy(DAY).parquet(path)
 
 
 def run_arrived(spark, pages, store, checkpoint, shapes=None):
-    """Process everything that has arrived, then stop. Run it again for later arrivals."""
+    """Process everything that has arrived, then stop. Run it again for later arrivals.
+
+    At the end what many small batches have added to a day is merged.
+    """
     query = (
         pages.writeStream.foreachBatch(lambda df, batch_id: take_batch(df, batch_id, store, shapes))
         .option("checkpointLocation", checkpoint)
@@ -95,3 +96,4 @@ def run_arrived(spark, pages, store, checkpoint, shapes=None):
         .start()
     )
     query.awaitTermination()
+    merge_added(spark, store)
