@@ -10,6 +10,7 @@ Neither tokenizer joins a space between two other characters with what stands be
 a text is a row of units that begin there, and each task encodes and aligns a unit once.
 """
 
+import json
 import os
 import re
 import zlib
@@ -21,10 +22,14 @@ from pyspark.sql import functions as F
 
 from rateflow.llm import perfect_hash
 from rateflow.llm.arrays import batch, kept, slices, small_batches
+from rateflow.llm.shards import PATTERN
 
 UNIT = re.compile(r"(?<=\S) (?=\S)")
+WIDE = re.compile(r"\s | \s")
 # A task forgets its units beyond so many, or so many characters.
 CACHE_UNITS, CACHE_CHARS = 200_000, 1 << 25
+# Characters of units that are encoded as one text.
+JOINED_CHARS = 1 << 14
 # Pairs that a task holds before it writes them.
 HELD_PAIRS = 1 << 21
 # Functions and counts that a task of the second pass holds; more are looked up part by part.
@@ -45,6 +50,24 @@ def byte_level(token, alphabet):
     return token.encode()
 
 
+def _ranked(byte_bpe):
+    """An encoder by merge ranks, if the file is a byte-level one whose ids are these ranks."""
+    import tiktoken
+
+    told = json.loads(byte_bpe)
+    model, split = told["model"], told.get("pre_tokenizer") or {}
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges") or ()]
+    ids = model["vocab"]
+    plain = not any(told.get(k) for k in ("normalizer", "truncation", "padding")) and not model.get("dropout")
+    by_rank = all(ids.get("".join(m)) == 256 + i for i, m in enumerate(merges))
+    level = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
+    if not (plain and level and by_rank and model.get("type", "BPE") == "BPE") or model.get("ignore_merges"):
+        return None
+    alphabet = _byte_alphabet()
+    ranks = {byte_level(t, alphabet): i for t, i in ids.items() if i < 256 + len(merges)}
+    return tiktoken.Encoding("by-rank", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Vocabularies:
     """Both tokenizers with the bytes of every id; a worker process builds them once."""
 
@@ -56,6 +79,7 @@ class Vocabularies:
         self.first = Tokenizer.from_str(byte_bpe)
         self.first.encode_special_tokens = True
         self.second = sentencepiece.SentencePieceProcessor(model_proto=pieces)
+        self.ascii = _ranked(byte_bpe)
         alphabet = _byte_alphabet()
         known = self.first.get_vocab(with_added_tokens=True)
         self.first_bytes = [b""] * (max(known.values()) + 1)
@@ -74,6 +98,15 @@ class Vocabularies:
         self.written = [f"{i}{end}" for i in range(n) for end in ",|"] + [f"{i}{end}" for i in range(len(names)) for end in ",;"]
         self.second_at = 2 * n
 
+    def encode_first(self, texts):
+        """Ids of the first side. Where ids are merge ranks the same merges are looked up by rank,
+        which is quicker; only for ASCII, whose letters and digits all versions agree on."""
+        if self.ascii is None:
+            return [e.ids for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]
+        others = [t for t in texts if not t.isascii()]
+        others = iter(self.first.encode_batch_fast(others, add_special_tokens=False))
+        return [self.ascii.encode_ordinary(t) if t.isascii() else next(others).ids for t in texts]
+
     def pair(self, first, second):
         return first * len(self.second_bytes) + second
 
@@ -102,33 +135,52 @@ class Units:
     def full(self):
         return len(self.number) > CACHE_UNITS or self.chars > CACHE_CHARS
 
-    def numbers(self, units):
-        """The number of each unit; unknown ones are aligned first."""
+    def numbers(self, units, alone=()):
+        """The number of each unit; unknown ones are aligned first, those ``alone`` by themselves."""
         new = [u for u in dict.fromkeys(units) if u not in self.number]
         if new:
-            self._align(new)
+            self._align(new, [u for u in new if u in alone])
         return np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
 
-    def _align(self, units):
+    def _encoded(self, lists):
+        """Lists of units, joined by spaces, with the tokens of either side, end to end.
+
+        A list that is not given back byte by byte is halved, down to the unit at fault.
+        """
         v = self.vocabularies
-        first = [e.ids for e in v.first.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        second = v.second.encode(units, num_threads=1)
-        table = np.zeros((len(units), 7), np.int64)
-        for i, unit in enumerate(units):
-            text = (" " + unit).encode()
-            whole = b"".join(map(v.first_bytes.__getitem__, first[i])) == text
-            table[i, 0] = whole and b"".join(map(v.second_bytes.__getitem__, second[i])) == text
-            if not table[i, 0]:
-                first[i] = second[i] = []
-        table[:, 1], table[:, 2] = [len(x) for x in first], [len(x) for x in second]
-        ids, other = (np.fromiter((t for x in side for t in x), np.int64) for side in (first, second))
+        texts = [" ".join(own) for own in lists]
+        encoded = v.encode_first([" " + t for t in texts])
+        for own, text, ids, other in zip(lists, texts, encoded, v.second.encode(texts, num_threads=1)):
+            text = (" " + text).encode()
+            whole = b"".join(map(v.first_bytes.__getitem__, ids)) == text
+            whole = whole and b"".join(map(v.second_bytes.__getitem__, other)) == text
+            if whole:
+                yield own, [len(u.encode()) + 1 for u in own], ids, other
+            elif len(own) > 1:
+                yield from self._encoded([own[: len(own) // 2], own[len(own) // 2 :]])
+            else:
+                yield own, [0], [], []
+
+    def _align(self, units, alone):
+        v = self.vocabularies
+        joined = list(self._encoded(_joinable(units, dict.fromkeys(alone))))
+        units = [u for own, *_ in joined for u in own]
+        sizes = np.array([n for _, own, *_ in joined for n in own], np.int64)
+        ids, other = (np.concatenate([np.array(x[side], np.int64) for x in joined]) for side in (2, 3))
         ends, other_ends = np.cumsum(v.first_size[ids]), np.cumsum(v.second_size[other])
-        here = np.zeros((2, (int(ends[-1]) if len(ends) else 0) + 1), bool)
-        here[0, ends], here[1, other_ends] = True, True
+        here = np.zeros((2, sizes.sum() + 1), bool)
+        here[0, ends], here[1, other_ends], here[:, 0] = True, True, True
+        bounds = np.cumsum(sizes)
+        if not here[:, bounds].all():
+            raise ValueError("a token reaches over the end of a unit")
         last, other_last = here[1, ends], here[0, other_ends]
         closing, other_closing = np.flatnonzero(last), np.flatnonzero(other_last)
         pairs = v.pair(ids[closing], other[other_closing])
-        table[:, 3] = np.add.reduceat(np.append(last, 0), np.cumsum(table[:, 1]) - table[:, 1]) * (table[:, 1] > 0)
+        table = np.zeros((len(units), 7), np.int64)
+        table[:, 0] = sizes > 0
+        table[:, 1] = np.diff(np.searchsorted(ends, bounds, "right"), prepend=0)
+        table[:, 2] = np.diff(np.searchsorted(other_ends, bounds, "right"), prepend=0)
+        table[:, 3] = np.diff(np.searchsorted(ends[closing], bounds, "right"), prepend=0)
         table[:, 4] = table[:, 3]
         # Groups in a row: the first side's tokens of a group come before the second's.
         group, other_group = np.cumsum(last) - last, np.cumsum(other_last) - other_last
@@ -145,21 +197,44 @@ class Units:
             best = (n > 0) & (n == self.best[v.second_of(pairs)])
             table[:, 5] = np.bincount(of, best, len(units)).astype(np.int64)
             np.add.at(table[:, 6], of, n)
+        self.number.update(zip(units, range(len(self.groups), len(self.groups) + len(units))))
         begin = 0
-        for unit, stop in zip(units, stops):
-            self.number[unit] = len(self.groups)
+        for stop in stops:
             self.groups.append("".join(written[begin:stop])[:-1])
-            self.chars += len(unit) + len(self.groups[-1])
             begin = stop
+        self.chars += int(sizes.sum()) + sum(map(len, written))
         self.links.append(pairs)
         self.table = np.concatenate((self.table, table))
 
 
+def _split(text):
+    """The units of a text; spaces beside other white space stay inside them."""
+    if not text:
+        return []
+    if text[0] == " " or text[-1] == " " or WIDE.search(text):
+        return UNIT.split(text)
+    return text.split(" ")
+
+
+def _joinable(units, alone):
+    """Units in lists of about JOINED_CHARS, of ASCII or not; those ``alone`` are not joined."""
+    lists = [[u] for u in alone]
+    units = [u for u in units if u not in alone] if alone else units
+    for kind in ([u for u in units if u.isascii()], [u for u in units if not u.isascii()]):
+        cuts = np.cumsum([len(u) + 1 for u in kind]) // JOINED_CHARS
+        begins = [*np.flatnonzero(np.diff(cuts, prepend=-1)).tolist(), len(kind)]
+        lists += [kind[a:b] for a, b in zip(begins, begins[1:])]
+    return lists
+
+
 def _laid(rows, units):
     """Of the texts of ``rows``: unit numbers end to end, how many each text has, and which are whole."""
-    split = [UNIT.split(t) if t else [] for t in rows.column("text").to_pylist()]
+    split = [_split(t) for t in rows.column("text").to_pylist()]
     number = np.array([len(s) for s in split], np.int64)
-    laid = units.numbers([u for s in split for u in s])
+    # Only a text's first unit can begin with white space, and only its last one end with it.
+    ends = {s[0] for s in split if s} | {s[-1] for s in split if s}
+    alone = {u for u in ends if not u or u[0].isspace() or u[-1].isspace()}
+    laid = units.numbers([u for s in split for u in s], alone)
     of = np.repeat(np.arange(len(split)), number)
     broken = np.bincount(of, units.table[laid, 0] == 0, len(split)) > 0
     return laid, of, number, (number > 0) & ~broken
