@@ -198,6 +198,7 @@ ORACLE = {
     "q_grid6": f"select * from {SUPPLIER_ROWS}",
     "q_cards5": f"select * from {PART_ROWS}",
     "q_shapes": f"select agency, rat_date, count(name) as num_ratings from {LISTED} group by 1, 2",
+    "q_nested": f"select * from {LISTED}",
     "q_archive": f"select * from {CUSTOMER_ROWS}",
     "q_rejects": REJECTS,
     "q_rejects_all": ALL_REJECTS,

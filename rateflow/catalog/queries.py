@@ -387,6 +387,11 @@ def outbox_order(spark, d):
     return _outbox(spark, d).groupBy(DAY).agg(*ends, F.count(F.lit(1)).alias("n"))
 
 
+def nested_shapes(spark, d):
+    """Pages whose entries hold elements of the tag that entries are made of."""
+    return accepted(normalize(extract(views.nested_pages(spark, d))))
+
+
 def all_shapes(spark, d):
     """Three sources in one job, counted by agency and day."""
     rows = accepted(normalize(extract(views.listing_pages(spark, d))))
@@ -408,6 +413,7 @@ QUERIES = {
     "q_grid6": _read(views.grid_pages, views.supplier_rows, extract_grid),
     "q_cards5": _read(views.card_pages, views.part_rows, extract_cards),
     "q_shapes": all_shapes,
+    "q_nested": nested_shapes,
     "q_archive": archive,
     "q_rejects": rejects,
     "q_rejects_all": all_rejects,

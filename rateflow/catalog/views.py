@@ -1,5 +1,7 @@
 """The given tables seen as ratings, and listing pages rendered from them."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from rateflow.functions.text import escape_html
@@ -212,6 +214,26 @@ def listing_pages(spark, sf_dir):
     )
 
 
+def nested_pages(spark, sf_dir):
+    """The same pages with elements of the entries' own tags inside each entry."""
+    new = lambda html, *pairs: reduce(lambda text, p: F.replace(text, F.lit(p[0]), F.lit(p[1])), pairs, html)
+    html = F.col("html")
+    inner_table = "<td><table><tr><td>a</td><td>b</td></tr></table></td>"
+    dated = F.regexp_replace(html, r"([0-9.]{10})</div>", "<div><div>$1</div></div></div>")
+    nested = (
+        F.when(
+            F.col("source") == AGENCY_PAIRS,
+            new(html, ("<span>\n  <b>", "<span>\n  <span><b><span></span>"), ("</b>\n</span>", "</b></span>\n</span>"), ('"c"><a', '"c"><span></span><a')),
+        )
+        .when(
+            F.col("source") == AGENCY_GRID,
+            new(html, ("<span>", "<span><span>"), ("</span>", "</span><span></span></span>"), ("<td></td>", inner_table)),
+        )
+        .otherwise(new(dated, ("<h2", "<h2 id='o'><h2"), ("</h2>", "</h2></h2>")))
+    )
+    return listing_pages(spark, sf_dir).withColumn("html", nested)
+
+
 def stored_pages(spark, sf_dir, path):
     """The same pages written by source, as the jobs read them."""
     listing_pages(spark, sf_dir).write.partitionBy("source").parquet(path)

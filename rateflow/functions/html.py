@@ -1,7 +1,8 @@
 """Expressions over HTML text.
 
-A regular expression is no document tree, so the extractors check that every opening tag of
-the element they read has produced one element, and report the page when it has not.
+Elements are cut where their depth is zero again: a pattern takes the elements of the same
+tag inside along. It knows a bounded number of levels, so the extractors check that every
+opening tag of the element they read lies in an element, and report the page when it does not.
 """
 
 import re
@@ -16,14 +17,37 @@ _ANY_TAG = rf"(?s)<[/!?]?[a-zA-Z]{_TAG_REST}|<[/!?]?[a-zA-Z][^>]*>"
 _HIDDEN = r"(?is)<(?:!--.*?-->|script[\s>].*?</script\s*>|style[\s>].*?</style\s*>)"
 
 
+# Elements of one tag in each other that are followed; more are no listing.
+LEVELS = 8
+
+
 def opening(tag):
     """Pattern of an opening tag."""
     return rf"<{tag}(?=[\s>/]){_TAG_REST}"
 
 
-def element(tag):
-    """Pattern of one element without a nested element of the same tag."""
-    return rf"(?is){opening(tag)}.*?</{tag}(?=[\s>])[^>]*>"
+def closing(tag):
+    """Pattern of a closing tag."""
+    return rf"</{tag}(?=[\s>])[^>]*>"
+
+
+def content(tag, levels=LEVELS):
+    """Pattern of what stands up to the closing tag that belongs here.
+
+    Elements of the tag inside are taken whole, in each other up to ``levels`` deep. Every
+    part is taken once and never given back, so the pattern runs over a text in one pass.
+    """
+    other = rf"[^<]++|<(?!/?{tag}[\s/>])"
+    inside = rf"(?:{other})*+"
+    for _ in range(levels):
+        inside = rf"(?:{other}|{opening(tag)}{inside}{closing(tag)})*+"
+    return inside
+
+
+def element(tag, begins=None, levels=LEVELS):
+    """Pattern of an element with the elements of the same tag inside it; ``begins`` narrows its opening tag."""
+    narrowed = rf"(?={begins})" if begins else ""
+    return rf"(?is){narrowed}{opening(tag)}{content(tag, levels)}{closing(tag)}"
 
 
 def having(tag, name, value):
@@ -74,15 +98,34 @@ def balanced(html, tag):
 
 
 def elements(html, tag):
-    """All elements of a tag in page order, with their tags."""
+    """The elements of a tag in page order, those inside others within them."""
     return F.regexp_extract_all(html, F.lit(element(tag)), 0)
 
 
+def elements_having(html, tag, name, word):
+    """The elements of a tag whose attribute holds ``word``."""
+    return F.regexp_extract_all(html, F.lit(element(tag, having_word(tag, name, word))), 0)
+
+
 def count_opening(html, tag):
     """How many elements of the tag the text opens."""
     return F.regexp_count(html, F.lit(rf"(?is){opening(tag)}"))
 
 
+def count_closing(html, tag):
+    """How many elements of the tag the text closes."""
+    return F.regexp_count(html, F.lit(rf"(?is){closing(tag)}"))
+
+
+def whole_elements(html, tag):
+    """The elements of a tag, none at all where some tag stays open or closes nothing.
+
+    Where the numbers differ the page is not searched, so a broken one costs one pass too.
+    """
+    found = F.when(count_opening(html, tag) == count_closing(html, tag), elements(html, tag))
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
 def first(html, tag):
     """The first element of a tag, or null."""
     return F.regexp_substr(html, F.lit(element(tag)))

@@ -13,14 +13,14 @@ from rateflow.functions.html import (
     attribute,
     balanced,
     count_opening,
-    elements,
+    elements_having,
     first,
     having,
-    having_word,
     opening,
     tag_texts,
     texts_of,
     visible,
+    whole_elements,
 )
 from rateflow.functions.text import strip
 from rateflow.operators.normalize import composite
@@ -40,12 +40,20 @@ CARD_DATE_CLASS = "jet-listing-dynamic-field__content"
 
 PAIRED, GRID, CARDS = "paired", "grid", "cards"
 SPAN_STRIDE, GRID_STRIDE, CARD_STRIDE = 2, 6, 5
+# What a shape's entries stand in.
+ENTRY_TAGS = "span", "td", "h2"
 
 
-def _by_shape(paired, grid, cards):
-    """One of three expressions, by the page's shape; only that one is worked out."""
-    shape = F.col("shape")
-    return F.when(shape == PAIRED, paired).when(shape == GRID, grid).when(shape == CARDS, cards)
+def _choice(only=None):
+    """What picks one of three expressions: the shape ``only``, known here, or the page's own."""
+
+    def by_shape(paired, grid, cards):
+        if only:
+            return {PAIRED: paired, GRID: grid, CARDS: cards}[only]
+        shape = F.col("shape")
+        return F.when(shape == PAIRED, paired).when(shape == GRID, grid).when(shape == CARDS, cards)
+
+    return by_shape
 
 
 def _rows(pages, size, entry):
@@ -86,7 +94,7 @@ def _missing(*names):
     return F.when(absent != "", F.concat(F.lit("missing "), absent))
 
 
-def _cut(pages):
+def _cut(pages, by_shape):
     """The part of each page that holds its entries, in pieces, and what is wrong with it.
 
     Pairs stand in the spans of the second table, a linked name and then comma-separated
@@ -94,37 +102,39 @@ def _cut(pages):
     container, with their dates beside them.
     """
     seen = F.col("seen")
-    tail = _by_shape(
+    tail = by_shape(
         after(seen, opening("table"), 2),
         after(seen, having("table", "id", GRID_TABLE_ID)),
         after(seen, having("div", "class", CARDS_CLASS)),
     )
     body, tail_col = F.col("body"), F.col("tail")
-    stamp = rf"(?is){having_word('div', 'class', CARD_DATE_CLASS)}.*?</div(?=[\s>])[^>]*>"
-    dates = F.filter(texts_of(F.regexp_extract_all("body", F.lit(stamp), 0)), lambda text: text != "")
+    none = F.lit(None).cast("array<string>")
+    stamps = elements_having(body, "div", "class", CARD_DATE_CLASS)
+    dates = F.filter(texts_of(stamps), lambda text: text != "")
     table = balanced(tail_col, "table")
     pages = pages.withColumn("seen", visible(F.col("html")))
-    cut = pages.withColumn("tail", tail).withColumn("body", _by_shape(table, table, balanced(tail_col, "div")))
-    cut = cut.withColumn("pieces", _by_shape(elements(body, "span"), elements(body, "td"), elements(body, "h2")))
-    cut = cut.withColumn("dates", F.when(F.col("shape") == CARDS, dates))
-    opened = _by_shape(count_opening(body, "span"), count_opening(body, "td"), count_opening(body, "h2"))
-    differ = (F.col("shape") == CARDS) & (F.size("pieces") / CARD_STRIDE != F.size("dates"))
+    cut = pages.withColumn("tail", tail).withColumn("body", by_shape(table, table, balanced(tail_col, "div")))
+    cut = cut.withColumn("pieces", by_shape(*[whole_elements(body, tag) for tag in ENTRY_TAGS]))
+    cut = cut.withColumn("dates", by_shape(none, none, dates))
+    taken = F.array_join("pieces", "")
+    outside = by_shape(*[count_opening(body, tag) != count_opening(taken, tag) for tag in ENTRY_TAGS])
+    differ = by_shape(F.lit(False), F.lit(False), F.size("pieces") / CARD_STRIDE != F.size("dates"))
     fault = (
         F.when(F.col("shape").isNull(), F.lit("unknown source"))
-        .when(body.isNull(), _by_shape(*map(F.lit, ("no second table", "no issuers table", "no listing container"))))
+        .when(body.isNull(), by_shape(*map(F.lit, ("no second table", "no issuers table", "no listing container"))))
         .when(
-            opened != F.size("pieces"),
-            _by_shape(*map(F.lit, ("nested or open span", "nested or open cell", "nested or open heading"))),
+            outside,
+            by_shape(*map(F.lit, ("nested or open span", "nested or open cell", "nested or open heading"))),
         )
         .when(differ, F.lit("cards and dates differ in number"))
     )
     return cut.withColumn("fault", fault)
 
 
-def _entries(pages):
+def _entries(pages, by_shape):
     """A row for each entry, with the pieces of the page that it is made of."""
     pieces = F.col("pieces")
-    size = _by_shape(
+    size = by_shape(
         F.floor((F.size(pieces) - HEADER_SPANS) / SPAN_STRIDE).cast("int"),
         F.ceil(F.size(pieces) / GRID_STRIDE).cast("int"),
         F.size("dates"),
@@ -132,31 +142,32 @@ def _entries(pages):
 
     def parts(i):
         heads = F.slice(pieces, CARD_STRIDE * i + 2, F.lit(CARD_STRIDE - 1))
-        return _by_shape(
+        return by_shape(
             F.slice(pieces, HEADER_SPANS + SPAN_STRIDE * i + 1, F.lit(SPAN_STRIDE)),
             F.slice(pieces, GRID_STRIDE * i + 1, F.lit(GRID_STRIDE)),
             F.concat(heads, F.array(F.get("dates", i))),
         )
 
-    return _rows(_cut(pages), size, lambda i: F.struct(i.alias("row"), parts(i).alias("shown")))
+    return _rows(_cut(pages, by_shape), size, lambda i: F.struct(i.alias("row"), parts(i).alias("shown")))
 
 
-def _linked(rows):
+def _linked(rows, by_shape):
     """Add the links of a grid's cells: each link's target and the link."""
-    links = F.transform("shown", lambda cell: first(cell, "a"))
-    rows = rows.withColumn("links", F.when(F.col("shape") == GRID, links))
+    links, none = F.transform("shown", lambda cell: first(cell, "a")), F.lit(None).cast("array<string>")
+    rows = rows.withColumn("links", by_shape(none, links, none))
     pair = F.transform("links", lambda link: F.struct(attribute(link, "a", "href").alias("href"), link.alias("link")))
     return rows.withColumn("linked", pair)
 
 
-def _read(pages):
-    """Rows of pages of any shape, each page read and cut once.
+def _read(pages, only=None):
+    """Rows of pages of any shape, or of the shape ``only``, each page read and cut once.
 
     In a grid, name and date are told by the prefix of their link; rating and outlook stand
     in cells 1 and 2 when these hold no link. Cards and dates are matched by position alone,
     so a page where they differ in number is reported whole: any pairing would be a guess.
     """
-    rows = _linked(_entries(pages))
+    by_shape = _choice(only)
+    rows = _linked(_entries(pages, by_shape), by_shape)
     part = lambda i: F.get("shown", F.lit(i))
 
     def linked(prefix):
@@ -169,32 +180,32 @@ def _read(pages):
     rows = _with_texts(
         rows,
         keep=["shape", "agency", "shown"],
-        shown_name=_by_shape(first(part(0), "a"), linked(ISSUER_LINK), part(0)),
-        shown_rating=_by_shape(none, cell(1), part(1)),
-        shown_observation=_by_shape(none, none, part(2)),
-        shown_pred=_by_shape(none, cell(2), part(3)),
-        shown_date=_by_shape(none, linked(RELEASE_LINK), none),
-        detail=_by_shape(part(1), none, none),
+        shown_name=by_shape(first(part(0), "a"), linked(ISSUER_LINK), part(0)),
+        shown_rating=by_shape(none, cell(1), part(1)),
+        shown_observation=by_shape(none, none, part(2)),
+        shown_pred=by_shape(none, cell(2), part(3)),
+        shown_date=by_shape(none, linked(RELEASE_LINK), none),
+        detail=by_shape(part(1), none, none),
     )
     rows = composite(rows.withColumn("detail", strip("detail")), "detail")
     rows = rows.withColumn("name", F.col("shown_name"))
     texts = {
-        "rating": _by_shape(F.col("rating"), F.col("shown_rating"), F.col("shown_rating")),
-        "pred": _by_shape(F.col("pred"), F.col("shown_pred"), F.col("shown_pred")),
-        "observation": _by_shape(F.col("observation"), F.lit(ABSENT), F.col("shown_observation")),
-        "rat_date": _by_shape(F.col("rat_date"), F.col("shown_date"), part(CARD_STRIDE - 1)),
+        "rating": by_shape(F.col("rating"), F.col("shown_rating"), F.col("shown_rating")),
+        "pred": by_shape(F.col("pred"), F.col("shown_pred"), F.col("shown_pred")),
+        "observation": by_shape(F.col("observation"), F.lit(ABSENT), F.col("shown_observation")),
+        "rat_date": by_shape(F.col("rat_date"), F.col("shown_date"), part(CARD_STRIDE - 1)),
     }
     rows = rows.withColumns(texts)
-    lacking = _by_shape(
+    lacking = by_shape(
         F.coalesce(_missing("name"), F.col("part_fault")), _missing("name", "rating", "pred", "rat_date"), none
     )
     rows = rows.withColumn("reason", F.coalesce("fault", lacking))
-    raw = F.coalesce("html", _by_shape(F.col("detail"), F.array_join("shown", ""), none))
+    raw = F.coalesce("html", by_shape(F.col("detail"), F.array_join("shown", ""), none))
     return _shaped(rows.withColumn("raw", F.when(F.col("reason").isNotNull(), raw)))
 
 
 def _of_one(pages, shape, agency):
-    return _read(pages.select("source", "page_id", "html", F.lit(shape).alias("shape"), F.lit(agency).alias("agency")))
+    return _read(pages.select("source", "page_id", "html", F.lit(shape).alias("shape"), F.lit(agency).alias("agency")), shape)
 
 
 def extract_paired(pages, agency=AGENCY_PAIRS):

@@ -79,11 +79,11 @@ def test_paired_header_and_odd_span(spark):
 
 
 def test_paired_faults(spark):
-    nested = paired(("A", "r, <span>15.01.2024</span>"))
+    left_open = paired(("A", "r, <span>15.01.2024"))
     no_table = (AGENCY_PAIRS, 2, "<table></table>")
     no_link = (AGENCY_PAIRS, 3, paired(("A", "r, 15.01.2024"))[2].replace("<a ", "<b "))
     bad_date = paired(("A", "r, 15.13.2024"), ("B", "r, 15.01.2024"))
-    rows = read(spark, extract_paired, nested, no_table, no_link, bad_date, (AGENCY_PAIRS, 4, None))
+    rows = read(spark, extract_paired, left_open, no_table, no_link, bad_date, (AGENCY_PAIRS, 4, None))
     assert reasons(rows) == [
         "missing name",
         "nested or open span",
@@ -92,7 +92,41 @@ def test_paired_faults(spark):
         "unreadable date: 15.13.2024",
     ]
     assert [r[0] for r in good(rows)] == ["B"]
-    assert rejected(rows).where("reason = 'nested or open span'").first().raw == nested[2]
+    assert rejected(rows).where("reason = 'nested or open span'").first().raw == left_open[2]
+
+
+def test_entries_are_cut_at_depth_zero(spark):
+    wrap = lambda tag, text: f"<{tag} class='w'><{tag}></{tag}>{text}<b>!</b></{tag}>"
+    spans = paired(("A", f"r, {wrap('span', wrap('span', '15.01.2024')).replace('<b>!</b>', '')}"), ("B", "r, 15.01.2024"))
+    cells = grid(("C", "<span>r</span>1", "p", "15.01.2024"))[2]
+    inner = "<td><table><tr><td>x</td><td><td></td></td></tr></table></td>"
+    cells = (AGENCY_GRID, 1, cells.replace("<td></td><td></td>", inner + "<td></td>"))
+    heads = cards(("<h2>D</h2>", "<h2>a</h2><h2>b</h2>", "-", "-", "<div>15.01.2024</div>"))
+    rows = normalize(extract(pages(spark, spans, cells, heads)))
+    assert reasons(rows) == []
+    assert [(r[0], r[1]) for r in good(rows)] == [("A", "r"), ("B", "r"), ("C", "r1"), ("D", "ab")]
+
+
+@pytest.mark.parametrize("tag, shape", [("span", paired), ("td", grid), ("h2", cards)])
+def test_only_tags_that_do_not_pair_up_are_faults(spark, tag, shape):
+    entry = {"span": ("A", "r, 15.01.2024"), "td": ("A", "r", "-", "15.01.2024"), "h2": ("A", "r", "-", "-", "15.01.2024")}[tag]
+    source, _, html = shape(entry)
+    at = html.index(f"<{tag}", html.index("issuers-table") if tag == "td" else html.index("jet-") if tag == "h2" else html.index("h7"))
+    texts = {1: html[:at] + f"<{tag}>" + html[at:], 2: html[:at] + f"</{tag}>" + html[at:], 3: html[:at] + f"</{tag}><{tag}>" + html[at:]}
+    nine = f"<{tag}>" * 12 + f"</{tag}>" * 12
+    texts[4] = html[:at] + nine + html[at:]
+    rows = normalize(extract(pages(spark, *[(source, n, text) for n, text in texts.items()])))
+    assert {r.page_id for r in rejected(rows).where("reason like 'nested or open%'").collect()} == set(texts)
+
+
+def test_broken_pages_take_one_pass(spark):
+    """Thousands of open elements, and thousands inside one, neither overflow nor take long."""
+    spans = "<span>x" * 20_000
+    full = "<span>" + "<span>y</span><i>z</i>" * 20_000 + "</span>"
+    head = "<table></table><table>" + "<span>h</span>" * 8
+    rows = [(AGENCY_PAIRS, 1, f"{head}{spans}</table>"), (AGENCY_PAIRS, 2, f"{head}{full}<span>r, 15.01.2024</span></table>")]
+    rows.append((AGENCY_PAIRS, 3, f"{head}{spans}{'</span>' * 20_000}</table>"))
+    assert len(reasons(normalize(extract(pages(spark, *rows))))) == 3
 
 
 def test_grid_missing_and_moved_cells(spark):
