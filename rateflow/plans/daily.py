@@ -3,6 +3,7 @@
 Each step reads what the step before stored, so any of them can be repeated alone.
 """
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from rateflow.schema import (
     AGENCY_RATING_TABLE,
     AGENCY_TABLE,
     ARRIVED,
+    DATE_JDBC_TYPES,
     DATE_TABLE,
     DAY,
     OUTBOX,
@@ -31,7 +33,8 @@ from rateflow.session import stage
 from rateflow.sinks.added import retire_days
 from rateflow.sinks.jdbc import CONNECTIONS, append_jdbc, fitting, too_wide
 from rateflow.sinks.store import replace_days, write_day
-from rateflow.sources.jdbc import read_jdbc
+from rateflow.sinks.upload import upload
+from rateflow.sources.jdbc import count_jdbc_days
 from rateflow.sources.store import read_day, read_days
 
 
@@ -74,11 +77,16 @@ class Store:
 
 @dataclass(frozen=True)
 class Database:
-    """Where the uploads go. ``properties`` holds driver, user and password."""
+    """Where the uploads go. ``properties`` holds driver, user and password.
+
+    ``target(table, columns)``, if given, names what takes a table's rows in two phases, for
+    example a ``sinks.upload.DatabaseTable``; otherwise Spark appends over JDBC.
+    """
 
     url: str
     properties: dict = field(default_factory=dict, repr=False)
     connections: int = CONNECTIONS
+    target: Callable | None = field(default=None, repr=False)
 
 
 def ingest_day(spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False):
@@ -115,12 +123,16 @@ def _missing_days(spark, database, table, column, rows):
 
     A day counts as loaded when it has exactly as many rows there as here. Any other number
     is what an append that died has left; that is an error, since rows cannot be told apart.
+    The database counts, and only the days that are asked for.
     """
-    there = read_jdbc(spark, database.url, table, database.properties)
-    there = there.groupBy(F.col(column).alias("day")).agg(F.count("*").alias("present"))
-    here = rows.groupBy(F.col(column).alias("day")).agg(F.count("*").alias("expected"))
-    states = here.join(there, "day", "left").select("day", "expected", F.coalesce("present", F.lit(0)).alias("present"))
-    states = stage(states, "loaded")
+    here = stage(rows.groupBy(F.col(column).alias("day")).agg(F.count("*").alias("expected")), "days")
+    # As many as the days of the run.
+    days = [day for (day,) in here.where("day is not null").select("day").collect()]
+    if not days:
+        return here.select(F.col("day").alias(column)).limit(0)
+    there = count_jdbc_days(spark, database.url, table, column, days, database.properties, database.connections)
+    states = here.join(there, F.col("load_date") == F.col("day"), "left")
+    states = stage(states.select("day", "expected", F.coalesce("present", F.lit(0)).alias("present")), "loaded")
     odd = states.where("present not in (0, expected)").orderBy("day").first()
     if odd:
         raise PartlyLoaded(f"{table} has {odd['present']} of {odd['expected']} rows of {odd['day']}")
@@ -133,20 +145,28 @@ def upload_days(spark, store, first, last, database, only_new=()):
     A table named in ``only_new`` must exist; days that it holds already are left out, so that
     a repeated run adds nothing. Rows with a text over the column width would fail the whole
     append; they go to the table's ``refused`` rows instead, ratings and counts alike.
+
+    With a ``target`` in the database every day stored comes in once, however often a run of
+    it is repeated: what is in is noted by the day it is stored under.
     """
     ratings = read_days(spark, store.ratings, first, last)
     uploads = [(RATINGS_TABLE, ratings, store.refused, RATINGS, RATINGS_JDBC_TYPES, "rat_date")]
     for table, types in (
         (AGENCY_TABLE, AGENCY_JDBC_TYPES),
         (AGENCY_RATING_TABLE, AGENCY_RATING_JDBC_TYPES),
-        (DATE_TABLE, None),
+        (DATE_TABLE, DATE_JDBC_TYPES),
     ):
         counts = read_days(spark, store.stats(table), first, last, STATS[table])
         uploads.append((table, counts, store.refused_stats(table), STATS[table], types, "record_date"))
     for table, rows, refused, schema, types, column in uploads:
         replace_days(too_wide(rows), refused, first, last, schema)
-        rows = fitting(rows).withColumn("record_date", F.col(DAY)).drop(DAY)
-        rows = rows.drop("record_date") if column != "record_date" else rows
+        rows = fitting(rows)
+        if column == "record_date":
+            rows = rows.withColumn("record_date", F.col(DAY))
+        if database.target:
+            upload(rows, database.target(table, types), first, last, database.connections)
+            continue
+        rows, types = rows.drop(DAY), None if table == DATE_TABLE else types
         if table in only_new:
             rows = rows.join(_missing_days(spark, database, table, column, rows), column, "left_semi").select(rows.columns)
         append_jdbc(rows, database.url, table, database.properties, types, database.connections)

@@ -20,6 +20,7 @@ AGENCY_JDBC_TYPES = "agency VARCHAR(128), num_ratings INT, record_date DATE"
 AGENCY_RATING_JDBC_TYPES = (
     "agency VARCHAR(128), rating VARCHAR(128), num_ratings INT, record_date DATE"
 )
+DATE_JDBC_TYPES = "rat_date DATE, num_ratings BIGINT, record_date DATE"
 
 DAY = "DT"
 ARRIVED = "arrived"

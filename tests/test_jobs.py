@@ -1,8 +1,10 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 from samples import DAY, cards, grid, listing, paired, pages
+from test_upload import Files
 
 from rateflow.plans import Database, backfill, daily, run_day, upload_day
 from rateflow.plans.backfill import message_days
@@ -20,7 +22,8 @@ from rateflow.schema import (
     STATS,
 )
 from rateflow.sinks.jdbc import fitting, jdbc_options, too_wide
-from rateflow.sources import read_day, read_pages, read_stats
+from rateflow.sources import count_jdbc_days, read_day, read_pages, read_stats
+from rateflow.sources.jdbc import day_predicates
 from rateflow.sources.store import read_table
 from rateflow.streaming import arriving_pages, run_arrived
 from rateflow.streaming.incremental import read_news, take_batch
@@ -170,8 +173,12 @@ def test_upload_day(spark, store, monkeypatch):
     def append(df, url, table, properties, types, connections):
         sent[table] = (df, types)
 
+    def counted(spark, url, table, column, days, properties, connections):
+        asked = there[table].where(F.col(column).isin(days))
+        return asked.groupBy(F.col(column).alias("load_date")).agg(F.count("*").alias("present"))
+
     monkeypatch.setattr(daily, "append_jdbc", append)
-    monkeypatch.setattr(daily, "read_jdbc", lambda spark, url, table, properties: there[table])
+    monkeypatch.setattr(daily, "count_jdbc_days", counted)
     base = Database("jdbc:any", {"user": "u"})
     run_day(spark, everything, store, RUN, database=base)
     assert {table: types for table, (_, types) in sent.items()} == {
@@ -204,6 +211,51 @@ def test_upload_day(spark, store, monkeypatch):
     assert [r.reason for r in read_day(spark, store.rejects, "2024-01-16", REJECTS).collect()] == ["parts: 1"]
 
 
+def test_a_day_is_uploaded_once_in_two_phases(spark, store, tmp_path):
+    """Repeated runs, a backfill over the same days, and a late row of an old date."""
+    root = str(tmp_path / "database")
+    base = Database("", target=lambda table, columns: Files(f"{root}/{table}"))
+    late = cards(("Late", "B", "-", "-", "10.01.2024"), page_id=7)
+    for _ in range(2):
+        run_day(spark, mixed(spark), store, RUN, database=base)
+    run_day(spark, pages(spark, *listing("16.01.2024"), late), store, "2024-01-16", mode="until", database=base)
+    loaded = {table: Files(f"{root}/{table}").days() for table in (RATINGS_TABLE, *STATS)}
+    assert {day: len(rows) for day, rows in loaded[RATINGS_TABLE].items()} == {RUN: 6, "2024-01-16": 7}
+    for table in STATS:
+        stored = sorted(counts(spark, store, table) + counts(spark, store, table, "2024-01-16"), key=str)
+        rows = [row for day in loaded[table].values() for row in day]
+        assert sorted((tuple(row[:-1]) for row in rows), key=str) == sorted((tuple(json.loads(json.dumps(r, default=str))) for r in stored), key=str)
+        assert {row[-1] for row in rows} == {RUN, "2024-01-16"}
+    backfill(spark, mixed(spark), store, "2024-01-13", "2024-01-16", database=base)
+    days = Files(f"{root}/{RATINGS_TABLE}").days()
+    assert {day: len(rows) for day, rows in days.items()} == {"2024-01-14": 1, RUN: 6, "2024-01-16": 7}
+
+
+def test_reads_of_days_are_planned(monkeypatch):
+    one = [dt.date(2024, 1, n) for n in range(1, 11)]
+    assert day_predicates("d", one, 3) == [
+        "d BETWEEN DATE '2024-01-01' AND DATE '2024-01-04'",
+        "d BETWEEN DATE '2024-01-05' AND DATE '2024-01-08'",
+        "d BETWEEN DATE '2024-01-09' AND DATE '2024-01-10'",
+    ]
+    assert day_predicates("d", ["2024-01-05", "2024-01-01", "2024-01-01"], 8) == ["d BETWEEN DATE '2024-01-01' AND DATE '2024-01-01'", "d BETWEEN DATE '2024-01-05' AND DATE '2024-01-05'"]
+    assert day_predicates("d", ["2024-01-05", "2024-01-01"], 1) == ["d IN (DATE '2024-01-01', DATE '2024-01-05')"]
+
+    class Reader:
+        def jdbc(self, url, table, predicates, properties):
+            return url, table, predicates, properties
+
+    class Session:
+        read = Reader()
+
+    url, table, predicates, properties = count_jdbc_days(Session(), "u", "t", "d", one, {"user": "x"}, 2)
+    assert table == (
+        "(SELECT d AS load_date, COUNT(*) AS present FROM t "
+        "WHERE d BETWEEN DATE '2024-01-01' AND DATE '2024-01-10' GROUP BY d) counted"
+    )
+    assert [p.split()[0] for p in predicates] == ["load_date", "load_date"] and properties == {"user": "x"}
+
+
 def test_run_dates_are_read_on_entry(spark, store):
     with pytest.raises(ValueError):
         run_day(spark, mixed(spark), store, "15.01.2024")
