@@ -125,38 +125,44 @@ def _pieces(out):
 
 
 def sorted_rotations(symbols, depth):
-    """Places of ``symbols`` by the order of their first ``depth`` symbols or more, read in a circle."""
-    bits = max(1, int(symbols.max()).bit_length())
-    covered = 63 // bits
-    circle = np.concatenate((symbols, np.resize(symbols, covered))).astype(np.uint64)
-    key = np.zeros(len(symbols), np.uint64)
-    for j in range(covered):
-        key = (key << np.uint64(bits)) | circle[j : j + len(symbols)]
+    """Places of ``symbols`` by the order of their first ``depth`` symbols or more, read in a circle.
+
+    As many symbols, and then as many ranks, as fit 64 bits are sorted at a time.
+    """
+    n = len(symbols)
+    present = np.flatnonzero(np.bincount(symbols))
+    codes = np.zeros(int(present[-1]) + 1, np.uint64)
+    codes[present] = np.arange(len(present))
+    rank, bits, covered = codes[symbols], max(1, (len(present) - 1).bit_length()), 1
     while True:
+        key, taken = rank.copy(), 64 // bits
+        for j in range(1, taken):
+            key <<= np.uint64(bits)
+            key |= np.roll(rank, -covered * j)
+        covered *= taken
         order = np.argsort(key)
         ordered = key[order]
         steps = ordered[1:] != ordered[:-1]
         if covered >= depth or steps.all():
             return order
-        rank = np.empty(len(key), np.uint64)
+        rank = np.empty(n, np.uint64)
         rank[order] = np.concatenate(([0], np.cumsum(steps)))
-        key = rank * np.uint64(len(key)) + np.roll(rank, -covered)
-        covered *= 2
+        bits = max(1, int(rank[order[-1]]).bit_length())
 
 
 class Transform:
     """The Burrows-Wheeler transform of a circle of symbols, with what a step backwards needs."""
 
     def __init__(self, symbols, depth):
+        n = len(symbols)
         self.order = sorted_rotations(symbols, depth)
         last = symbols[self.order - 1]
-        by_symbol = np.argsort(last, kind="stable")
-        n = len(symbols)
-        self.back = np.empty(n, np.int64)
-        self.back[by_symbol] = np.arange(n)
+        by_symbol = np.argsort(last, kind="stable").astype(np.int32)
+        self.back = np.empty(n, np.int32)
+        self.back[by_symbol] = np.arange(n, dtype=np.int32)
         same = last[by_symbol[1:]] == last[by_symbol[:-1]]
         # Where the same symbol stands last before and first after each place.
-        self.before, self.after = np.full(n, -1), np.full(n, n)
+        self.before, self.after = np.full(n, -1, np.int32), np.full(n, n, np.int32)
         self.before[by_symbol[1:][same]] = by_symbol[:-1][same]
         self.after[by_symbol[:-1][same]] = by_symbol[1:][same]
 
@@ -167,8 +173,8 @@ class Transform:
         the last place the upper one. Extensions are disjoint, so in order they pair up.
         """
         sizes = high - low
-        skipped = np.cumsum(sizes) - sizes
-        at = np.arange(sizes.sum()) + np.repeat(low - skipped, sizes)
+        skipped = np.cumsum(sizes, dtype=np.int32) - sizes
+        at = np.arange(sizes.sum(), dtype=np.int32) + np.repeat(low - skipped, sizes)
         begins = at[self.before[at] < np.repeat(low, sizes)]
         ends = at[self.after[at] >= np.repeat(high, sizes)]
         return np.sort(self.back[begins]), np.sort(self.back[ends]) + 1
@@ -182,7 +188,7 @@ def parted(transform, length):
     n = len(transform.order)
     known = np.zeros(n + 1, bool)
     known[[0, n]] = True
-    low, high = np.array([0]), np.array([n])
+    low, high = np.array([0], np.int32), np.array([n], np.int32)
     for _ in range(length):
         low, high = transform.extended(low, high)
         new = ~known[high]
@@ -356,7 +362,8 @@ def remove_repeats(documents):
     sizes = distinct.groupBy("context").agg(F.sum(F.col("at.n") + LENGTH).alias("size"))
     run = F.struct("at.start", "at.n", "context", "content", "weight")
     listed = stage(distinct.groupBy("at.digest").agg(F.collect_list(run).alias("runs")), "listed")
-    pieces = weighed.select("digest", "text").join(broadcast_if_small(listed), "digest").select("text", "runs")
+    told = broadcast_if_small(listed.select("digest"))
+    pieces = weighed.select("digest", "text").join(told, "digest", "left_semi").join(listed, "digest").select("text", "runs")
     found = stage(_found(pieces.mapInArrow(_run_bytes, PIECE).dropDuplicates(["context", "content"]), sizes), "found")
     own = shared.where("weight = 1").select("context", "content", "digest", "start")
     ends = [(F.col("start") + F.col(c)).alias(c) for c in ("first", "stop")]
@@ -364,7 +371,7 @@ def remove_repeats(documents):
     spans = stage(spans.groupBy("digest").agg(F.collect_list(F.struct("first", "stop")).alias("found")), "spans")
     touched = broadcast_if_small(spans.select("digest", F.lit(True).alias("touched")))
     rows = rows.select("doc_id", "text", "digest", "copied").join(touched, "digest", "left")
-    changed = rows.where("touched").join(broadcast_if_small(spans), "digest")
+    changed = rows.where("touched").join(spans, "digest")
     plain = rows.where("touched is null").withColumn("found", F.lit(None).cast(spans.schema["found"].dataType))
     columns = ["doc_id", "text", "copied", "found"]
     span = ArrayType(StructType([StructField("start", LongType()), StructField("stop", LongType())]))
