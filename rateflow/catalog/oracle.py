@@ -223,6 +223,7 @@ ORACLE = {
     "q_summary": _summary("""(select cast(l_shipdate as date) as rat_date, l_returnflag as agency,
       count(l_partkey) as n from lineitem group by 1, 2)"""),
     "q_answers": ANSWERS,
+    "q_answers_index": ANSWERS,
     "q_roundtrip": f"""select name, case when rat_date = date '2024-01-25' then 'one file'
       when rat_date between date '2024-01-10' and date '2024-01-20' then lower(rating) else rating end as rating,
       pred, rat_date, observation, agency, rat_date as "DT" from {EVENTS}
@@ -242,6 +243,7 @@ ORACLE = {
     "q_stream_news": f"""select rat_date as "DT", count(*) as told, count(*) as num_ratings
       from (select distinct {COLUMNS} from {LISTED}) group by 1""",
     "q_change": CHANGES,
+    "q_change_standing": CHANGES,
     "q_outbox": _digest(EVENTS, RANGE),
     "q_outbox_order": OUTBOX_ORDER,
 }

@@ -29,7 +29,9 @@ from rateflow.operators import (
     totals,
     union_feeds,
 )
+from rateflow.operators.changes import changes_of, next_standing
 from rateflow.operators.extract import CARDS_CLASS
+from rateflow.operators.name_index import extend_index
 from rateflow.plans import Store, backfill, run_day
 from rateflow.plans.backfill import message_days, store_days
 from rateflow.schema import (
@@ -46,8 +48,9 @@ from rateflow.schema import (
     OUTBOX,
     RATING_COLUMNS,
     RATINGS,
+    STANDING,
 )
-from rateflow.session import fresh_dir
+from rateflow.session import fresh_dir, stage
 from rateflow.sinks import replace_days, write_day, write_days
 from rateflow.sources import extract_archive, read_pages
 from rateflow.sources.store import read_table
@@ -280,7 +283,16 @@ def day_summaries(spark, d):
     return summary(lines.groupBy(DAY, "agency").agg(F.count("name").alias("num_ratings")))
 
 
-def batch_answers(spark, d):
+def indexed_answers(spark, d):
+    """The same answers from an index that has taken the names in two turns."""
+    index = fresh_dir(spark, "index")
+    ratings = views.part_ratings(spark, d)
+    for names in (ratings.where("agency = 'A0'"), ratings):
+        extend_index(spark, index, names)
+    return batch_answers(spark, d, index)
+
+
+def batch_answers(spark, d, index=None):
     ratings = views.part_ratings(spark, d)
     words = ratings.select(F.explode(F.split("name", " ")).alias("text"))
     asked = (
@@ -292,7 +304,7 @@ def batch_answers(spark, d):
         .distinct()
     )
     requests = asked.select(F.xxhash64("text").alias("req_id"), "text")
-    found = answers(ratings, requests, items_per_part=20)
+    found = answers(ratings, requests, items_per_part=20, index=index)
     return found.join(requests.withColumnRenamed("text", "request"), "req_id").drop("req_id")
 
 
@@ -370,6 +382,18 @@ def rating_changes(spark, d):
     return changes(views.order_ratings(spark, d))
 
 
+def standing_changes(spark, d):
+    """The history a period at a time, each knowing only the standing after the one before."""
+    ratings = views.order_ratings(spark, d)
+    ends = ratings.select(F.percentile_approx(F.unix_date("rat_date"), [0.25, 0.5, 0.75])).first()[0]
+    standing, found, before = spark.createDataFrame([], STANDING), [], -(2**31)
+    for end in [*ends, 2**31 - 1]:
+        period = ratings.where((F.unix_date("rat_date") > before) & (F.unix_date("rat_date") <= end))
+        found.append(changes_of(period, standing))
+        standing, before = stage(next_standing(period, standing), "standing"), end
+    return union_feeds(*found)
+
+
 def _outbox(spark, d):
     store = Store(fresh_dir(spark, "outbox"))
     store_days(spark, views.event_ratings(spark, d), store, FIRST, LAST)
@@ -430,6 +454,7 @@ QUERIES = {
     "q_digest_empty": empty_digests,
     "q_summary": day_summaries,
     "q_answers": batch_answers,
+    "q_answers_index": indexed_answers,
     "q_roundtrip": store_roundtrip,
     "q_stats_store": stored_stats,
     "q_day_run": daily_run,
@@ -437,6 +462,7 @@ QUERIES = {
     "q_stream": streamed,
     "q_stream_news": streamed_news,
     "q_change": rating_changes,
+    "q_change_standing": standing_changes,
     "q_outbox": outbox,
     "q_outbox_order": outbox_order,
 }

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from rateflow.functions.messages import ANSWER_HEADER, ANSWER_NONE, lookup_item
 from rateflow.operators.joins import broadcast_if_small
+from rateflow.operators.name_index import indexed_names
 from rateflow.operators.ordering import numbered
 from rateflow.schema import RATING_COLUMNS, REQUESTS
 from rateflow.session import stage
@@ -83,28 +84,33 @@ def names_holding(names, needles):
     )
 
 
-def _matches(ratings, keys):
-    """Ratings found by each (route, key)."""
+def _matches(ratings, keys, index):
+    """Ratings found by each (route, key); names through the index at the path, if there is one."""
     days = keys.where(F.col("route") == "date").select(
         "route", "key", F.col("key").cast("date").alias("rat_date")
     )
     by_date = ratings.join(broadcast_if_small(days), "rat_date")
     needles = keys.where(F.col("route") == "name").select(F.col("key").alias("needle"))
-    names = stage(ratings.select("name").where(F.col("name").isNotNull()).distinct(), "names")
-    pairs = stage(names_holding(names, needles), "pairs")
+    if index:
+        pairs = indexed_names(ratings.sparkSession, index, needles)
+    else:
+        names = stage(ratings.select("name").where(F.col("name").isNotNull()).distinct(), "names")
+        pairs = names_holding(names, needles)
+    pairs = stage(pairs, "pairs")
     by_name = ratings.join(broadcast_if_small(pairs), "name").select(
         *ratings.columns, F.lit("name").alias("route"), F.col("needle").alias("key")
     )
     return by_date.unionByName(by_name)
 
 
-def answers(ratings, requests, items_per_part=ITEMS_PER_PART):
+def answers(ratings, requests, items_per_part=ITEMS_PER_PART, index=None):
     """The answer to every request, in parts: columns req_id, part, text.
 
     The parts of a request, joined in order, are its whole message; a message of up to
     ``items_per_part`` ratings is one part. No part holds more, so a request that matches
     a third of all rows is many rows and never one text. Ratings are listed by date, agency
-    and name. A request without text gets no answer.
+    and name. A request without text gets no answer. ``index`` is the path of an index that
+    has the names of the ratings; without one they are cut into pieces for these requests.
     """
     kind = route(F.col("text"))
     day = F.trim("text").try_cast("date").cast("string")
@@ -117,7 +123,7 @@ def answers(ratings, requests, items_per_part=ITEMS_PER_PART):
     # Equal announcements need an order too: their place in the scan keeps them apart.
     placed = ratings.select(*RATING_COLUMNS, F.monotonically_increasing_id().alias("place"))
     found = numbered(
-        _matches(placed, keys),
+        _matches(placed, keys, index),
         ["route", "key"],
         ["rat_date", "agency", "name", "rating", "pred", "observation", "place"],
     )
@@ -135,7 +141,7 @@ def answers(ratings, requests, items_per_part=ITEMS_PER_PART):
     )
 
 
-def answer(ratings, text, items_per_part=ITEMS_PER_PART):
+def answer(ratings, text, items_per_part=ITEMS_PER_PART, index=None):
     """The answer to one text, in parts: columns part, text."""
     requests = ratings.sparkSession.createDataFrame([(0, text)], REQUESTS)
-    return answers(ratings, requests, items_per_part).drop("req_id")
+    return answers(ratings, requests, items_per_part, index).drop("req_id")

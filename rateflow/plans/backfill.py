@@ -1,5 +1,6 @@
 """Many past days in one job."""
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rateflow.functions.dates import parse_run_date
@@ -8,11 +9,12 @@ from rateflow.operators.digest import digest
 from rateflow.operators.extract import extract
 from rateflow.operators.normalize import accepted, normalize, rejected
 from rateflow.plans.daily import upload_days
-from rateflow.schema import AGENCY_TABLE, DAY, OUTBOX, RATINGS, STATS
-from rateflow.session import stage
+from rateflow.plans.record import record_of
+from rateflow.schema import AGENCY_TABLE, DAY, OUTBOX, RATINGS, REJECTS, STATS
+from rateflow.session import cleaned, stage
 from rateflow.sinks.added import retire_days
 from rateflow.sinks.store import replace_days, write_day
-from rateflow.sources.store import read_days
+from rateflow.sources.store import read_day, read_days
 
 
 def ratings_between(ratings, first, last):
@@ -22,6 +24,7 @@ def ratings_between(ratings, first, last):
     return within.withColumn(DAY, date)
 
 
+@cleaned
 def store_days(spark, ratings, store, first, last):
     """Replace the range's days of the ratings and of the three count tables."""
     retire_days(spark, store, first, last)
@@ -29,6 +32,7 @@ def store_days(spark, ratings, store, first, last):
     count_days(spark, store, first, last)
 
 
+@cleaned
 def count_days(spark, store, first, last):
     """Recount the range's stored days: one pass over the ratings for all tables and days."""
     base = stage(base_counts(read_days(spark, store.ratings, first, last), DAY), "base")
@@ -36,6 +40,7 @@ def count_days(spark, store, first, last):
         replace_days(roll_up(base, table, DAY), store.stats(table), first, last, schema, days=base)
 
 
+@cleaned
 def message_days(spark, store, first, last):
     """Messages of every calendar day of the range."""
     days = spark.range(1).select(
@@ -47,18 +52,36 @@ def message_days(spark, store, first, last):
     replace_days(digest(ratings, counts, days), store.outbox, first, last, OUTBOX, shuffle=False, days=days)
 
 
-def backfill(spark, pages, store, first, last, strict=False, shapes=None, database=None, only_new=()):
+def _add_rejects(spark, rows, store, day):
+    """Rejects to those stored under the day; one that is there already is not stored twice."""
+    try:
+        rows = rows.unionByName(read_day(spark, store.rejects, day, REJECTS))
+    except AnalysisException:
+        pass
+    write_day(stage(rows.distinct(), "rejects"), store.rejects, day)
+
+
+@cleaned
+def backfill(spark, pages, store, first, last, strict=False, shapes=None, database=None, only_new=(), resume=False):
     """All days from ``first`` to ``last``: ratings, counts, upload and messages.
 
-    Returns the rejected rows; they belong to pages and not to a day, so they are stored
-    under the last day of the range, in place of what it had. Without ``database`` nothing
-    is uploaded.
+    Returns the rejected rows; they belong to pages and not to a day, so they are added to
+    the rejects of the last day of the range. Without ``database`` nothing is uploaded. With
+    ``resume`` a run of the same inputs goes on where one that died has ended.
     """
     first, last = parse_run_date(first), parse_run_date(last)
-    rows = stage(normalize(extract(pages, shapes), strict), "rows")
-    store_days(spark, accepted(rows), store, first, last)
-    write_day(rejected(rows), store.rejects, last)
+
+    def read():
+        rows = stage(normalize(extract(pages, shapes), strict), "rows")
+        retire_days(spark, store, first, last)
+        replace_days(ratings_between(accepted(rows), first, last), store.ratings, first, last, RATINGS)
+        _add_rejects(spark, rejected(rows), store, last)
+
+    record = record_of(spark, store, "backfill", pages, [first, last, strict, shapes], resume)
+    record.step("ratings", read)
+    record.step("counts", lambda: count_days(spark, store, first, last))
     if database is not None:
-        upload_days(spark, store, first, last, database, only_new)
-    message_days(spark, store, first, last)
-    return rejected(rows)
+        record.step("upload", lambda: upload_days(spark, store, first, last, database, only_new))
+    record.step("messages", lambda: message_days(spark, store, first, last))
+    record.close()
+    return read_day(spark, store.rejects, last, REJECTS)

@@ -6,12 +6,15 @@ Each step reads what the step before stored, so any of them can be repeated alon
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rateflow.functions.dates import parse_run_date
+from rateflow.operators.changes import changes_of, next_standing
 from rateflow.operators.counts import base_counts, roll_up
 from rateflow.operators.digest import digest
 from rateflow.operators.extract import extract
+from rateflow.operators.name_index import extend_index
 from rateflow.operators.normalize import accepted, normalize, rejected
 from rateflow.operators.select import day_condition
 from rateflow.schema import (
@@ -27,15 +30,17 @@ from rateflow.schema import (
     RATINGS,
     RATINGS_JDBC_TYPES,
     RATINGS_TABLE,
+    STANDING,
     STATS,
 )
-from rateflow.session import stage
-from rateflow.sinks.added import retire_days
+from rateflow.plans.record import record_of
+from rateflow.session import cleaned, stage
+from rateflow.sinks.added import add_batch, begin_tables, new_records, of_days, retire_days
 from rateflow.sinks.jdbc import CONNECTIONS, append_jdbc, fitting, too_wide
 from rateflow.sinks.store import replace_days, write_day
 from rateflow.sinks.upload import upload
 from rateflow.sources.jdbc import count_jdbc_days
-from rateflow.sources.store import read_day, read_days
+from rateflow.sources.store import read_day, read_days, read_table
 
 
 @dataclass(frozen=True)
@@ -60,6 +65,18 @@ class Store:
     def outbox(self):
         return f"{self.root}/outbox"
 
+    @property
+    def changes(self):
+        return f"{self.root}/changes"
+
+    @property
+    def standing(self):
+        return f"{self.root}/standing"
+
+    @property
+    def name_index(self):
+        return f"{self.root}/name_index"
+
     @property
     def news(self):
         return f"{self.root}/news"
@@ -89,9 +106,13 @@ class Database:
     target: Callable | None = field(default=None, repr=False)
 
 
-def ingest_day(spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False):
+@cleaned
+def ingest_day(spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False, late=False):
     """Pages to the day's stored ratings and rejects.
 
+    With ``late``, ratings of the pages that are dated before the day and not stored yet are
+    added to the days of their dates.
+
     Of pages with a column ``arrived`` only those of the day are read: stored by it, a run
     scans one partition, and a day's rejects are of the pages that came that day.
     """
@@ -100,13 +121,20 @@ def ingest_day(spark, pages, store, day, mode="on", strict=False, shapes=None, o
     rows = normalize(extract(pages, shapes), strict)
     # Both tables come from one pass over the pages. Only rows of interest are staged, which
     # are few to a task, so they are first brought together to files of a sensible size.
-    kept = rows.where(F.col("reason").isNotNull() | day_condition(day, mode))
+    wanted, earlier = day_condition(day, mode), F.col("rat_date") < F.lit(day).cast("date")
+    kept = rows.where(F.col("reason").isNotNull() | (wanted | earlier if late else wanted))
     kept = stage(kept.hint("rebalance"), "rows")
     retire_days(spark, store, day, day)
-    write_day(accepted(kept), store.ratings, day, one_file)
+    write_day(accepted(kept).where(wanted), store.ratings, day, one_file)
     write_day(rejected(kept), store.rejects, day)
+    if late:
+        found = accepted(kept).where(earlier).withColumn(DAY, F.col("rat_date"))
+        begin_tables(spark, store)
+        dates = stage(found.select(DAY).distinct(), "dates")
+        add_batch(stage(new_records(found, of_days(spark, store.ratings, dates)), "late"), store, f"late-{day}")
 
 
+@cleaned
 def count_day(spark, store, day):
     """The three count tables of a stored day, from one pass over its ratings."""
     base = stage(base_counts(read_day(spark, store.ratings, day)), "base")
@@ -139,6 +167,7 @@ def _missing_days(spark, database, table, column, rows):
     return states.where("present = 0").select(F.col("day").alias(column))
 
 
+@cleaned
 def upload_days(spark, store, first, last, database, only_new=()):
     """Append the ratings and stamped counts stored from ``first`` to ``last`` to the database.
 
@@ -177,6 +206,7 @@ def upload_day(spark, store, day, database, only_new=()):
     upload_days(spark, store, day, day, database, only_new)
 
 
+@cleaned
 def message_day(spark, store, day):
     """The day's messages, to the outbox."""
     days = spark.range(1).select(F.lit(day).cast("date").alias(DAY))
@@ -185,13 +215,54 @@ def message_day(spark, store, day):
     write_day(digest(ratings, counts, days).select(*OUTBOX.fieldNames()), store.outbox, day)
 
 
+def standing_before(spark, store, day):
+    """The last stored standing of a day before ``day``; nobody stands before the first."""
+    try:
+        stored = read_table(spark, store.standing, STANDING).where(F.col(DAY) < F.lit(day).cast("date"))
+    except AnalysisException:
+        return spark.createDataFrame([], STANDING)
+    last = stored.agg(F.max(DAY)).first()[0]
+    return read_day(spark, store.standing, last, STANDING) if last else stored.drop(DAY)
+
+
+@cleaned
+def change_day(spark, store, day, withdrawn=()):
+    """The day's changes of ratings, and each issuer's standing after it.
+
+    Reads the day and the standing before it, no older ratings. Days are taken in order; one
+    that is stored again is to be followed by the days after it.
+    """
+    ratings = read_day(spark, store.ratings, day)
+    standing = standing_before(spark, store, day)
+    write_day(changes_of(ratings, standing, withdrawn), store.changes, day)
+    write_day(next_standing(ratings, standing), store.standing, day)
+
+
+@cleaned
+def index_day(spark, store, day):
+    """The day's new names, to the index that name lookups use."""
+    return extend_index(spark, store.name_index, read_day(spark, store.ratings, day))
+
+
+@cleaned
 def run_day(
-    spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False, database=None, only_new=()
-):
-    """The whole chain for one day; without ``database`` nothing is uploaded."""
+    spark, pages, store, day, mode="on", strict=False, shapes=None, one_file=False, database=None, only_new=(),
+    follow=False, late=False, resume=False,
+):
+    """The whole chain for one day; without ``database`` nothing is uploaded.
+
+    ``follow`` also stores the day's changes with the standing after it, and indexes its names.
+    ``late`` adds ratings that came late to the days of their dates. With ``resume`` a run of
+    the same inputs goes on where one that died has ended.
+    """
     day = parse_run_date(day)
-    ingest_day(spark, pages, store, day, mode, strict, shapes, one_file)
-    count_day(spark, store, day)
+    record = record_of(spark, store, "day", pages, [day, mode, strict, shapes, one_file, late, follow], resume)
+    record.step("ratings", lambda: ingest_day(spark, pages, store, day, mode, strict, shapes, one_file, late))
+    record.step("counts", lambda: count_day(spark, store, day))
+    if follow:
+        record.step("changes", lambda: change_day(spark, store, day))
+        record.step("names", lambda: index_day(spark, store, day))
     if database is not None:
-        upload_day(spark, store, day, database, only_new)
-    message_day(spark, store, day)
+        record.step("upload", lambda: upload_day(spark, store, day, database, only_new))
+    record.step("messages", lambda: message_day(spark, store, day))
+    record.close()

@@ -72,6 +72,23 @@ REJECTS = T.StructType(
     ]
 )
 
+STANDING = T.StructType(
+    [
+        T.StructField("agency", T.StringType()),
+        T.StructField("name", T.StringType()),
+        T.StructField("rating", T.StringType()),
+    ]
+)
+
+CHANGES = T.StructType(
+    [
+        *RATINGS.fields,
+        T.StructField("copies", T.LongType()),
+        T.StructField("previous", T.StringType()),
+        T.StructField("event", T.StringType()),
+    ]
+)
+
 AGENCY_STATS = T.StructType(
     [
         T.StructField("agency", T.StringType()),

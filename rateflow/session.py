@@ -1,6 +1,9 @@
 """Session settings and the shared working folder."""
 
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
+from functools import wraps
 
 from pyspark.sql import SparkSession
 
@@ -37,15 +40,62 @@ def shared_dir(spark):
     return named.rstrip("/")
 
 
+_working = ContextVar("working", default=None)
+
+
 def fresh_dir(spark, label):
-    """A path in the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/rateflow/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder, or in the running job's part of it, that nothing has used yet."""
+    return f"{_working.get() or f'{shared_dir(spark)}/rateflow'}/{label}-{uuid.uuid4().hex}"
+
+
+def _files(spark, path):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark, path):
+    files, path = _files(spark, path)
+    return files.exists(path)
+
+
+def mark(spark, path):
+    """Make an empty file."""
+    files, path = _files(spark, path)
+    files.create(path, True).close()
 
 
 def remove(spark, path):
-    """Remove a folder, if it is there."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    """Remove a file or folder, if it is there."""
+    files, path = _files(spark, path)
+    files.delete(path, True)
+
+
+@contextmanager
+def working(spark):
+    """What is staged inside lies in one folder, which goes at the end, however it ends."""
+    folder = f"{shared_dir(spark)}/rateflow/job-{uuid.uuid4().hex}"
+    token = _working.set(folder)
+    try:
+        yield
+    finally:
+        _working.reset(token)
+        remove(spark, folder)
+
+
+def cleaned(job):
+    """What the job stages is removed when it ends, so its result must not read it.
+
+    Inside another such job that is left to the outer one.
+    """
+
+    @wraps(job)
+    def run(spark, *args, **kwargs):
+        if _working.get():
+            return job(spark, *args, **kwargs)
+        with working(spark):
+            return job(spark, *args, **kwargs)
+
+    return run
 
 
 def stage(df, label):

@@ -10,12 +10,13 @@ One writer at a time works on a store; readers need not wait.
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rateflow.operators.counts import base_counts, roll_up
-from rateflow.schema import DAY, RATINGS, STATS
+from rateflow.schema import DAY, RATING_COLUMNS, RATINGS, STATS, by_day
 from rateflow.session import remove, stage
-from rateflow.sources.store import ADD, BATCH, LOG, RETIRE, added, committed, live_parts, log_path, read_log, summed
+from rateflow.sources.store import ADD, BATCH, LOG, RETIRE, added, committed, live_parts, log_path, read_log, read_table, summed
 
 FAN = 8
 
@@ -35,6 +36,29 @@ def _commit(spark, store, batch, rows):
     rows.coalesce(1).write.mode("overwrite").parquet(f"{log_path(store.ratings)}/{BATCH}={batch}")
 
 
+def of_days(spark, path, days):
+    """Stored ratings of the given days; their list prunes the scan at run time. It is bounded
+    by the calendar, four-digit years making fewer than 3.7 million."""
+    return read_table(spark, path, RATINGS).join(F.broadcast(days), DAY, "left_semi")
+
+
+def new_records(ratings, stored):
+    """Distinct announcements that are not stored yet; both have the day."""
+    fresh = ratings.dropDuplicates([*RATING_COLUMNS, DAY])
+    same = [fresh[c].eqNullSafe(stored[c]) for c in RATING_COLUMNS if c != "rat_date"]
+    return fresh.join(stored, [fresh[DAY] == stored[DAY], *same], "left_anti")
+
+
+def begin_tables(spark, store):
+    """Gives tables without a folder one to be read from."""
+    for path, schema in ((store.ratings, RATINGS), *((store.stats(t), s) for t, s in STATS.items())):
+        try:
+            spark.read.schema(by_day(schema)).parquet(path)
+        except AnalysisException:
+            empty = spark.createDataFrame([], by_day(schema))
+            empty.write.mode("append").partitionBy(DAY).parquet(path)
+
+
 def add_batch(ratings, store, batch):
     """Adds distinct new ratings, which carry their day, with the counts they make.
 

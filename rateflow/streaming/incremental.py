@@ -1,6 +1,5 @@
 """New records only, from page files as they arrive."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -8,11 +7,11 @@ from rateflow.operators.counts import base_counts, roll_up
 from rateflow.operators.digest import digest
 from rateflow.operators.extract import extract
 from rateflow.operators.normalize import accepted, normalize, rejected
-from rateflow.schema import AGENCY_TABLE, DAY, OUTBOX, PAGES, RATING_COLUMNS, RATINGS, REJECTS, STATS, by_day
-from rateflow.session import stage
-from rateflow.sinks.added import add_batch, is_committed, merge_added
+from rateflow.schema import AGENCY_TABLE, DAY, OUTBOX, PAGES, REJECTS
+from rateflow.session import stage, working
+from rateflow.sinks.added import add_batch, begin_tables, is_committed, merge_added, new_records, of_days
 from rateflow.sinks.store import write_days
-from rateflow.sources.store import BATCH, committed, read_table
+from rateflow.sources.store import BATCH, committed
 
 
 def read_news(spark, path, schema=OUTBOX):
@@ -30,19 +29,6 @@ def arriving_pages(spark, path, files_per_batch=None):
     return reader.parquet(path)
 
 
-def _of_days(spark, path, days):
-    """Stored ratings of the given days; their list prunes the scan at run time. It is bounded
-    by the calendar, four-digit years making fewer than 3.7 million."""
-    return read_table(spark, path, RATINGS).join(F.broadcast(days), DAY, "left_semi")
-
-
-def new_records(ratings, stored):
-    """Distinct announcements that are not stored yet; both have the day."""
-    fresh = ratings.dropDuplicates([*RATING_COLUMNS, DAY])
-    same = [fresh[c].eqNullSafe(stored[c]) for c in RATING_COLUMNS if c != "rat_date"]
-    return fresh.join(stored, [fresh[DAY] == stored[DAY], *same], "left_anti")
-
-
 def take_batch(pages, batch_id, store, shapes=None):
     """One micro-batch: extract, tell and add what is new.
 
@@ -52,15 +38,19 @@ def take_batch(pages, batch_id, store, shapes=None):
     """
     spark = pages.sparkSession
     name = batch_key(spark, batch_id)
-    if is_committed(spark, store, name):
-        return
+    if not is_committed(spark, store, name):
+        with working(spark):
+            _take(spark, pages, name, store, shapes)
+
+
+def _take(spark, pages, name, store, shapes):
     batch = F.lit(name).alias(BATCH)
     rows = stage(normalize(extract(pages, shapes)), "rows")
     write_days(rejected(rows).select(*REJECTS.fieldNames(), batch), store.arrived_rejects, BATCH)
     found = accepted(rows).withColumn(DAY, F.col("rat_date"))
     days = stage(found.select(DAY).distinct(), "days")
-    _begin(spark, store)
-    fresh = stage(new_records(found, _of_days(spark, store.ratings, days)), "fresh")
+    begin_tables(spark, store)
+    fresh = stage(new_records(found, of_days(spark, store.ratings, days)), "fresh")
     counts = roll_up(base_counts(fresh, DAY), AGENCY_TABLE, DAY)
     news = digest(fresh, counts, fresh.select(DAY).distinct())
     write_days(news.select(*OUTBOX.fieldNames(), DAY, batch), store.news, BATCH)
@@ -74,16 +64,6 @@ def batch_key(spark, batch_id):
     return f"{query}-{batch_id}"
 
 
-def _begin(spark, store):
-    """Gives tables without a folder one to be read from."""
-    for path, schema in ((store.ratings, RATINGS), *((store.stats(t), s) for t, s in STATS.items())):
-        try:
-            spark.read.schema(by_day(schema)).parquet(path)
-        except AnalysisException:
-            empty = spark.createDataFrame([], by_day(schema))
-            empty.write.mode("append").partitionBy(DAY).parquet(path)
-
-
 def run_arrived(spark, pages, store, checkpoint, shapes=None):
     """Process everything that has arrived, then stop. Run it again for later arrivals.
 
