@@ -3,8 +3,11 @@
 from pyspark.sql import functions as F
 
 from rateflow.llm import alignment, decontamination, embeddings, jaccard, licenses, manifest, passages, pii, secret_scan, segmentation, shards, suffixes, toxicity
+from rateflow.llm.oracle import ORACLE
 from rateflow.session import fresh_dir
 
+__all__ = ["ORACLE", "QUERIES"]
+
 # Where the public vocabularies lie; a parameter of the operators.
 TOKENIZERS = "/opt/tokenizers"
 PIECES = f"{TOKENIZERS}/piece_bpe_32k.model"
@@ -103,4 +106,3 @@ QUERIES = {
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_suffix_array_dedup": op13_suffix_array_dedup,
 }
-ORACLE = {}
