@@ -9,6 +9,7 @@ run that is repeated skips what is there, and a reader may begin at any slot.
 
 import array
 import base64
+import json
 import sys
 import uuid
 import zlib
@@ -145,6 +146,29 @@ def shard_name(path, shard):
     return f"{path}/shard-{shard:08d}.bin"
 
 
+def _begin(path, state):
+    """Prepares ``path`` for a run: shards of another run go, those of this one stay.
+
+    The record is written when they are gone, so shards beside a record are of its run.
+    """
+    from pyarrow import fs
+
+    store, root = fs.FileSystem.from_uri(path)
+    store.create_dir(root, recursive=True)
+    record, wanted = f"{root}/{RECORD}", json.dumps(state, sort_keys=True).encode()
+    if store.get_file_info(record).type != fs.FileType.NotFound:
+        with store.open_input_file(record) as file:
+            if file.read() == wanted:
+                return
+        store.delete_file(record)
+    for file in store.get_file_info(fs.FileSelector(root)):
+        if file.base_name.startswith("shard-"):
+            store.delete_file(file.path)
+    with store.open_output_stream(f"{record}.new") as out:
+        out.write(wanted)
+    store.move(f"{record}.new", record)
+
+
 def _write(path, length, total, shard_slots):
     """Writes whole shards; rows come sorted by slot. Gives where each sequence is."""
     from pyarrow import fs
@@ -206,6 +230,7 @@ def _records(rows, length):
     return out.tobytes()
 
 
+RECORD = "written.json"
 MANIFEST = "slot long, shard long, byte_offset long, doc_id long, chunk int, n_tokens int"
 
 
@@ -215,7 +240,8 @@ def write_shards(documents, path, ranks_file, key=0, length=LENGTH, shard_slots=
     The result has a row for each sequence: ``slot, shard, byte_offset, doc_id, chunk,
     n_tokens``. Null and empty texts have none. A sequence shorter than ``length`` is filled
     with 0; a null doc_id is written as -1. Equal rows are written as often as they are
-    there. The same documents, key and sizes give the same files; other columns are not read.
+    there. The same documents, key and sizes give the same files, so a repeated run skips the
+    shards that are whole; a run of anything else removes them first. Other columns are not read.
     """
     small_batches(documents.sparkSession)
     ranks = documents.sparkSession.sparkContext.broadcast(load_ranks(ranks_file))
@@ -225,6 +251,10 @@ def write_shards(documents, path, ranks_file, key=0, length=LENGTH, shard_slots=
     placed, total = _numbered(counts, length)
     # Of equal rows one writes for all.
     placed = stage(placed, "placed")
+    marks = [F.sum(F.xxhash64(*both).cast("decimal(38,0)")) for both in (("row", "firsts"), ("firsts", "row"))]
+    state = [str(v) for v in placed.withColumn("firsts", F.array_sort("firsts")).agg(F.count("*"), *marks).first()]
+    vocabulary = zlib.crc32(b" ".join(ranks.value))
+    _begin(path, {"rows": state, "key": key, "length": length, "shard_slots": shard_slots, "vocabulary": vocabulary})
     repeated = placed.where(F.size("firsts") > 1)
     alike = rows.join(broadcast_if_small(repeated.select("row")), "row", "left_semi").dropDuplicates(["row"])
     firsts = placed.where(F.size("firsts") == 1).select("row", F.element_at("firsts", 1).alias("first"))
