@@ -47,8 +47,9 @@ CONTAINED = 0.75
 # 1 - (1 - s)^BANDS. A window has at most four times a template's words, so a match has at
 # least a similarity of 0.75 / 4 and is retrieved with a chance above 0.9999.
 BANDS = 48
-# Words of a template are at most so many; its windows have twice as many, one begins at each.
-CLASSES = (8, 16, 32, 64)
+# A template's class is the least of 8, 16, 32, ... that its words do not exceed; its windows have
+# twice as many words, one begins at each.
+LEAST_CLASS, USUAL_CLASS = 8, 64
 WORD = r"[\p{L}\p{N}]+"
 
 
@@ -95,13 +96,25 @@ def key_words(templates):
     return sorted(chosen)
 
 
+def classes_of(templates):
+    """Classes up to that of the longest template."""
+    import regex
+
+    longest = max((len(regex.findall(WORD, text.lower())) for text in templates.values()), default=0)
+    classes = [LEAST_CLASS]
+    while classes[-1] < max(longest, USUAL_CLASS):
+        classes.append(2 * classes[-1])
+    return classes
+
+
 def _templates(spark, templates):
     rows = []
     for name, text in templates.items():
         rows.append((name, text))
     table = spark.createDataFrame(rows, "license string, text string")
     table = table.select("license", _once(_words(F.col("text"))).alias("words"))
-    size = F.coalesce(*[F.when(F.size("words") <= c, F.lit(c)) for c in CLASSES])
+    classes = classes_of(templates)
+    size = F.coalesce(*[F.when(F.size("words") <= c, F.lit(c)) for c in classes[:-1]], F.lit(classes[-1]))
     return table.select("license", size.alias("class"), _once(F.array_distinct(_shingles(F.col("words")))).alias("wanted"))
 
 
@@ -121,7 +134,7 @@ def find_licenses(documents, templates=None):
     ``containment`` is the largest share of the template's shingles in one window,
     ``first_word`` the place of the first of them, counted in words from 0. Null and empty
     texts hold nothing; a repeated doc_id is one document here; other columns are not read.
-    Templates have at most 64 words.
+    Templates may have any number of words.
     """
     spark = documents.sparkSession
     templates = TEMPLATES if templates is None else templates
@@ -132,7 +145,7 @@ def find_licenses(documents, templates=None):
     keyed = documents.where(F.col("text").rlike(rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(words)})(?![\p{{L}}\p{{N}}])"))
     keyed = keyed.select("doc_id", _once(_words(F.col("text"))).alias("words"))
     literal = F.array(*[F.lit(w) for w in words])
-    windows = F.concat(*[_windows(F.col("words"), c, literal) for c in CLASSES])
+    windows = F.concat(*[_windows(F.col("words"), c, literal) for c in classes_of(templates)])
     windows = keyed.select("doc_id", F.explode(windows).alias("w"))
     windows = windows.select("doc_id", "w.class", "w.at", _once(_shingles(F.col("w.words"))).alias("shingles"))
     banded = windows.select("doc_id", "class", "at", "shingles", F.explode(_bands(F.col("shingles"))).alias("b"))
