@@ -8,6 +8,7 @@ always stands for one value of the document, so changed parameters do not hide a
 
 from pyspark.sql import functions as F
 
+from rateflow.llm.rows import rows_with_ids
 from rateflow.operators.joins import broadcast_if_small
 from rateflow.session import stage
 
@@ -131,6 +132,11 @@ def _consistent(documents, items, found, window):
 
 
 def without_contaminated(documents, benchmark):
-    """``documents`` without those that hold a benchmark item; columns as they are."""
-    found = contaminated(documents, benchmark).select("doc_id").distinct()
-    return documents.join(broadcast_if_small(stage(found, "matches")), "doc_id", "left_anti").select(documents.columns)
+    """``documents`` without the rows that hold a benchmark item; columns as they are.
+
+    Rows that share an id are judged each by its own text, and so are rows without one.
+    """
+    rows, own, _ = rows_with_ids(documents)
+    found = contaminated(rows, benchmark).select("doc_id").distinct()
+    clean = rows.join(broadcast_if_small(stage(found, "matches")), "doc_id", "left_anti")
+    return clean.withColumn("doc_id", F.col(own)).select(documents.columns)
