@@ -1,35 +1,36 @@
 """Text expressions: trimming, splitting, entities."""
 
 import json
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import functions as F
 
 from rateflow.schema import ABSENT
 
 _BLANK = r"[\s\x1c-\x1f]"
-_REFERENCE = r"^(#[xX][0-9a-fA-F]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);?"
-_FREQUENT = ["quot", "amp", "lt", "gt", "nbsp", "laquo", "raquo", "mdash", "ndash"]
+# What may follow an ampersand: a number, or a name of up to 31 characters with its semicolon.
+_NUMBER = r"^#(?:[0-9]+|[xX][0-9a-fA-F]+);?"
+_NAMED = r"^[^\t\n\f <&#;]{1,31};"
+_FREQUENT = ["quot;", "amp;", "lt;", "gt;", "nbsp;", "laquo;", "raquo;", "mdash;", "ndash;"]
 _COMMON = ["quot", "lt", "gt", "nbsp", "amp"]
+# Characters that no number stands for.
+_CONTROLS = "[\\x01-\\x08\\x0b\\x0e-\\x1f\\x7f-\\x9f\\ufdd0-\\ufdef]"
 
 
 def _entity_table():
-    """Character by entity name, the frequent ones first because a map is searched in order.
-
-    Numbers 128-159 stand for windows-1252 characters on the web, so they are listed too.
-    """
-    names = {name: chr(name2codepoint[name]) for name in _FREQUENT}
-    names.update({"apos": "'", "AMP": "&", "LT": "<", "GT": ">", "QUOT": '"'})
+    """Text by reference: names with their semicolon, the frequent ones first because a map is
+    searched in order, and numbers 128-159, which stand for windows-1252 characters on the web."""
+    names = {name: html5[name] for name in _FREQUENT}
     for code in range(128, 160):
-        char = bytes([code]).decode("cp1252", errors="ignore")
-        if char:
-            names[f"#{code}"] = char
-    for name, code in name2codepoint.items():
-        names.setdefault(name, chr(code))
+        names[f"#{code}"] = bytes([code]).decode("cp1252", errors="ignore") or chr(code)
+    names.update((name, value) for name, value in html5.items() if name.endswith(";"))
     return json.dumps(names)
 
 
 _ENTITIES = _entity_table()
+# Names that count without a semicolon, too: the longest that a text begins with is meant.
+_BARE = sorted((name for name in html5 if not name.endswith(";")), key=lambda name: (-len(name), name))
+_BARE_NAME = f"^(?:{'|'.join(_BARE)})"
 
 
 def strip(text):
@@ -48,34 +49,45 @@ def or_absent(value):
 
 
 def _named(chunk):
-    """What followed an ampersand, and the reference it begins with ('' for none)."""
-    return F.struct(chunk.alias("chunk"), F.regexp_extract(chunk, _REFERENCE, 1).alias("name"))
+    """What followed an ampersand, and the reference it begins with ('' for none) in three forms."""
+    return F.struct(
+        chunk.alias("chunk"),
+        F.regexp_extract(chunk, _NUMBER, 0).alias("digits"),
+        F.regexp_extract(chunk, _NAMED, 0).alias("name"),
+        F.regexp_extract(chunk, _BARE_NAME, 0).alias("bare"),
+    )
 
 
 def _numbered(part):
     """The character number of ``#65`` and ``#x41``; null for a name, 0 for nonsense."""
-    # conv() saturates on overlong digits and the cast fails: neither is a character.
-    digits = F.regexp_replace(part["name"], "^#[xX]?", "")
-    base16 = part["name"].rlike("^#[xX]")
+    digits = F.regexp_replace(part["digits"], "^#[xX]?0*|;", "")
+    base16 = part["digits"].rlike("^#[xX]")
+    # More than eight digits are no character, and would be too many for conv().
+    digits = F.when(F.length(digits) <= 8, digits)
     number = F.when(base16, F.conv(digits, 16, 10)).otherwise(digits).try_cast("bigint")
-    number = F.when(part["name"].startswith("#"), F.coalesce(number, F.lit(0)))
-    return F.struct(part["chunk"].alias("chunk"), part["name"].alias("name"), number.alias("number"))
+    number = F.when(part["digits"] != "", F.coalesce(number, F.lit(0)))
+    return F.struct(*[part[c].alias(c) for c in ("chunk", "digits", "name", "bare")], number.alias("number"))
 
 
 def _valued(part):
-    """The reference's character, null when it stands for none."""
+    """The reference's text, null when it stands for none, and what it is written as."""
     number = part["number"]
-    key = F.when(number.isNull(), part["name"]).otherwise(F.concat(F.lit("#"), number.cast("string")))
     valid = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
     coded = F.lpad(F.hex(F.when(valid, number).otherwise(0xFFFD)), 8, "0")
-    by_number = F.when(number.isNotNull(), F.decode(F.unhex(coded), "UTF-32"))
+    char = F.decode(F.unhex(coded), "UTF-32")
+    # The last two of every plane are no characters.
+    none = char.rlike(_CONTROLS) | (valid & (number.bitwiseAND(0xFFFE) == 0xFFFE))
+    by_number = F.when(number.isNotNull(), F.when(none, "").otherwise(char))
     known = F.from_json(F.lit(_ENTITIES), "map<string,string>")
-    value = F.coalesce(F.try_element_at(known, key), by_number)
-    return F.struct(part["chunk"].alias("chunk"), value.alias("value"))
+    listed = F.when(number.isNotNull(), F.concat(F.lit("#"), number.cast("string"))).otherwise(part["name"])
+    value = F.coalesce(F.try_element_at(known, listed), by_number)
+    bare = F.try_element_at(known, F.concat(part["bare"], F.lit(";")))
+    written = F.when(number.isNotNull(), part["digits"]).when(value.isNotNull(), part["name"]).otherwise(part["bare"])
+    return F.struct(part["chunk"].alias("chunk"), written.alias("written"), F.coalesce(value, bare).alias("value"))
 
 
 def _joined(part, i):
-    rest = F.regexp_replace(part["chunk"], _REFERENCE, "")
+    rest = F.substring(part["chunk"], F.length(part["written"]) + 1, F.length(part["chunk"]))
     decoded = F.coalesce(F.concat(part["value"], rest), F.concat(F.lit("&"), part["chunk"]))
     return F.when(i == 0, part["chunk"]).otherwise(decoded)
 
@@ -87,7 +99,7 @@ def _decoded(text):
 
 
 def decode_entities(text):
-    """Replace named and numeric character references, each once, from left to right.
+    """Replace named and numeric character references, each once, from left to right, as web pages mean them.
 
     Texts that hold only the most frequent ones take plain replacements, ``&amp;`` last.
     """

@@ -1,3 +1,7 @@
+import html
+import random
+from html.entities import html5
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -44,6 +48,19 @@ def test_decode_entities(spark, text, plain):
     assert value(spark, text, decode_entities) == plain
 
 
+def test_references_equal_the_standard_decoder(spark):
+    """All names with and without semicolon, numbers of every kind, and random texts of pieces of both."""
+    pick = random.Random(4)
+    names = sorted(html5)
+    numbers = [0, 1, 9, 11, 13, 31, 65, 127, 128, 129, 150, 160, 0xD7FF, 0xD800, 0xFDD0, 0xFFFE, 0xFFFF, 0x1F600, 0x1FFFE, 0x10FFFF, 0x110000, 10**25]
+    pieces = [f"&{n}" for n in names[::9]] + [f"&#{n}{e}" for n in numbers for e in ("", ";")] + [f"&#x{n:x};" for n in numbers]
+    pieces += ["&", "&&", "&;", "&#;", "&#x;", "&copyright;", "&notit;", "&notin", "&amp;lt;", "&AMP", "&Xyz;", "&a b;", "текст", "é", "1", ";", " ", "\n", "x" * 40]
+    texts = [f"a&{n}b" for n in names] + ["".join(pick.choice(pieces) for _ in range(pick.randint(1, 8))) for _ in range(1500)]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", decode_entities(F.col("t")).alias("plain")).collect()
+    wrong = [(r.t, r.plain, html.unescape(r.t)) for r in rows if r.plain != html.unescape(r.t)]
+    assert len(rows) == len(texts) and wrong == []
+
+
 def test_strip_drops_any_white_space(spark):
     assert value(spark, "\r\n\t\xa0  a b \x1f\n", strip) == "a b"
 
