@@ -167,7 +167,6 @@ def _missing_days(spark, database, table, column, rows):
     return states.where("present = 0").select(F.col("day").alias(column))
 
 
-@cleaned
 def upload_days(spark, store, first, last, database, only_new=()):
     """Append the ratings and stamped counts stored from ``first`` to ``last`` to the database.
 
