@@ -3,6 +3,7 @@
 import json
 from html.entities import html5, name2codepoint
 
+import xxhash
 from pyspark.sql import functions as F
 
 from rateflow.schema import ABSENT
@@ -17,6 +18,11 @@ _COMMON = ["quot", "lt", "gt", "nbsp", "amp"]
 _CONTROLS = "[\\x01-\\x08\\x0b\\x0e-\\x1f\\x7f-\\x9f\\ufdd0-\\ufdef]"
 
 
+def _key(name):
+    """What ``xxhash64`` gives for a name: the table has numbers, so plans do not list the names."""
+    return str(int.from_bytes(xxhash.xxh64(name.encode(), seed=42).digest(), "big", signed=True))
+
+
 def _entity_table():
     """Text by reference: names with their semicolon, the frequent ones first because a map is
     searched in order, and numbers 128-159, which stand for windows-1252 characters on the web."""
@@ -24,7 +30,7 @@ def _entity_table():
     for code in range(128, 160):
         names[f"#{code}"] = bytes([code]).decode("cp1252", errors="ignore") or chr(code)
     names.update((name, value) for name, value in html5.items() if name.endswith(";"))
-    return json.dumps(names)
+    return json.dumps({_key(name): value for name, value in names.items()})
 
 
 _ENTITIES = _entity_table()
@@ -80,8 +86,8 @@ def _valued(part):
     by_number = F.when(number.isNotNull(), F.when(none, "").otherwise(char))
     known = F.from_json(F.lit(_ENTITIES), "map<string,string>")
     listed = F.when(number.isNotNull(), F.concat(F.lit("#"), number.cast("string"))).otherwise(part["name"])
-    value = F.coalesce(F.try_element_at(known, listed), by_number)
-    bare = F.try_element_at(known, F.concat(part["bare"], F.lit(";")))
+    value = F.coalesce(F.try_element_at(known, F.xxhash64(listed).cast("string")), by_number)
+    bare = F.try_element_at(known, F.xxhash64(F.concat(part["bare"], F.lit(";"))).cast("string"))
     written = F.when(number.isNotNull(), part["digits"]).when(value.isNotNull(), part["name"]).otherwise(part["bare"])
     return F.struct(part["chunk"].alias("chunk"), written.alias("written"), F.coalesce(value, bare).alias("value"))
 
