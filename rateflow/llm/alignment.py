@@ -14,9 +14,11 @@ import json
 import os
 import re
 import zlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import functions as F
 
@@ -25,11 +27,17 @@ from rateflow.llm.arrays import batch, kept, slices, small_batches
 from rateflow.llm.shards import PATTERN
 
 UNIT = re.compile(r"(?<=\S) (?=\S)")
-WIDE = re.compile(r"\s | \s")
-# A task forgets its units beyond so many, or so many characters.
+# Texts that are empty or have a space at an end or beside other white space, for Arrow.
+_WHITE = "[" + "".join(f"\\x{{{i:x}}}" for i in range(0x3001) if chr(i).isspace()) + "]"
+ODD = f"^$|^ | $|{_WHITE} | {_WHITE}"
+# Characters whose kinds all versions of Unicode agree on: ASCII, Latin and Cyrillic letters.
+AGREED = re.compile("[\x00-\x7f\xc0-\u024f\u0400-\u045f]*")
+# Bytes of texts that are split and looked up at a time.
+SLICE_BYTES = 1 << 21
+# A task forgets its rarer units beyond so many, or so many characters.
 CACHE_UNITS, CACHE_CHARS = 200_000, 1 << 25
 # Characters of units that are encoded as one text.
-JOINED_CHARS = 1 << 14
+JOINED_CHARS = 1 << 10
 # Pairs that a task holds before it writes them.
 HELD_PAIRS = 1 << 21
 # Functions and counts that a task of the second pass holds; more are looked up part by part.
@@ -50,8 +58,12 @@ def byte_level(token, alphabet):
     return token.encode()
 
 
-def _ranked(byte_bpe):
-    """An encoder by merge ranks, if the file is a byte-level one whose ids are these ranks."""
+def _ranked(byte_bpe, first):
+    """An encoder by merge ranks, if the file is a byte-level one whose ids are these ranks.
+
+    Every token must encode to itself: then there is one way to merge it, and ranks, which allow
+    any pair that makes a token, lead to the tokens that the listed pairs lead to.
+    """
     import tiktoken
 
     told = json.loads(byte_bpe)
@@ -63,8 +75,11 @@ def _ranked(byte_bpe):
     level = split.get("type") == "ByteLevel" and not split.get("add_prefix_space") and split.get("use_regex", True)
     if not (plain and level and by_rank and model.get("type", "BPE") == "BPE") or model.get("ignore_merges"):
         return None
+    ids = {t: i for t, i in ids.items() if i < 256 + len(merges)}
+    if any([x.id for x in first.model.tokenize(t)] != [i] for t, i in ids.items()):
+        return None
     alphabet = _byte_alphabet()
-    ranks = {byte_level(t, alphabet): i for t, i in ids.items() if i < 256 + len(merges)}
+    ranks = {byte_level(t, alphabet): i for t, i in ids.items()}
     return tiktoken.Encoding("by-rank", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -79,7 +94,7 @@ class Vocabularies:
         self.first = Tokenizer.from_str(byte_bpe)
         self.first.encode_special_tokens = True
         self.second = sentencepiece.SentencePieceProcessor(model_proto=pieces)
-        self.ascii = _ranked(byte_bpe)
+        self.ranked = _ranked(byte_bpe, self.first)
         alphabet = _byte_alphabet()
         known = self.first.get_vocab(with_added_tokens=True)
         self.first_bytes = [b""] * (max(known.values()) + 1)
@@ -98,14 +113,17 @@ class Vocabularies:
         self.written = [f"{i}{end}" for i in range(n) for end in ",|"] + [f"{i}{end}" for i in range(len(names)) for end in ",;"]
         self.second_at = 2 * n
 
+    def by_rank(self, texts):
+        """Of each text whether its first side is encoded by merge rank."""
+        return [False] * len(texts) if self.ranked is None else [m is not None for m in map(AGREED.fullmatch, texts)]
+
     def encode_first(self, texts):
         """Ids of the first side. Where ids are merge ranks the same merges are looked up by rank,
-        which is quicker; only for ASCII, whose letters and digits all versions agree on."""
-        if self.ascii is None:
-            return [e.ids for e in self.first.encode_batch_fast(texts, add_special_tokens=False)]
-        others = [t for t in texts if not t.isascii()]
-        others = iter(self.first.encode_batch_fast(others, add_special_tokens=False))
-        return [self.ascii.encode_ordinary(t) if t.isascii() else next(others).ids for t in texts]
+        which is quicker; only for characters that all versions split alike."""
+        ranked = self.by_rank(texts)
+        others = [t for t, r in zip(texts, ranked) if not r]
+        others = iter(self.first.encode_batch_fast(others, add_special_tokens=False) if others else ())
+        return [self.ranked.encode_ordinary(t) if r else next(others).ids for t, r in zip(texts, ranked)]
 
     def pair(self, first, second):
         return first * len(self.second_bytes) + second
@@ -121,25 +139,43 @@ def _vocabularies(shared):
 
 
 class Units:
-    """Aligned units of one task: numbers by unit, and of each its tokens, groups and links."""
+    """Aligned units of one task: numbers by unit, and of each its tokens, groups or links.
+
+    Groups are kept where ``counts`` are given, links where they are yet to be counted.
+    """
 
     def __init__(self, vocabularies, counts=None, best=None):
         self.vocabularies, self.counts, self.best = vocabularies, counts, best
-        self.forget()
-
-    def forget(self):
-        self.number, self.groups, self.chars, self.links = {}, [], 0, [np.zeros(0, np.int64)]
+        self.number, self.groups, self.links = {}, [], np.zeros(0, np.int64)
         # Columns: whole, tokens of either side, groups, links, best links, sum of counts.
         self.table = np.zeros((0, 7), np.int64)
+        # How often each unit was met since the last time that units were forgotten; its characters.
+        self.met, self.chars = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def full(self):
-        return len(self.number) > CACHE_UNITS or self.chars > CACHE_CHARS
+        return len(self.number) > CACHE_UNITS or self.chars.sum() > CACHE_CHARS
+
+    def forget(self):
+        """Forgets the units met once, and of the others the rarer ones beyond half of the limits."""
+        order = np.argsort(-self.met, kind="stable")[: CACHE_UNITS // 2]
+        order = order[(self.met[order] > 1) & (np.cumsum(self.chars[order]) <= CACHE_CHARS // 2)]
+        stay = np.zeros(len(self.met), bool)
+        stay[order] = True
+        self.links = self.links[np.repeat(stay, self.table[:, 4])] if self.counts is None else self.links
+        self.groups = list(compress(self.groups, stay.tolist()))
+        self.number = {u: i for i, u in enumerate(compress(self.number, stay.tolist()))}
+        self.table, self.chars = self.table[stay], self.chars[stay]
+        self.met = np.zeros(len(order), np.int64)
+
+    def meet(self, numbers):
+        self.met += np.bincount(numbers, minlength=len(self.met))
 
     def numbers(self, units, alone=()):
-        """The number of each unit; unknown ones are aligned first, those ``alone`` by themselves."""
-        new = [u for u in dict.fromkeys(units) if u not in self.number]
+        """The number of each of some distinct units; unknown ones are aligned first, those ``alone``
+        by themselves."""
+        new = [u for u in units if u not in self.number]
         if new:
-            self._align(new, [u for u in new if u in alone])
+            self._align(new, [u for u in new if u in alone] if alone else [])
         return np.fromiter(map(self.number.__getitem__, units), np.int64, len(units))
 
     def _encoded(self, lists):
@@ -163,7 +199,7 @@ class Units:
 
     def _align(self, units, alone):
         v = self.vocabularies
-        joined = list(self._encoded(_joinable(units, dict.fromkeys(alone))))
+        joined = list(self._encoded(_joinable(units, dict.fromkeys(alone), v.by_rank)))
         units = [u for own, *_ in joined for u in own]
         sizes = np.array([n for _, own, *_ in joined for n in own], np.int64)
         ids, other = (np.concatenate([np.array(x[side], np.int64) for x in joined]) for side in (2, 3))
@@ -182,7 +218,27 @@ class Units:
         table[:, 2] = np.diff(np.searchsorted(other_ends, bounds, "right"), prepend=0)
         table[:, 3] = np.diff(np.searchsorted(ends[closing], bounds, "right"), prepend=0)
         table[:, 4] = table[:, 3]
+        chars = np.fromiter(map(len, units), np.int64, len(units))
+        if self.counts is None:
+            self.links = np.concatenate((self.links, pairs))
+        else:
+            n = self.counts.of(pairs)
+            of = np.repeat(np.arange(len(units)), table[:, 4])
+            best = (n > 0) & (n == self.best[v.second_of(pairs)])
+            table[:, 5] = np.bincount(of, best, len(units)).astype(np.int64)
+            np.add.at(table[:, 6], of, n)
+            groups = self._groups(ids, other, last, other_last, table[:, 1] + table[:, 2])
+            chars += np.fromiter(map(len, groups), np.int64, len(groups))
+            self.groups += groups
+        self.number.update(zip(units, range(len(self.number), len(self.number) + len(units))))
+        self.table, self.chars = np.concatenate((self.table, table)), np.concatenate((self.chars, chars))
+        self.met = np.concatenate((self.met, np.zeros(len(units), np.int64)))
+
+    def _groups(self, ids, other, last, other_last, tokens):
+        """Each unit's groups, written out; the units have so many ``tokens`` of both sides."""
+        v = self.vocabularies
         # Groups in a row: the first side's tokens of a group come before the second's.
+        closing, other_closing = np.flatnonzero(last), np.flatnonzero(other_last)
         group, other_group = np.cumsum(last) - last, np.cumsum(other_last) - other_last
         place = np.arange(len(ids)) + np.concatenate(([0], other_closing + 1))[group]
         other_place = np.arange(len(other)) + (closing + 1)[other_group] if len(other) else np.zeros(0, np.int64)
@@ -190,37 +246,30 @@ class Units:
         codes[place] = 2 * ids + last
         codes[other_place] = v.second_at + 2 * other + other_last
         written = list(map(v.written.__getitem__, codes.tolist()))
-        stops = np.cumsum(table[:, 1] + table[:, 2]).tolist()
-        if self.counts is not None:
-            n = self.counts.of(pairs)
-            of = np.repeat(np.arange(len(units)), table[:, 4])
-            best = (n > 0) & (n == self.best[v.second_of(pairs)])
-            table[:, 5] = np.bincount(of, best, len(units)).astype(np.int64)
-            np.add.at(table[:, 6], of, n)
-        self.number.update(zip(units, range(len(self.groups), len(self.groups) + len(units))))
-        begin = 0
-        for stop in stops:
-            self.groups.append("".join(written[begin:stop])[:-1])
-            begin = stop
-        self.chars += int(sizes.sum()) + sum(map(len, written))
-        self.links.append(pairs)
-        self.table = np.concatenate((self.table, table))
-
-
-def _split(text):
-    """The units of a text; spaces beside other white space stay inside them."""
-    if not text:
-        return []
-    if text[0] == " " or text[-1] == " " or WIDE.search(text):
-        return UNIT.split(text)
-    return text.split(" ")
-
-
-def _joinable(units, alone):
-    """Units in lists of about JOINED_CHARS, of ASCII or not; those ``alone`` are not joined."""
+        stops = np.cumsum(tokens).tolist()
+        return ["".join(written[begin:stop])[:-1] for begin, stop in zip([0, *stops], stops)]
+
+
+def _split(texts):
+    """The units of each text, as a column of lists; spaces beside other white space stay inside them."""
+    lists = pc.split_pattern(texts, " ")
+    odd = pc.fill_null(pc.match_substring_regex(texts, ODD), True)
+    odd = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+    if not len(odd):
+        return lists
+    own = [UNIT.split(t) if t else [] for t in texts.take(pa.array(odd)).to_pylist()]
+    at = np.arange(len(texts))
+    at[odd] = len(texts) + np.arange(len(odd))
+    return pa.concat_arrays([lists, pa.array(own, lists.type)]).take(pa.array(at))
+
+
+def _joinable(units, alone, by_rank):
+    """Units in lists of about JOINED_CHARS, of those encoded ``by_rank`` or not; those ``alone``
+    are not joined."""
     lists = [[u] for u in alone]
     units = [u for u in units if u not in alone] if alone else units
-    for kind in ([u for u in units if u.isascii()], [u for u in units if not u.isascii()]):
+    ranked = by_rank(units)
+    for kind in (list(compress(units, ranked)), [u for u, r in zip(units, ranked) if not r]):
         cuts = np.cumsum([len(u) + 1 for u in kind]) // JOINED_CHARS
         begins = [*np.flatnonzero(np.diff(cuts, prepend=-1)).tolist(), len(kind)]
         lists += [kind[a:b] for a, b in zip(begins, begins[1:])]
@@ -228,16 +277,23 @@ def _joinable(units, alone):
 
 
 def _laid(rows, units):
-    """Of the texts of ``rows``: unit numbers end to end, how many each text has, and which are whole."""
-    split = [_split(t) for t in rows.column("text").to_pylist()]
-    number = np.array([len(s) for s in split], np.int64)
+    """Of the texts of ``rows``: their units end to end, as places in an array of distinct ones'
+    numbers; that array; where each text's units begin and the last ones end; which texts are whole."""
+    lists = _split(rows.column("text"))
+    stops = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+    bounds = np.concatenate(([0], stops))
+    coded = lists.flatten().dictionary_encode()
+    distinct, places = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy().astype(np.int64)
+    some = np.diff(bounds) > 0
     # Only a text's first unit can begin with white space, and only its last one end with it.
-    ends = {s[0] for s in split if s} | {s[-1] for s in split if s}
+    ends = np.unique(places[np.concatenate((bounds[:-1][some], bounds[1:][some] - 1))])
+    ends = map(distinct.__getitem__, ends.tolist())
     alone = {u for u in ends if not u or u[0].isspace() or u[-1].isspace()}
-    laid = units.numbers([u for s in split for u in s], alone)
-    of = np.repeat(np.arange(len(split)), number)
-    broken = np.bincount(of, units.table[laid, 0] == 0, len(split)) > 0
-    return laid, of, number, (number > 0) & ~broken
+    numbers = units.numbers(distinct, alone)
+    whole = some.copy()
+    whole[some] = np.minimum.reduceat(units.table[numbers, 0][places], bounds[:-1][some]) > 0 if some.any() else False
+    units.meet(numbers[places[np.repeat(whole, np.diff(bounds))]])
+    return places, numbers, bounds, whole
 
 
 def _count_pairs(shared):
@@ -246,13 +302,10 @@ def _count_pairs(shared):
     def run(batches):
         units = Units(_vocabularies(shared))
         part = TaskContext.get().partitionId()
-        met, held = np.zeros(0, np.int64), [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        held = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
 
         def gather():
-            pairs, own = np.concatenate(units.links), units.table[:, 4]
-            times = np.zeros(len(own), np.int64)
-            times[: len(met)] = met
-            held.append((pairs, np.repeat(times, own)))
+            held.append((units.links, np.repeat(units.met, units.table[:, 4])))
             pairs, n = (np.concatenate(x) for x in zip(*held))
             pairs, n = pairs[n > 0], n[n > 0]
             found, at = np.unique(pairs, return_inverse=True)
@@ -265,15 +318,11 @@ def _count_pairs(shared):
             held.append((np.zeros(0, np.int64), np.zeros(0, np.int64)))
             return batch(part=np.full(len(pairs), part, np.int64), key=pairs, n=n)
 
-        for rows in slices(batches):
-            laid, of, _, whole = _laid(rows, units)
-            more = np.bincount(laid[whole[of]], minlength=len(units.groups)).astype(np.int64)
-            more[: len(met)] += met
-            met = more
+        for rows in slices(batches, limit=SLICE_BYTES):
+            _laid(rows, units)
             if units.full():
                 gather()
                 units.forget()
-                met = np.zeros(0, np.int64)
                 if len(held[0][0]) > HELD_PAIRS:
                     yield out()
         gather()
@@ -291,21 +340,19 @@ def _look_up(shared, counts, cells, best, columns, first):
 
     def run(batches):
         units = Units(_vocabularies(shared), perfect_hash.Counts(counts.value, cells), best.value)
-        for rows in slices(batches):
-            laid, of, number, whole = _laid(rows, units)
-            keep = whole[of]
+        for rows in slices(batches, limit=SLICE_BYTES):
+            places, numbers, bounds, whole = _laid(rows, units)
             sums = np.zeros((rows.num_rows, 7), np.int64)
-            np.add.at(sums, of[keep], units.table[laid[keep]])
+            begins = bounds[:-1][np.diff(bounds) > 0]
+            for i in range(1, 7) if len(begins) else ():
+                sums[np.diff(bounds) > 0, i] = np.add.reduceat(units.table[numbers, i][places], begins)
+            sums[~whole] = 0
             out = {c: rows.column(c) for c in columns}
             if first:
                 out.update(zip(MADE, sums[:, 1:5].T))
-                stops = np.cumsum(number).tolist()
-                texts = list(map(units.groups.__getitem__, laid.tolist()))
-                groups = [
-                    ";".join(texts[stop - n : stop]) if ok else ""
-                    for stop, n, ok in zip(stops, number.tolist(), whole.tolist())
-                ]
-                out["groups"] = pa.array(groups, pa.string())
+                groups = pa.array(list(map(units.groups.__getitem__, numbers.tolist())), pa.string())
+                groups = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), groups.take(pa.array(places)))
+                out["groups"] = pc.if_else(pa.array(whole), pc.binary_join(groups, ";"), "")
                 out.update(zip(COUNTED, sums[:, 5:].T))
             else:
                 before = [rows.column(c).to_numpy() for c in COUNTED]

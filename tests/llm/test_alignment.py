@@ -1,10 +1,12 @@
 """Alignment of two tokenizers and its counts against a plain count."""
 
 import hashlib
+import json
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from samples_llm import HERE, LONG, documents, given
@@ -86,6 +88,72 @@ def test_alignment_in_parts(spark, monkeypatch, wanted):
     assert aligned(df) == wanted
 
 
+def test_alignment_forgets_rare_units(spark, monkeypatch):
+    """Small limits and slices of one text: common units stay with their counts, rare ones go."""
+    monkeypatch.setattr(alignment, "CACHE_UNITS", 8)
+    monkeypatch.setattr(alignment, "SLICE_BYTES", 1)
+    monkeypatch.setattr(alignment, "HELD_PAIRS", 3)
+    texts = [t for i in range(4) for t in [*TEXTS, f"été the the été of rare{i} ünit{i}", "w x w x"]]
+    assert aligned(documents(spark, texts).coalesce(2)) == expected([*enumerate(texts)])
+
+
+@pytest.fixture(scope="module")
+def vocabularies():
+    return alignment.Vocabularies(Path(BYTE_BPE).read_text(encoding="utf-8"), Path(PIECES).read_bytes())
+
+
+def test_common_units_are_aligned_once(monkeypatch, vocabularies):
+    monkeypatch.setattr(alignment, "CACHE_UNITS", 100)
+    units, met = alignment.Units(vocabularies), Counter()
+    align = units._align
+    monkeypatch.setattr(units, "_align", lambda new, alone: (met.update(new), align(new, alone)))
+    for i in range(20):
+        rare = " ".join(f"w{i}x{j}" for j in range(40))
+        alignment._laid(pa.record_batch({"text": [f"the été {rare}", "the été", None, ""]}), units)
+        if units.full():
+            units.forget()
+        assert len(units.number) <= 100
+    assert (met["the"], met["été"], met["w0x0"]) == (1, 1, 1)
+
+
+def test_units_beyond_characters_go(monkeypatch, vocabularies):
+    monkeypatch.setattr(alignment, "CACHE_CHARS", 100)
+    units = alignment.Units(vocabularies)
+    alignment._laid(pa.record_batch({"text": [" ".join(["x" * 90, "ab", "ab", "x" * 90, "ab", "y" * 90])]}), units)
+    assert units.full()
+    units.forget()
+    assert list(units.number) == ["ab"] and not units.full()
+
+
+def test_units_of_texts():
+    texts = [t for t in TEXTS if t] + ["a\x1f b", "a\u3000 b", "a \x85b", "x \n", "\u00a0 x y"]
+    split = alignment._split(pa.array([None, "", *texts]))
+    assert split.to_pylist() == [[], [], *map(alignment.UNIT.split, texts)]
+
+
+@pytest.mark.parametrize(("last", "one_way"), [(["ab", "c"], True), (["a", "bc"], False)])
+def test_ranks_need_one_way_to_merge(last, one_way):
+    """Beside an earlier merge of a and b, those of ``a bc`` never meet: abc is two tokens, but one by rank."""
+    from tokenizers import Tokenizer
+
+    told = json.loads(Path(BYTE_BPE).read_text(encoding="utf-8"))
+    alphabet = [*alignment._byte_alphabet()]
+    told["model"]["vocab"] = {t: i for i, t in enumerate([*alphabet, "ab", "bc", "abc"])}
+    told["model"]["merges"], told["added_tokens"] = [["a", "b"], ["b", "c"], last], []
+    told = json.dumps(told)
+    assert (alignment._ranked(told, Tokenizer.from_str(told)) is not None) == one_way
+
+
+def test_characters_encoded_by_rank(vocabularies):
+    """They are split alike beside letters, digits, signs and gaps."""
+    first = vocabularies.first
+    chars = [c for c in map(chr, range(0x3000)) if vocabularies.by_rank([c])[0]]
+    assert {"a", "é", "ß", "ж"} < set(chars)
+    texts = [x.format(c) for c in chars for x in ("a{0}b", "{0}{0}", " {0}1", "1{0}a", ". {0}.", "a {0}\n", "{0}'s", "'{0}", "  {0} a")]
+    wanted = [e.ids for e in first.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [vocabularies.ranked.encode_ordinary(t) for t in texts] == wanted
+
+
 @pytest.mark.skipif(not HERE, reason="the given tables are not here")
 def test_alignment_given_table(spark):
     docs = given(spark, "documents")
